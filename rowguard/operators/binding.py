@@ -96,6 +96,25 @@ class Binding:
             value = F.when(~conditions.any_of(breaches), value)
         return value.alias(column)
 
+    @property
+    def flags_follow_from_data(self) -> bool:
+        """True if rows with equal cleaned values always have equal flags.
+
+        Not so if a flag rule looks at a value that set_null takes away, or at the expected month
+        of the row, which is no part of the cleaned data.
+        """
+        nulled = {c.column for c in self.with_action(SET_NULL)}
+        watched = {c.column for c in self.with_action(FLAG) if c.column is not None}
+        if self.month is not None and self.month.action == FLAG:
+            if isinstance(self.expected, MonthColumn):
+                return False
+            watched.add(self.catalog.month.column)
+        return not nulled & watched
+
+    def with_flags(self, cleaned: DataFrame) -> DataFrame:
+        """Add the flag column to rows whose flags follow from their data."""
+        return cleaned.withColumn(self.catalog.flag_column, self.flags())
+
     def apply(self, df: DataFrame, actions: tuple[str, ...] = ROW_ACTIONS) -> DataFrame:
         """Carry out the given actions in one filter and one projection."""
         kept = df.filter(self.keeps()) if REMOVE in actions else df

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from rowguard.functions.months import Month, MonthColumn
 from rowguard.functions.values import named
@@ -23,21 +24,36 @@ def removes_duplicates(catalog: Catalog) -> bool:
     return catalog.duplicates is not None and catalog.duplicates.on_violation == REMOVE
 
 
-def clean(df: DataFrame, catalog: Catalog, period: Period = None) -> DataFrame:
+def clean(
+    df: DataFrame,
+    catalog: Catalog,
+    period: Period = None,
+    drop: Callable[[DataFrame], DataFrame] = drop_duplicates,
+) -> DataFrame:
     """Cleaned rows: the input columns plus the flag column.
 
     Rows breaking a remove rule go, values breaking a set_null rule become null, the labels of
     broken flag rules are listed in the flag column, and of the rows that are then identical
-    (flags included) one stays. Lazy; one scan and one shuffle.
+    (flags included) one stays. Lazy with the default way of dropping duplicates; one scan and one
+    shuffle.
     """
-    survivors = clean_before_duplicates(df, catalog, period)
-    return drop_duplicates(survivors) if removes_duplicates(catalog) else survivors
+    check_columns(df, catalog)
+    binding = bind(df, catalog, period)
+    if not removes_duplicates(catalog):
+        return binding.apply(df)
+    if binding.flags_follow_from_data:
+        # Identical data has identical flags: leave them out of the shuffle, add them behind it.
+        return binding.with_flags(drop(binding.apply(df, (REMOVE, SET_NULL))))
+    return drop(binding.apply(df))
 
 
-def clean_before_duplicates(df: DataFrame, catalog: Catalog, period: Period = None) -> DataFrame:
-    """Everything :func:`clean` does except dropping duplicates. No shuffle."""
+def surviving_rows(df: DataFrame, catalog: Catalog, period: Period = None) -> DataFrame:
+    """The rows duplicates are looked for in: everything :func:`clean` does before. No shuffle."""
     check_columns(df, catalog)
-    return bind(df, catalog, period).apply(df)
+    binding = bind(df, catalog, period)
+    if binding.flags_follow_from_data:
+        return binding.apply(df, (REMOVE, SET_NULL))
+    return binding.apply(df)
 
 
 def remove_rows(df: DataFrame, catalog: Catalog, period: Period = None) -> DataFrame:
@@ -64,5 +80,5 @@ def mark_breaches(df: DataFrame, binding: Binding, label: str, as_name: str) ->
     """All rows with a TRUE/FALSE column telling whether the check ``label`` is broken."""
     for check in binding.checks:
         if check.label == label:
-            return df.withColumn(as_name, F.coalesce(check.condition.broken, F.lit(False)))
+            return df.withColumn(as_name, check.condition.broken)
     raise KeyError(label)

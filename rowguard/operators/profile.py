@@ -175,12 +175,21 @@ def negative_money(df: DataFrame, catalog: Catalog) -> DataFrame:
 
     Empty if the table lacks the code column or all money columns, or has no negative amount.
     """
+    code = catalog.code_column or "code"
+    found = negative_money_counts(df, catalog)
+    if found is None:
+        schema = f"`{code}` string, rows bigint, meaning string"
+        return df.sparkSession.createDataFrame([], schema)
+    return found.orderBy(F.desc("rows"), F.asc_nulls_first(named(code)))
+
+
+def negative_money_counts(df: DataFrame, catalog: Catalog) -> DataFrame | None:
+    """The rows of :func:`negative_money` in no order, None if the table lacks the columns."""
     fields = {field.name: field for field in df.schema.fields}
     amounts = [fields[name] for name in catalog.money_columns if name in fields]
     code = fields.get(catalog.code_column)
     if code is None or not amounts:
-        name = catalog.code_column or "code"
-        return df.sparkSession.createDataFrame([], f"`{name}` string, rows bigint, meaning string")
+        return None
     negative = conditions.any_of(
         [conditions.below_min(values.as_number(field), 0).broken for field in amounts]
     )
@@ -189,7 +198,6 @@ def negative_money(df: DataFrame, catalog: Catalog) -> DataFrame:
         .groupBy(named(code.name))
         .agg(F.count(F.lit(1)).alias("rows"))
         .withColumn("meaning", values.meaning_of(code, catalog.code_meanings))
-        .orderBy(F.desc("rows"), F.asc_nulls_first(named(code.name)))
     )
 
 

@@ -12,7 +12,7 @@ from rowguard.operators.binding import Binding, bind
 from rowguard.operators.cleaning import Period
 from rowguard.operators.counts import unpivot
 from rowguard.operators.duplicates import duplicate_counts
-from rowguard.operators.profile import TOTAL, Measures, as_text_literal, negative_money
+from rowguard.operators.profile import TOTAL, Measures, as_text_literal, negative_money_counts
 from rowguard.rules import Catalog
 
 _COLUMNS = ("section", "rule", "metric", "value", "action")
@@ -109,8 +109,8 @@ def quality_report(
             )
         )
 
-    if catalog.money_columns and catalog.code_column in df.columns:
-        money = negative_money(df, catalog)
+    money = negative_money_counts(df, catalog)
+    if money is not None:
         parts.append(
             money.select(
                 F.lit(_MONEY).alias("part"),

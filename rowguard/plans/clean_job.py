@@ -20,7 +20,7 @@ from rowguard.operators.binding import bind
 from rowguard.operators.cleaning import (
     Period,
     check_columns,
-    clean_before_duplicates,
+    clean,
     removes_duplicates,
 )
 from rowguard.operators.counts import (
@@ -151,10 +151,8 @@ def _write_exact(
     df: DataFrame, path: str, kind: str, catalog: Catalog, period: Period, dedup: str
 ) -> CleanOutcome:
     with shuffle_sized_for(df):
-        cleaned = clean_before_duplicates(df, catalog, period)
-        if removes_duplicates(catalog):
-            drop = drop_rare_duplicates if dedup == DEDUP_FINGERPRINT else drop_duplicates
-            cleaned = drop(cleaned)
+        drop = drop_rare_duplicates if dedup == DEDUP_FINGERPRINT else drop_duplicates
+        cleaned = clean(df, catalog, period, drop)
         write_table(cleaned, path, format=kind)
     written = read_table(df.sparkSession, path, format=kind, schema=cleaned.schema)
     outcome = CleanOutcome(path, dedup=dedup)
@@ -167,18 +165,18 @@ def _write_exact(
 def _write_observed(
     df: DataFrame, path: str, kind: str, catalog: Catalog, period: Period
 ) -> CleanOutcome:
-    binding = bind(df, catalog, period)
-    checks = binding.active_checks
+    checks = bind(df, catalog, period).active_checks
     seen, kept, written = Observation(), Observation(), Observation()
-    survivors = binding.apply(
-        df.observe(
-            seen,
-            F.count(F.lit(1)).alias(INPUT_ROWS),
-            *[F.count_if(c.condition.broken).alias(f"n{i}") for i, c in enumerate(checks)],
-        )
-    ).observe(kept, F.count(F.lit(1)).alias("rows"))
-    cleaned = drop_duplicates(survivors) if removes_duplicates(catalog) else survivors
-    cleaned = cleaned.observe(
+    counted = df.observe(
+        seen,
+        F.count(F.lit(1)).alias(INPUT_ROWS),
+        *[F.count_if(c.condition.broken).alias(f"n{i}") for i, c in enumerate(checks)],
+    )
+
+    def count_and_drop(survivors: DataFrame) -> DataFrame:
+        return drop_duplicates(survivors.observe(kept, F.count(F.lit(1)).alias("rows")))
+
+    cleaned = clean(counted, catalog, period, count_and_drop).observe(
         written,
         F.count(F.lit(1)).alias(OUTPUT_ROWS),
         F.count(named(catalog.flag_column)).alias(ROWS_FLAGGED),

@@ -106,8 +106,9 @@ def clean_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def clean_trips_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Same rows as ``clean_trips`` with only possible duplicates crossing the shuffle."""
-    survivors = cleaning.clean_before_duplicates(trips(spark, sf_dir), YELLOW_TAXI, PERIOD)
-    return duplicates.drop_rare_duplicates(survivors)
+    return cleaning.clean(
+        trips(spark, sf_dir), YELLOW_TAXI, PERIOD, drop=duplicates.drop_rare_duplicates
+    )
 
 
 def flag_contains(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -120,12 +121,12 @@ def dedup_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def dedup_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Duplicates among the rows that survive the remove rules, after values were nulled."""
-    survivors = cleaning.clean_before_duplicates(trips(spark, sf_dir), YELLOW_TAXI, PERIOD)
+    survivors = cleaning.surviving_rows(trips(spark, sf_dir), YELLOW_TAXI, PERIOD)
     return duplicates.duplicate_counts(survivors)
 
 
 def dedup_stats_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
-    survivors = cleaning.clean_before_duplicates(trips(spark, sf_dir), YELLOW_TAXI, PERIOD)
+    survivors = cleaning.surviving_rows(trips(spark, sf_dir), YELLOW_TAXI, PERIOD)
     return duplicates.rare_duplicate_counts(survivors)
 
 
