@@ -15,9 +15,21 @@ NO_FLAGS = "__none__"
 LABEL_SEPARATOR = ";"
 
 
+def sql_name(name: str) -> str:
+    """``name`` as it stands in SQL text."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def sql_text(value: str | None) -> str:
+    """A string literal, or the null string, as it stands in SQL text."""
+    if value is None:
+        return "CAST(NULL AS STRING)"
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def named(name: str) -> Column:
     """The top-level column called exactly ``name``, whatever characters the name has."""
-    return F.col("`" + name.replace("`", "``") + "`")
+    return F.col(sql_name(name))
 
 
 class Reading(NamedTuple):

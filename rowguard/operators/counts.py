@@ -6,13 +6,13 @@ read, partial sums per task, one row shuffled per task.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Mapping, Sequence
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rowguard.functions.values import NO_FLAGS, named
+from rowguard.functions.values import NO_FLAGS, named, sql_text
 from rowguard.operators.binding import Binding, bind
 from rowguard.operators.cleaning import Period, check_columns, clean, removes_duplicates
 from rowguard.rules import Catalog
@@ -30,12 +30,18 @@ ROWS_FLAGGED = "rows_flagged"
 _KIND_ORDER = (REMOVED, SET_TO_NULL, FLAGGED)
 
 
-def unpivot(df: DataFrame, rows: Iterable[Mapping[str, Column]]) -> DataFrame:
-    """Turn each row of ``df`` into one row per mapping of column name to expression."""
+def unpivot(df: DataFrame, rows: Sequence[Mapping[str, str]]) -> DataFrame:
+    """Turn each row of ``df`` into one row per mapping of column name to SQL expression.
+
+    The expressions are text so that a table of hundreds of cells is handed to Spark in one piece.
+    """
     structs = [
-        F.struct(*[value.alias(name) for name, value in row.items()]) for row in rows
+        "named_struct({})".format(
+            ", ".join(f"{sql_text(name)}, {value}" for name, value in row.items())
+        )
+        for row in rows
     ]
-    return df.select(F.inline(F.array(*structs)))
+    return df.select(F.expr(f"inline(array({', '.join(structs)}))"))
 
 
 class _Counter(NamedTuple):
@@ -64,7 +70,7 @@ def rule_counts(df: DataFrame, catalog: Catalog, period: Period = None) -> DataF
     return unpivot(
         totals,
         [
-            {"kind": F.lit(c.kind), "rule": F.lit(c.rule), "rows": named(f"n{i}")}
+            {"kind": sql_text(c.kind), "rule": sql_text(c.rule), "rows": f"n{i}"}
             for i, c in enumerate(counters)
         ],
     )
@@ -114,10 +120,10 @@ def clean_summary(
             totals,
             [
                 {
-                    "position": F.lit(order.index((c.kind, c.rule))),
-                    "kind": F.lit(c.kind),
-                    "rule": F.lit(c.rule),
-                    "rows": named(f"n{i}"),
+                    "position": str(order.index((c.kind, c.rule))),
+                    "kind": sql_text(c.kind),
+                    "rule": sql_text(c.rule),
+                    "rows": f"n{i}",
                 }
                 for i, c in enumerate(counters)
             ],

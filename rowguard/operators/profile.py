@@ -7,20 +7,16 @@ from pyspark.sql import functions as F
 
 from rowguard.functions import conditions, values
 from rowguard.functions.months import Month
-from rowguard.functions.values import named
+from rowguard.functions.values import named, sql_text
 from rowguard.operators.binding import Binding, ColumnBinding, bind
 from rowguard.operators.cleaning import Period
 from rowguard.operators.counts import unpivot
 from rowguard.operators.duplicates import duplicate_counts
-from rowguard.rules import Catalog
+from rowguard.rules import Catalog, MonthRule, TimeOrderRule
 
 TOTAL = "total"
 
 
-def as_text_literal(value: str | None) -> Column:
-    return F.lit(value).cast("string")
-
-
 class Measures:
     """The measures of a profile, all taken by one aggregate, and how to read them back."""
 
@@ -53,31 +49,45 @@ class Measures:
     def take(self, df: DataFrame) -> DataFrame:
         return df.agg(*[measure.alias(name) for name, measure in self._taken.items()])
 
-    def count(self, name: str) -> Column:
-        return named(name) if name in self._taken else F.lit(0).cast("bigint")
+    def count(self, name: str) -> str:
+        """A count as SQL text; 0 if there is no such measure."""
+        return name if name in self._taken else "0L"
 
-    def of_column(self, i: int) -> dict[str, Column]:
+    def of_column(self, i: int) -> dict[str, str]:
         """Counts of the i-th rule's column: nulls throughout if the table does not have it."""
-        if not self.binding.columns[i].present:
-            return {
-                name: F.lit(None).cast("bigint")
-                for name in (
-                    "missing", "invalid", "valid", "below_min", "above_max", "domain_invalid"
-                )
-            }
         missing = self.count(f"missing_{i}")
         below = self.count(f"below_min_{i}")
         above = self.count(f"above_max_{i}")
         domain = self.count(f"domain_{i}")
-        invalid = below + above + domain
-        return {
+        counts = {
             "missing": missing,
-            "invalid": invalid,
-            "valid": named(TOTAL) - missing - invalid,
+            "invalid": f"{below} + {above} + {domain}",
+            "valid": f"{TOTAL} - {missing} - {below} - {above} - {domain}",
             "below_min": below,
             "above_max": above,
             "domain_invalid": domain,
         }
+        if not self.binding.columns[i].present:
+            return dict.fromkeys(counts, "CAST(NULL AS BIGINT)")
+        return counts
+
+    def of_time_order(self) -> dict[str, str]:
+        inverted = self.count("inverted")
+        return {
+            "invalid": inverted,
+            "valid": f"{TOTAL} - {inverted}",
+            "missing": f"{self.count('no_start')} + {self.count('no_end')}",
+        }
+
+    def of_month(self) -> dict[str, str]:
+        expected = self.binding.expected
+        return {
+            "invalid": self.count("outside"),
+            "valid": f"{self.count('dated')} - {self.count('outside')}",
+            "expected_month": sql_text(expected.text if isinstance(expected, Month) else None),
+            "min_pickup": "earliest",
+            "max_pickup": "latest",
+        }
 
 
 def profile_columns(df: DataFrame, catalog: Catalog) -> DataFrame:
@@ -89,24 +99,34 @@ def profile_columns(df: DataFrame, catalog: Catalog) -> DataFrame:
     binding = bind(df, catalog)
     measures = Measures(df, binding)
 
-    def row(i: int, column: ColumnBinding) -> dict[str, Column]:
+    def row(i: int, column: ColumnBinding) -> dict[str, str]:
         rule, present = column.rule, column.present
+        stated = ("on_below_min", "on_above_max", "on_violation", "on_null", "description")
         return {
-            "column": F.lit(rule.column),
-            "present": F.lit(present),
-            "total": named(TOTAL),
+            "column": sql_text(rule.column),
+            "present": str(present),
+            "total": TOTAL,
             **measures.of_column(i),
-            "on_below_min": as_text_literal(rule.on_below_min if present else None),
-            "on_above_max": as_text_literal(rule.on_above_max if present else None),
-            "on_violation": as_text_literal(rule.on_violation if present else None),
-            "on_null": as_text_literal(rule.on_null if present else None),
-            "description": as_text_literal(rule.description if present else None),
+            **{name: sql_text(getattr(rule, name) if present else None) for name in stated},
         }
 
     rows = [row(i, column) for i, column in enumerate(binding.columns)]
     return unpivot(measures.take(df), rows)
 
 
+def _cross_rule_row(
+    rule: TimeOrderRule | MonthRule, counts: dict[str, str]
+) -> list[dict[str, str]]:
+    return [
+        {
+            "rule": sql_text(rule.label),
+            **counts,
+            "on_violation": sql_text(rule.on_violation),
+            "description": sql_text(rule.description),
+        }
+    ]
+
+
 def profile_time_order(df: DataFrame, catalog: Catalog) -> DataFrame:
     """One row on the time order rule. Fails if it does not apply.
 
@@ -117,17 +137,7 @@ def profile_time_order(df: DataFrame, catalog: Catalog) -> DataFrame:
         raise ValueError("The time order rule does not apply: a column is absent")
     measures = Measures(df, binding)
     return unpivot(
-        measures.take(df),
-        [
-            {
-                "rule": F.lit(catalog.time_order.label),
-                "invalid": measures.count("inverted"),
-                "valid": named(TOTAL) - measures.count("inverted"),
-                "missing": measures.count("no_start") + measures.count("no_end"),
-                "on_violation": as_text_literal(catalog.time_order.on_violation),
-                "description": as_text_literal(catalog.time_order.description),
-            }
-        ],
+        measures.take(df), _cross_rule_row(catalog.time_order, measures.of_time_order())
     )
 
 
@@ -140,33 +150,18 @@ def profile_month(df: DataFrame, catalog: Catalog, period: Period) -> DataFrame:
     if binding.month is None:
         raise ValueError("The month rule does not apply: no month given or a column is absent")
     measures = Measures(df, binding)
-    expected = binding.expected.text if isinstance(binding.expected, Month) else None
-    return unpivot(
-        measures.take(df),
-        [
-            {
-                "rule": F.lit(catalog.month.label),
-                "invalid": measures.count("outside"),
-                "valid": measures.count("dated") - measures.count("outside"),
-                "expected_month": as_text_literal(expected),
-                "min_pickup": named("earliest"),
-                "max_pickup": named("latest"),
-                "on_violation": as_text_literal(catalog.month.on_violation),
-                "description": as_text_literal(catalog.month.description),
-            }
-        ],
-    )
+    return unpivot(measures.take(df), _cross_rule_row(catalog.month, measures.of_month()))
 
 
 def profile_duplicates(df: DataFrame, catalog: Catalog) -> DataFrame:
     """One row on surplus copies among the raw rows: ``invalid`` of them, the rest ``valid``."""
     rule = catalog.duplicates
     return duplicate_counts(df).select(
-        as_text_literal(rule.label).alias("rule"),
+        F.lit(rule.label).alias("rule"),
         named("removed").alias("invalid"),
         named("output_rows").alias("valid"),
-        as_text_literal(rule.on_violation).alias("on_violation"),
-        as_text_literal(rule.description).alias("description"),
+        F.lit(rule.on_violation).cast("string").alias("on_violation"),
+        F.lit(rule.description).alias("description"),
     )
 
 

@@ -6,13 +6,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rowguard.functions import conditions
-from rowguard.functions.months import Month
-from rowguard.functions.values import named
+from rowguard.functions.values import named, sql_text
 from rowguard.operators.binding import Binding, bind
 from rowguard.operators.cleaning import Period
 from rowguard.operators.counts import unpivot
 from rowguard.operators.duplicates import duplicate_counts
-from rowguard.operators.profile import TOTAL, Measures, as_text_literal, negative_money_counts
+from rowguard.operators.profile import TOTAL, Measures, negative_money_counts
 from rowguard.rules import Catalog
 
 _COLUMNS = ("section", "rule", "metric", "value", "action")
@@ -27,27 +26,30 @@ def _line(
     section: str,
     rule: str | None,
     metric: str,
-    value: Column,
+    value: str,
     action: str | None = None,
-) -> dict[str, Column]:
+) -> dict[str, str]:
+    """One report line. ``value`` is SQL text, the other texts are plain."""
     return {
-        "part": F.lit(part),
-        "order": F.lit(order).cast("bigint"),
-        "section": F.lit(section),
-        "rule": as_text_literal(rule),
-        "metric": F.lit(metric),
-        "value": value.cast("string"),
-        "action": as_text_literal(action),
+        "part": str(part),
+        "order": f"{order}L",
+        "section": sql_text(section),
+        "rule": sql_text(rule),
+        "metric": sql_text(metric),
+        "value": f"CAST({value} AS STRING)",
+        "action": sql_text(action),
     }
 
 
-def _measured_lines(measures: Measures) -> list[dict[str, Column]]:
+def _measured_lines(measures: Measures) -> list[dict[str, str]]:
     binding, catalog = measures.binding, measures.binding.catalog
-    lines: list[tuple] = [("file", None, "total_records", named(TOTAL), None)]
+    lines: list[tuple[str, str | None, str, str, str | None]] = [
+        ("file", None, "total_records", TOTAL, None)
+    ]
     for i, column in enumerate(binding.columns):
         rule = column.rule
         if not column.present:
-            lines.append(("column", rule.column, "present", F.lit(False), None))
+            lines.append(("column", rule.column, "present", "FALSE", None))
             continue
         actions = {
             "missing": rule.on_null,
@@ -57,21 +59,15 @@ def _measured_lines(measures: Measures) -> list[dict[str, Column]]:
         }
         for metric, value in measures.of_column(i).items():
             lines.append(("column", rule.column, metric, value, actions.get(metric)))
+    cross = []
     if binding.time_order is not None:
-        rule, inverted = catalog.time_order, measures.count("inverted")
-        missing = measures.count("no_start") + measures.count("no_end")
-        lines.append(("cross_field", rule.label, "invalid", inverted, rule.on_violation))
-        lines.append(("cross_field", rule.label, "valid", named(TOTAL) - inverted, None))
-        lines.append(("cross_field", rule.label, "missing", missing, None))
+        cross.append((catalog.time_order, measures.of_time_order()))
     if binding.month is not None:
-        rule, outside = catalog.month, measures.count("outside")
-        lines.append(("cross_field", rule.label, "invalid", outside, rule.on_violation))
-        lines.append(("cross_field", rule.label, "valid", measures.count("dated") - outside, None))
-        if isinstance(binding.expected, Month):
-            expected = F.lit(binding.expected.text)
-            lines.append(("cross_field", rule.label, "expected_month", expected, None))
-        lines.append(("cross_field", rule.label, "min_pickup", named("earliest"), None))
-        lines.append(("cross_field", rule.label, "max_pickup", named("latest"), None))
+        cross.append((catalog.month, measures.of_month()))
+    for rule, counts in cross:
+        for metric, value in counts.items():
+            action = rule.on_violation if metric == "invalid" else None
+            lines.append(("cross_field", rule.label, metric, value, action))
     return [_line(_MEASURED, order, *line) for order, line in enumerate(lines)]
 
 
@@ -90,7 +86,7 @@ def quality_report(
     binding = bind(df, catalog, period)
     measures = Measures(df, binding)
     policy = [
-        _line(_POLICY, i, "policy", line.problem, "rule", F.lit(line.rule))
+        _line(_POLICY, i, "policy", line.problem, "rule", sql_text(line.rule))
         for i, line in enumerate(catalog.policy)
     ]
     parts = [unpivot(measures.take(df), _measured_lines(measures) + policy)]
@@ -103,8 +99,8 @@ def quality_report(
             unpivot(
                 counted,
                 [
-                    _line(_DUPLICATES, 0, *section, "invalid", named("removed"), rule.on_violation),
-                    _line(_DUPLICATES, 1, *section, "valid", named("output_rows")),
+                    _line(_DUPLICATES, 0, *section, "invalid", "removed", rule.on_violation),
+                    _line(_DUPLICATES, 1, *section, "valid", "output_rows"),
                 ],
             )
         )
@@ -119,7 +115,7 @@ def quality_report(
                 named(catalog.code_column).cast("string").alias("rule"),
                 named("meaning").alias("metric"),
                 named("rows").cast("string").alias("value"),
-                as_text_literal(None).alias("action"),
+                F.lit(None).cast("string").alias("action"),
             )
         )
 
@@ -145,23 +141,24 @@ def cleaning_policy(df: DataFrame, catalog: Catalog, period: Period = None) -> D
     """
     binding = bind(df, catalog, period)
     masks = _policy_masks(binding)
-    measured, copies = {}, {}
+    measured: dict[int, Column] = {}
+    copies: dict[int, str] = {}
     for i, line in enumerate(catalog.policy):
         found = [masks[label] for label in line.covers if label in masks]
         if catalog.duplicates is not None and catalog.duplicates.label in line.covers:
-            copies[i] = named("removed")
+            copies[i] = "removed"
         elif found:
             measured[i] = F.count_if(conditions.any_of(found))
     totals = df.agg(F.count(F.lit(1)).alias(TOTAL), *[m.alias(f"n{i}") for i, m in measured.items()])
 
-    def lines(table: DataFrame, rows: dict[int, Column]) -> DataFrame:
+    def lines(table: DataFrame, rows: dict[int, str]) -> DataFrame:
         return unpivot(
             table,
             [
                 {
-                    "position": F.lit(i + 1),
-                    "problem": F.lit(catalog.policy[i].problem),
-                    "rule": F.lit(catalog.policy[i].rule),
+                    "position": str(i + 1),
+                    "problem": sql_text(catalog.policy[i].problem),
+                    "rule": sql_text(catalog.policy[i].rule),
                     "rows": value,
                 }
                 for i, value in rows.items()
@@ -169,7 +166,7 @@ def cleaning_policy(df: DataFrame, catalog: Catalog, period: Period = None) -> D
         )
 
     from_totals = {
-        i: named(f"n{i}") if i in measured else F.lit(None).cast("bigint")
+        i: f"n{i}" if i in measured else "CAST(NULL AS BIGINT)"
         for i in range(len(catalog.policy))
         if i not in copies
     }

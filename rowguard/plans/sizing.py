@@ -21,11 +21,9 @@ _UNKNOWN_BYTES = 1 << 60
 
 def input_bytes(df: DataFrame) -> int | None:
     """Catalyst's size estimate of ``df``, None if there is none. Reads file sizes, no data."""
-    try:
-        statistics = df._jdf.queryExecution().optimizedPlan().stats()
-        size = int(statistics.sizeInBytes().toString())
-    except (AttributeError, TypeError):  # Spark Connect has no handle on the JVM plan
+    if not hasattr(df, "_jdf"):  # Spark Connect has no handle on the plan
         return None
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
     return size if size < _UNKNOWN_BYTES else None
 
 

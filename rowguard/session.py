@@ -15,6 +15,8 @@ DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Noting the Python line behind every column expression doubles the time to build a plan.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
