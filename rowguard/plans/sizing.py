@@ -9,12 +9,14 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame
 
 _SHUFFLE_PARTITIONS = "spark.sql.shuffle.partitions"
+_MERGED_BYTES = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
 
 # A Parquet byte becomes about this many bytes as shuffled rows.
 EXPANSION = 4
+# Also what AQE merges small partitions to, which makes files of about 64 MB.
 TARGET_PARTITION_BYTES = 256 << 20
-# The driver keeps one entry per map task and partition; beyond this partitions just grow and spill.
-MAX_PARTITIONS = 40_000
+# Every map task writes a block per partition; beyond this partitions just grow and spill.
+MAX_PARTITIONS = 100_000
 # Spark's size for sources it knows nothing about is in the exabytes.
 _UNKNOWN_BYTES = 1 << 60
 
@@ -37,11 +39,14 @@ def shuffle_partitions(size: int | None, at_least: int) -> int:
 
 @contextmanager
 def shuffle_sized_for(df: DataFrame) -> Iterator[None]:
-    """Raise the session's shuffle partitions to what ``df`` needs, for the jobs run inside."""
+    """Give the session the shuffle settings ``df`` needs, for the jobs run inside."""
     conf = df.sparkSession.conf
-    before = conf.get(_SHUFFLE_PARTITIONS)
-    conf.set(_SHUFFLE_PARTITIONS, str(shuffle_partitions(input_bytes(df), int(before))))
+    before = {key: conf.get(key) for key in (_SHUFFLE_PARTITIONS, _MERGED_BYTES)}
+    partitions = shuffle_partitions(input_bytes(df), int(before[_SHUFFLE_PARTITIONS]))
+    conf.set(_SHUFFLE_PARTITIONS, str(partitions))
+    conf.set(_MERGED_BYTES, str(TARGET_PARTITION_BYTES))
     try:
         yield
     finally:
-        conf.set(_SHUFFLE_PARTITIONS, before)
+        for key, value in before.items():
+            conf.set(key, value)

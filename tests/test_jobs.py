@@ -15,7 +15,7 @@ from rowguard.plans.sizing import (
     shuffle_sized_for,
 )
 from rowguard.sources.tables import read_table, write_table
-from tests.samples import GOOD, MONTH, ROWS, good_but, trips_of
+from tests.samples import GOOD, MONTH, ROWS, SCHEMA, good_but, trips_of
 
 RAW_ROWS = [
     *ROWS,
@@ -83,6 +83,8 @@ def test_clean_job_reads_csv(spark, tmp_path):
     write_table(trips_of(spark, RAW_ROWS), raw)
     outcome = clean_job.run(raw, out, spark).as_dict()
     assert {key: outcome[key] for key in EXPECTED} == EXPECTED
+    typed = clean_job.run(raw, out, spark, input_schema=SCHEMA).as_dict()
+    assert {key: typed[key] for key in EXPECTED} == EXPECTED
 
 
 def test_clean_job_month_per_file(spark, tmp_path):
@@ -157,6 +159,7 @@ def test_large_inputs_take_the_fingerprint_way(spark, raw, monkeypatch):
     assert clean_job._dedup_for(df, "auto") == "aggregate"
     monkeypatch.setattr(clean_job, "FINGERPRINT_FROM_BYTES", 1)
     assert clean_job._dedup_for(df, "auto") == "fingerprint"
+    assert clean_job._dedup_for(df, "aggregate") == "aggregate"
 
 
 def test_shuffle_partitions_grow_with_the_input(spark, raw):
@@ -166,10 +169,12 @@ def test_shuffle_partitions_grow_with_the_input(spark, raw):
     assert shuffle_partitions(100 << 40, 200) == MAX_PARTITIONS
     df = read_table(spark, raw)
     assert 0 < input_bytes(df) < 1 << 20
-    before = spark.conf.get("spark.sql.shuffle.partitions")
+    keys = ("spark.sql.shuffle.partitions", "spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    before = [spark.conf.get(key) for key in keys]
     with shuffle_sized_for(df):
-        assert spark.conf.get("spark.sql.shuffle.partitions") == before
-    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+        assert spark.conf.get(keys[0]) == before[0]
+        assert spark.conf.get(keys[1]) == str(256 << 20)
+    assert [spark.conf.get(key) for key in keys] == before
 
 
 def test_conditions_reach_the_scan(spark, raw):
