@@ -1,4 +1,4 @@
-"""Rules for the monthly yellow-taxi trip files of the NYC Taxi & Limousine Commission.
+"""Rules for monthly yellow-taxi trip files.
 
 Negative amounts are flagged and kept: no-charge, disputed and voided trips are booked as
 reversals, so a negative amount alone does not show an error.

@@ -1,6 +1,6 @@
 """Exact duplicate rows: dropping them and counting them.
 
-Two ways give the same rows:
+Two ways give the same rows, as far as SQL tells values apart:
 
 * :func:`drop_duplicates` is one hash aggregation over the full row. Copies are merged before the
   shuffle within each task, so a row repeated millions of times sends one copy per task. Everything

@@ -153,10 +153,16 @@ def profile_month(df: DataFrame, catalog: Catalog, period: Period) -> DataFrame:
     return unpivot(measures.take(df), _cross_rule_row(catalog.month, measures.of_month()))
 
 
-def profile_duplicates(df: DataFrame, catalog: Catalog) -> DataFrame:
-    """One row on surplus copies among the raw rows: ``invalid`` of them, the rest ``valid``."""
+def profile_duplicates(
+    df: DataFrame, catalog: Catalog, copies: DataFrame | None = None
+) -> DataFrame:
+    """One row on surplus copies among the raw rows: ``invalid`` of them, the rest ``valid``.
+
+    ``copies`` is a duplicate count on ``df`` if there is one already.
+    """
     rule = catalog.duplicates
-    return duplicate_counts(df).select(
+    counted = duplicate_counts(df) if copies is None else copies
+    return counted.select(
         F.lit(rule.label).alias("rule"),
         named("removed").alias("invalid"),
         named("output_rows").alias("valid"),

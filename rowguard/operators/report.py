@@ -133,20 +133,25 @@ def _policy_masks(binding: Binding) -> dict[str, Column]:
     return masks
 
 
-def cleaning_policy(df: DataFrame, catalog: Catalog, period: Period = None) -> DataFrame:
+def cleaning_policy(
+    df: DataFrame,
+    catalog: Catalog,
+    period: Period = None,
+    copies: DataFrame | None = None,
+) -> DataFrame:
     """The written policy with the rows each line concerns: ``(position, problem, rule, rows)``.
 
-    For duplicates these are the surplus copies. ``rows`` is null if the line cannot apply to the
-    table because it lacks the column.
+    For duplicates these are the surplus copies; ``copies`` is a duplicate count on ``df`` if there
+    is one already. ``rows`` is null if the table lacks the column a line speaks about.
     """
     binding = bind(df, catalog, period)
     masks = _policy_masks(binding)
     measured: dict[int, Column] = {}
-    copies: dict[int, str] = {}
+    surplus: dict[int, str] = {}
     for i, line in enumerate(catalog.policy):
         found = [masks[label] for label in line.covers if label in masks]
         if catalog.duplicates is not None and catalog.duplicates.label in line.covers:
-            copies[i] = "removed"
+            surplus[i] = "removed"
         elif found:
             measured[i] = F.count_if(conditions.any_of(found))
     totals = df.agg(F.count(F.lit(1)).alias(TOTAL), *[m.alias(f"n{i}") for i, m in measured.items()])
@@ -168,9 +173,10 @@ def cleaning_policy(df: DataFrame, catalog: Catalog, period: Period = None) -> D
     from_totals = {
         i: f"n{i}" if i in measured else "CAST(NULL AS BIGINT)"
         for i in range(len(catalog.policy))
-        if i not in copies
+        if i not in surplus
     }
     result = lines(totals, from_totals)
-    if copies:
-        result = result.unionByName(lines(duplicate_counts(binding.without_helpers(df)), copies))
+    if surplus:
+        counted = duplicate_counts(binding.without_helpers(df)) if copies is None else copies
+        result = result.unionByName(lines(counted, surplus))
     return result.orderBy("position")

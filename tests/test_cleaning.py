@@ -327,6 +327,22 @@ def test_time_types(spark, kind):
     assert counted[("removed", "dropoff_before_pickup")] == (0 if kind == "date" else 1)
 
 
+def test_rules_without_limits_check_nothing(spark):
+    catalog = Catalog(columns=(ColumnRule("v", on_violation=REMOVE), ColumnRule("w", allowed=())))
+    df = spark.createDataFrame([(-1, None), (None, 7)], "v int, w int")
+    assert bind(df, catalog).checks == []
+    assert clean(df, catalog).count() == 2
+    assert rule_counts(df, catalog).count() == 0
+
+
+def test_limits_that_exclude_themselves(spark):
+    limits = {"min": 1, "max": 3, "min_inclusive": False, "max_inclusive": False}
+    catalog = Catalog(columns=(ColumnRule("v", on_violation=FLAG, **limits),))
+    df = spark.createDataFrame([(1,), (2,), (3,)], "v int")
+    found = {row["v"]: row["dq_flags"] for row in flag_rows(df, catalog).collect()}
+    assert found == {1: "v:below_min", 2: None, 3: "v:above_max"}
+
+
 def test_odd_column_names(spark):
     catalog = Catalog(columns=(ColumnRule("a.b `c`", min=0, on_violation=SET_NULL),))
     df = spark.createDataFrame([(1, "x"), (-1, "y")], ["a.b `c`", "d.e"])
@@ -337,9 +353,9 @@ def test_odd_column_names(spark):
 
 def test_month_per_row(spark):
     df = trips_of(spark)
-    months = spark.createDataFrame([("2025-01",), ("2024-12",), (None,), ("2024-12",)], "m string")
-    # The same trip filed under three names.
-    filed = trips_of(spark, [GOOD]).crossJoin(months)
+    # The same trip filed under two months, one of them twice, and under no month.
+    months = F.array(*[F.lit(m) for m in ("2025-01", "2024-12", None, "2024-12")])
+    filed = trips_of(spark, [GOOD]).withColumn("m", F.explode(months))
     assert df.columns == clean(filed, YELLOW_TAXI, MonthColumn("m")).columns[:-1]
     found = [row["dq_flags"] for row in clean(filed, YELLOW_TAXI, MonthColumn("m")).collect()]
     assert sorted(found, key=str) == [None, "pickup_outside_file_month"]
