@@ -13,8 +13,8 @@ windows. A byte goes if it lies in a window that also starts in a document with
 
 Each digit deals records of a fixed size into buckets of bounded size. What is frequent is merged in
 each task before it is dealt: of equal runs or windows in a batch only the one with the least id is
-sent, and an anchor with several runs in a batch sends one record while its runs go to digit 3 at
-once. So a passage in a third of all documents sends one record per task, not per document. Texts
+sent, and an anchor with many runs in a batch sends one record while its runs go to digit 3 at once
+(the same result with fewer records in one place). So a passage in a third of all documents sends one record per task, not per document. Texts
 are dealt to groups, compressed, twice: for the windows of digit 3 and for the result.
 
 Rows travel in blocks (arrays in a binary column), sorted and grouped with numpy in the tasks.
@@ -50,7 +50,9 @@ WINDOW = np.dtype([("hash", "<u8"), ("doc", "<u2"), ("at", "<u2"), ("at_high", "
 SPAN = np.dtype(
     [("doc_id", "<i8"), ("text", "<u8"), ("start", "<i8"), ("windows", "<i4"), ("open", "u1")]
 )
-MAX_DOCS, MAX_BYTES = 50_000, 32 << 20
+MAX_DOCS, MAX_BYTES = 50_000, 8 << 20
+#: With more runs than this in one batch, an anchor is frequent: its runs skip digit 2.
+MANY_RUNS = 8
 _LAST = np.iinfo(np.int64).max
 
 
@@ -158,7 +160,7 @@ def _runs(docs: np.ndarray, parts: list[bytes], size: int) -> tuple[np.ndarray,
     found, at = [], 0
     while at < len(parts):
         end, held = at, 0
-        while end < len(parts) and (end == at or held + len(parts[end]) <= 2 * bw.BLOCK):
+        while end < len(parts) and (end == at or held + len(parts[end]) <= bw.BLOCK):
             held += len(parts[end])
             end += 1
         data = np.frombuffer(b"".join(parts[at:end]), dtype=np.uint8)
@@ -188,8 +190,8 @@ def _deal_runs(size: int, buckets: int, groups: int):
                 new_run, new_anchor = _starts(anchor, run), _starts(anchor)
                 least = doc_id[np.nonzero(new_run)[0]][np.cumsum(new_run) - 1]
                 covered = doc_id > least
-                several = np.add.reduceat(new_run, np.nonzero(new_anchor)[0]) > 1
-                several = several[np.cumsum(new_anchor) - 1] if len(several) else several
+                several = np.add.reduceat(new_run.astype(np.int64), np.nonzero(new_anchor)[0]) > MANY_RUNS
+                several = several[np.cumsum(new_anchor) - 1]
                 again = several & ~covered
                 known = covered | again
                 rows = _found(_spans(docs, doc[known], first[known], windows[known], again[known]), groups)
@@ -421,8 +423,7 @@ def _report(docs: DataFrame, size: int, with_text: bool) -> DataFrame:
     if not 8 <= size <= 400:
         raise ValueError("size must be from 8 to 400 bytes")
     total = text_bytes(docs)
-    groups = parts_for(total, 16 << 20)
-    run_buckets, window_buckets = parts_for(total, 16 << 20), parts_for(total, 16 << 20)
+    groups = run_buckets = window_buckets = parts_for(total, 8 << 20)
     narrow = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     dealt = narrow.mapInArrow(_deal_runs(size, run_buckets, groups), _BLOCKS_DDL)
     by_run = written(dealt.groupBy("key").applyInArrow(_order_runs(groups), _BLOCKS_DDL), "suffix-runs")
