@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rowguard.llm import packing, sharding, suffix_dedup
+from rowguard.llm import decontamination, fingerprints, licenses, packing, sharding, suffix_dedup
 from rowguard.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,16 +20,34 @@ def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.repeated_bytes(table(spark, sf_dir, "documents"), size=50)
 
 
+def op5_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_scan(table(spark, sf_dir, "documents"))
+
+
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"), shards=16)
 
 
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of a document and a benchmark item it contains."""
+    return decontamination.contaminated(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
+
+
+def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprint_documents(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_packing,
         op3_suffix_dedup,
+        op5_licenses,
         op7_sharding,
+        op9_decontamination,
+        op10_fingerprints,
     )
 }
 
