@@ -6,7 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rowguard.llm import decontamination, fingerprints, licenses, packing, sharding, suffix_dedup
+from rowguard.llm import (
+    decontamination,
+    fingerprints,
+    html_text,
+    language_id,
+    licenses,
+    near_duplicates,
+    packing,
+    sharding,
+    suffix_dedup,
+    toxicity,
+)
 from rowguard.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,18 +27,35 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), capacity=2048)
 
 
+def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract_pages(table(spark, sf_dir, "pages"))
+
+
 def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.repeated_bytes(table(spark, sf_dir, "documents"), size=50)
 
 
+def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates.near_duplicates(table(spark, sf_dir, "documents"), width=4, percent=80)
+
+
 def op5_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_scan(table(spark, sf_dir, "documents"))
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: doc_id, toxic, score, and the chain's other category."""
+    return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"), shards=16)
 
 
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify_documents(table(spark, sf_dir, "documents"))
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pairs of a document and a benchmark item it contains."""
     return decontamination.contaminated(
@@ -43,9 +71,13 @@ QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_packing,
+        op2_html_text,
         op3_suffix_dedup,
+        op4_near_duplicates,
         op5_licenses,
+        op6_toxicity,
         op7_sharding,
+        op8_language_id,
         op9_decontamination,
         op10_fingerprints,
     )
