@@ -8,7 +8,7 @@
   apart than any pair at the threshold would be (seven standard deviations) are dropped.
 * In each band bucket the least id is the hub. A class is first held against its best hub, then
   against the others that it is not yet connected with, and at last against every other candidate of
-  its buckets in another component. Members that are connected already need no pair of their own, so
+  its buckets in another component that a finer sketch (1024 samples) leaves possible. Members that are connected already need no pair of their own, so
   groups of near copies never give all their pairs; no link between components is lost.
 """
 
@@ -28,11 +28,13 @@ from rowguard.llm.graph import components
 from rowguard.llm.shingles import Shingler
 
 SAMPLES, ROWS, BITS = 128, 4, 512
+#: The finer sketch, for classes whose buckets hold several components.
+FINE_SAMPLES, FINE_BITS = 1024, 4096
 #: Up to so many ids are broadcast to pick the texts to compare (8 bytes each); beyond, both shuffle.
 BROADCAST_IDS = 1_000_000
 _rng = np.random.Generator(np.random.PCG64(20240229))
-_FACTORS = _rng.integers(0, 1 << 31, SAMPLES, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
-_OFFSETS = _rng.integers(0, 1 << 32, SAMPLES, dtype=np.uint32)
+_FACTORS = _rng.integers(0, 1 << 31, FINE_SAMPLES, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
+_OFFSETS = _rng.integers(0, 1 << 32, FINE_SAMPLES, dtype=np.uint32)
 del _rng
 
 _SIGNED = (
@@ -40,21 +42,22 @@ _SIGNED = (
 )
 
 
-def minhashes(own: np.ndarray) -> np.ndarray:
+def minhashes(own: np.ndarray, samples: int = SAMPLES) -> np.ndarray:
     """The samples of a set of hashes; the set must not be empty."""
     small = (own >> np.uint64(32)).astype(np.uint32)
-    least = np.full(SAMPLES, 0xFFFFFFFF, dtype=np.uint32)
-    for at in range(0, len(small), 2048):
-        part = small[at : at + 2048, None] * _FACTORS + _OFFSETS
+    least = np.full(samples, 0xFFFFFFFF, dtype=np.uint32)
+    step = (1 << 18) // samples
+    for at in range(0, len(small), step):
+        part = small[at : at + step, None] * _FACTORS[:samples] + _OFFSETS[:samples]
         np.minimum(least, part.min(axis=0), out=least)
     return least
 
 
-def odd_sketch(samples: np.ndarray) -> np.ndarray:
-    """Eight 64-bit words; each sample turns one bit over."""
-    place = np.arange(SAMPLES, dtype=np.uint64) << np.uint64(32)
-    bit = (mixed(samples.astype(np.uint64) | place) >> np.uint64(55)).astype(np.int64)
-    odd = np.bincount(bit, minlength=BITS) & 1
+def odd_sketch(samples: np.ndarray, bits: int = BITS) -> np.ndarray:
+    """A bitmap in 64-bit words; each sample turns one bit over. ``bits`` is a power of two."""
+    place = np.arange(len(samples), dtype=np.uint64) << np.uint64(32)
+    bit = (mixed(samples.astype(np.uint64) | place) & np.uint64(bits - 1)).astype(np.int64)
+    odd = np.bincount(bit, minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8)).view("<i8")
 
 
@@ -65,13 +68,12 @@ def band_keys(samples: np.ndarray) -> np.ndarray:
     return keys.view(np.int64)
 
 
-def largest_distance(percent: int) -> int:
-    """More bits than this differ for no pair at the threshold, but for chance beyond seven
-    standard deviations."""
+def largest_distance(percent: int, samples: int = SAMPLES, bits: int = BITS) -> int:
+    """More bits than this differ for no pair at the threshold, but for chance: seven standard
+    deviations of the number of samples that differ."""
     share = 1 - percent / 100
-    differing = SAMPLES * share + 7 * math.sqrt(SAMPLES * share * (1 - share))
-    mean = BITS / 2 * (1 - (1 - 2 / BITS) ** (2 * min(SAMPLES, differing)))
-    return math.ceil(mean)
+    differing = samples * share + 7 * math.sqrt(samples * share * (1 - share))
+    return math.ceil(bits / 2 * (1 - (1 - 2 / bits) ** (2 * min(samples, differing))))
 
 
 def _sign(width: int):
@@ -112,9 +114,25 @@ def _confirm(width: int, percent: int):
     return confirm
 
 
-def _distance(a: str, b: str) -> Column:
-    return sum((F.bit_count(F.col(a)[i].bitwiseXOR(F.col(b)[i])) for i in range(1, BITS // 64)),
-               F.bit_count(F.col(a)[0].bitwiseXOR(F.col(b)[0])))
+def _refine(width: int):
+    def refine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingler = Shingler(width)
+        for whole in batches:
+            for at in range(0, len(whole), 1000):
+                batch = whole.slice(at, 1000)
+                fine = [
+                    odd_sketch(minhashes(own, FINE_SAMPLES), FINE_BITS) if len(own) else None
+                    for own in shingler.sets(batch.column("text").to_pylist())
+                ]
+                column = pa.array(fine, type=pa.list_(pa.int64()))
+                yield pa.RecordBatch.from_arrays([batch.column("id"), column], names=["id", "fine"])
+
+    return refine
+
+
+def _distance(a: str, b: str, bits: int = BITS) -> Column:
+    differ = [F.bit_count(F.col(a)[i].bitwiseXOR(F.col(b)[i])) for i in range(bits // 64)]
+    return sum(differ[1:], differ[0])
 
 
 def _near(percent: int) -> Column:
@@ -164,7 +182,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
         tried.select(F.col("u").alias("doc_id")).unionByName(tried.select(F.col("v").alias("doc_id"))).distinct(),
         "near-ids",
     )
-    texts = _texts(narrow, ids, signed, classes, width)
+    texts = _texts(narrow, ids)
     best = Window.partitionBy("u").orderBy("distance", "v")
     first = tried.withColumn("rank", F.row_number().over(best)).filter("rank = 1").select("u", "v")
     links = written(_links(first, texts, width, percent), "near-links")
@@ -183,17 +201,22 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     mixed_buckets = (
         held.groupBy("band").agg(F.min("label").alias("a"), F.max("label").alias("b")).filter("a < b").select("band")
     )
-    held = written(held.join(mixed_buckets, "band").join(reps.select("id", "n", "sketch"), "id"), "near-mixed")
+    held = written(held.join(mixed_buckets, "band"), "near-mixed")
+    ids = written(held.select(F.col("id").alias("doc_id")).distinct(), "near-ids")
+    texts = _texts(narrow, ids)
+    fine = texts.mapInArrow(_refine(width), "id bigint, fine array<bigint>").join(
+        reps.select("id", "n", "sketch"), "id"
+    )
+    held = written(held.join(fine, "id"), "near-mixed-signed")
     sides = [
-        held.select("band", *[F.col(c).alias(f"{c if c != 'id' else ''}{'_' if c != 'id' else ''}{x}") for c in ("id", "n", "sketch", "label")])
+        held.select("band", F.col("id").alias(x), *[F.col(c).alias(f"{c}_{x}") for c in ("n", "sketch", "fine", "label")])
         for x in ("u", "v")
     ]
-    others = sides[0].join(sides[1], "band").filter((F.col("label_u") < F.col("label_v")) & _near(percent))
+    alike = _distance("fine_u", "fine_v", FINE_BITS) <= largest_distance(percent, FINE_SAMPLES, FINE_BITS)
+    others = sides[0].join(sides[1], "band").filter((F.col("label_u") < F.col("label_v")) & _near(percent) & alike)
     others = others.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
     others = written(others.join(tried, ["u", "v"], "left_anti"), "near-others")
     if not others.isEmpty():
-        ids = others.select(F.col("u").alias("doc_id")).unionByName(others.select(F.col("v").alias("doc_id"))).distinct()
-        texts = _texts(narrow, written(ids, "near-ids"), signed, classes, width)
         links = written(links.unionByName(_links(others, texts, width, percent)), "near-links")
         labels = components(links)
 
@@ -218,7 +241,7 @@ def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
     return pairs.filter(apart).select("u", "v")
 
 
-def _texts(narrow: DataFrame, ids: DataFrame, signed: DataFrame, classes: DataFrame, width: int) -> DataFrame:
+def _texts(narrow: DataFrame, ids: DataFrame) -> DataFrame:
     """id and text of the classes named by ``ids``. Of rows with one id, the longest text counts."""
     side = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
     found = narrow.join(side, "doc_id", "left_semi").groupBy(F.col("doc_id").alias("id"))

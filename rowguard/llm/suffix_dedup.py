@@ -50,7 +50,7 @@ WINDOW = np.dtype([("hash", "<u8"), ("doc", "<u2"), ("at", "<u2"), ("at_high", "
 SPAN = np.dtype(
     [("doc_id", "<i8"), ("text", "<u8"), ("start", "<i8"), ("windows", "<i4"), ("open", "u1")]
 )
-MAX_DOCS, MAX_BYTES = 50_000, 8 << 20
+MAX_DOCS, MAX_BYTES = 50_000, 4 << 20
 #: With more runs than this in one batch, an anchor is frequent: its runs skip digit 2.
 MANY_RUNS = 8
 _LAST = np.iinfo(np.int64).max
@@ -135,10 +135,16 @@ def _dealt(keys: np.ndarray, kind: int, docs: np.ndarray, records: np.ndarray) -
     return rows
 
 
-def _pieces(ids: list, texts: list, size: int) -> Iterator[tuple[np.ndarray, list[bytes]]]:
+def _rows(batch: pa.RecordBatch) -> Iterator[tuple[int | None, str | None]]:
+    for at in range(0, len(batch), 200):
+        part = batch.slice(at, 200)
+        yield from zip(part.column("doc_id").to_pylist(), part.column("text").to_pylist())
+
+
+def _pieces(rows: Iterator[tuple[int | None, str | None]], size: int) -> Iterator[tuple[np.ndarray, list[bytes]]]:
     """Documents in portions; long ones in overlapping parts, so that every window is in one."""
     docs, parts, held = [], [], 0
-    for doc_id, text in zip(ids, texts):
+    for doc_id, text in rows:
         raw = (text or "").encode()
         if len(raw) < size:
             continue
@@ -179,8 +185,7 @@ def _deal_runs(size: int, buckets: int, groups: int):
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, texts = batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()
-            for docs, parts in _pieces(ids, texts, size):
+            for docs, parts in _pieces(_rows(batch), size):
                 doc, first, windows, anchor, run = _runs(docs, parts, size)
                 order = np.lexsort((docs["doc_id"][doc], run, anchor))
                 doc, first, windows, anchor, run = (
@@ -423,7 +428,7 @@ def _report(docs: DataFrame, size: int, with_text: bool) -> DataFrame:
     if not 8 <= size <= 400:
         raise ValueError("size must be from 8 to 400 bytes")
     total = text_bytes(docs)
-    groups = run_buckets = window_buckets = parts_for(total, 8 << 20)
+    groups = run_buckets = window_buckets = parts_for(total, 6 << 20)
     narrow = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     dealt = narrow.mapInArrow(_deal_runs(size, run_buckets, groups), _BLOCKS_DDL)
     by_run = written(dealt.groupBy("key").applyInArrow(_order_runs(groups), _BLOCKS_DDL), "suffix-runs")
