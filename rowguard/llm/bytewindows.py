@@ -12,7 +12,7 @@ import numpy as np
 _MULTIPLIER = 0x9E3779B97F4A7C15
 _PLACE_BITS = 23
 #: Bytes handled at once; places must fit into ``_PLACE_BITS``.
-BLOCK = 1 << 19
+BLOCK = 1 << 17
 
 
 def mixed(x: np.ndarray) -> np.ndarray:

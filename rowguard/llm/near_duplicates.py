@@ -68,11 +68,11 @@ def band_keys(samples: np.ndarray) -> np.ndarray:
     return keys.view(np.int64)
 
 
-def largest_distance(percent: int, samples: int = SAMPLES, bits: int = BITS) -> int:
-    """More bits than this differ for no pair at the threshold, but for chance: seven standard
+def largest_distance(percent: int, samples: int = SAMPLES, bits: int = BITS, deviations: int = 7) -> int:
+    """More bits than this differ for no pair at the threshold, but for chance: so many standard
     deviations of the number of samples that differ."""
     share = 1 - percent / 100
-    differing = samples * share + 7 * math.sqrt(samples * share * (1 - share))
+    differing = samples * share + deviations * math.sqrt(samples * share * (1 - share))
     return math.ceil(bits / 2 * (1 - (1 - 2 / bits) ** (2 * min(samples, differing))))
 
 
@@ -205,15 +205,19 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     ids = written(held.select(F.col("id").alias("doc_id")).distinct(), "near-ids")
     texts = _texts(narrow, ids)
     fine = texts.mapInArrow(_refine(width), "id bigint, fine array<bigint>").join(
-        reps.select("id", "n", "sketch"), "id"
+        reps.select("id", "n", "sketch", "bands"), "id"
     )
     held = written(held.join(fine, "id"), "near-mixed-signed")
     sides = [
-        held.select("band", F.col("id").alias(x), *[F.col(c).alias(f"{c}_{x}") for c in ("n", "sketch", "fine", "label")])
+        held.select("band", F.col("id").alias(x), *[F.col(c).alias(f"{c}_{x}") for c in ("n", "sketch", "fine", "bands", "label")])
         for x in ("u", "v")
     ]
-    alike = _distance("fine_u", "fine_v", FINE_BITS) <= largest_distance(percent, FINE_SAMPLES, FINE_BITS)
-    others = sides[0].join(sides[1], "band").filter((F.col("label_u") < F.col("label_v")) & _near(percent) & alike)
+    alike = _distance("fine_u", "fine_v", FINE_BITS) <= largest_distance(percent, FINE_SAMPLES, FINE_BITS, 6)
+    # A pair counts in the first of the bands it shares only.
+    once = F.array_intersect("bands_u", "bands_v")[0] == F.col("band")
+    others = sides[0].join(sides[1], "band").filter(
+        (F.col("label_u") < F.col("label_v")) & _near(percent) & alike & once
+    )
     others = others.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
     others = written(others.join(tried, ["u", "v"], "left_anti"), "near-others")
     if not others.isEmpty():

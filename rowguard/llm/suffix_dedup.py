@@ -50,7 +50,7 @@ WINDOW = np.dtype([("hash", "<u8"), ("doc", "<u2"), ("at", "<u2"), ("at_high", "
 SPAN = np.dtype(
     [("doc_id", "<i8"), ("text", "<u8"), ("start", "<i8"), ("windows", "<i4"), ("open", "u1")]
 )
-MAX_DOCS, MAX_BYTES = 50_000, 4 << 20
+MAX_DOCS, MAX_BYTES = 50_000, 2 << 20
 #: With more runs than this in one batch, an anchor is frequent: its runs skip digit 2.
 MANY_RUNS = 8
 _LAST = np.iinfo(np.int64).max
