@@ -431,18 +431,20 @@ def _report(docs: DataFrame, size: int, with_text: bool) -> DataFrame:
     groups = run_buckets = window_buckets = parts_for(total, 6 << 20)
     narrow = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     dealt = narrow.mapInArrow(_deal_runs(size, run_buckets, groups), _BLOCKS_DDL)
-    by_run = written(dealt.groupBy("key").applyInArrow(_order_runs(groups), _BLOCKS_DDL), "suffix-runs")
+    by_run = written(
+        _by_key(dealt, run_buckets + groups).applyInArrow(_order_runs(groups), _BLOCKS_DDL), "suffix-runs"
+    )
     open_runs = by_run.mapInArrow(_only(is_open=True), _BLOCKS_DDL)
     texts = narrow.mapInArrow(_deal_texts(groups), _BLOCKS_DDL)
-    windows = open_runs.unionByName(texts).groupBy("key").applyInArrow(
+    windows = _by_key(open_runs.unionByName(texts), groups).applyInArrow(
         _deal_windows(size, window_buckets, groups), _BLOCKS_DDL
     )
-    by_window = windows.groupBy("key").applyInArrow(_order_windows(groups), _BLOCKS_DDL)
+    by_window = _by_key(windows, window_buckets + groups).applyInArrow(_order_windows(groups), _BLOCKS_DDL)
     covered = by_run.mapInArrow(_only(is_open=False), _BLOCKS_DDL).unionByName(by_window)
     result = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string"
     if with_text:
         others = [f"`{c}`" for c in docs.columns if c not in ("doc_id", "text")]
-        rows = docs.select(narrow["doc_id"], narrow["text"], *others)
+        rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), *others)
         taken = {"doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"}
         if clash := taken & {c.strip("`") for c in others}:
             rows = rows.drop(*clash)
@@ -453,7 +455,12 @@ def _report(docs: DataFrame, size: int, with_text: bool) -> DataFrame:
         result += ", text string" + (f", {kept}" if kept else "")
     empty = docs.sparkSession.createDataFrame([], result)
     schema = to_arrow_schema(empty.schema)
-    return covered.unionByName(texts).groupBy("key").applyInArrow(_finish(size, schema, with_text), result)
+    return _by_key(covered.unionByName(texts), groups).applyInArrow(_finish(size, schema, with_text), result)
+
+
+def _by_key(blocks: DataFrame, keys: int):
+    """Blocks grouped by key, about one key in a task, so that tasks stay small."""
+    return blocks.repartition(keys, "key").groupBy("key")
 
 
 def _only(is_open: bool):
