@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import math
 import tempfile
 import uuid
@@ -51,3 +52,15 @@ def text_bytes(docs: DataFrame) -> int:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def release_memory() -> None:
+    """Give memory that a Python worker no longer uses back to the machine; workers live on after a
+    task, and what they keep counts against the executor."""
+    import pyarrow
+
+    pyarrow.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass

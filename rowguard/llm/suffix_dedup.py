@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rowguard.llm import bytewindows as bw
-from rowguard.llm.common import parts_for, text_bytes, written
+from rowguard.llm.common import parts_for, release_memory, text_bytes, written
 
 BLOCKS = pa.schema([("key", pa.int64()), ("kind", pa.int32()), ("ids", pa.binary()), ("data", pa.binary())])
 _BLOCKS_DDL = "key bigint, kind int, ids binary, data binary"
@@ -212,6 +212,8 @@ def _deal_runs(size: int, buckets: int, groups: int):
                 rows += _dealt(bucket.astype(np.int64), RUNS, docs, records)
                 # Buckets and groups share the shuffle; the keys of groups are negative.
                 yield _blocks([(-1 - k if kind == FOUND else k, kind, i, d) for k, kind, i, d in rows])
+                del doc, first, windows, anchor, run, doc_id, order, records, rows
+                release_memory()
 
     return deal
 
@@ -458,9 +460,24 @@ def _report(docs: DataFrame, size: int, with_text: bool) -> DataFrame:
     return _by_key(covered.unionByName(texts), groups).applyInArrow(_finish(size, schema, with_text), result)
 
 
-def _by_key(blocks: DataFrame, keys: int):
+class _Grouped:
+    """Grouped blocks; memory is given back after each group."""
+
+    def __init__(self, blocks: DataFrame, keys: int) -> None:
+        self.groups = blocks.repartition(keys, "key").groupBy("key")
+
+    def applyInArrow(self, function, schema: str) -> DataFrame:  # noqa: N802 - Spark's name
+        def apply(table: pa.Table) -> pa.Table:
+            out = function(table)
+            release_memory()
+            return out
+
+        return self.groups.applyInArrow(apply, schema)
+
+
+def _by_key(blocks: DataFrame, keys: int) -> _Grouped:
     """Blocks grouped by key, about one key in a task, so that tasks stay small."""
-    return blocks.repartition(keys, "key").groupBy("key")
+    return _Grouped(blocks, keys)
 
 
 def _only(is_open: bool):
