@@ -214,7 +214,8 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     ]
     alike = _distance("fine_u", "fine_v", FINE_BITS) <= largest_distance(percent, FINE_SAMPLES, FINE_BITS, 6)
     # A pair counts in the first of the bands it shares only.
-    once = F.array_intersect("bands_u", "bands_v")[0] == F.col("band")
+    shared = [F.when(F.col("bands_u")[i] == F.col("bands_v")[i], F.col("bands_u")[i]) for i in range(SAMPLES // ROWS)]
+    once = F.coalesce(*shared) == F.col("band")
     others = sides[0].join(sides[1], "band").filter(
         (F.col("label_u") < F.col("label_v")) & _near(percent) & alike & once
     )

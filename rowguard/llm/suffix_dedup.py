@@ -175,6 +175,8 @@ def _runs(docs: np.ndarray, parts: list[bytes], size: int) -> tuple[np.ndarray,
         whole = bw.rolling(data, size)
         run = whole[first] * np.uint64(0x9E3779B97F4A7C15) + whole[first + windows - 1]
         run = bw.mixed(run + windows.astype(np.uint64))
+        # Anchors have small hashes, being the least of their windows; mixed again they spread evenly.
+        anchor = bw.mixed(anchor + np.uint64(0x9E3779B97F4A7C15))
         found.append((doc + at, first - starts[doc], windows, anchor, run))
         at = end
     return tuple(np.concatenate(x) for x in zip(*found))
