@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from rowguard.functions.months import Month, MonthColumn
 from rowguard.functions.values import named
@@ -73,7 +74,7 @@ def flag_rows(df: DataFrame, catalog: Catalog, period: Period = None) -> DataFra
 
 def rows_with_flag(cleaned: DataFrame, label: str, flag_column: str = "dq_flags") -> DataFrame:
     """Cleaned rows carrying ``label`` among their flags."""
-    return cleaned.filter(named(flag_column).contains(label))
+    return cleaned.filter(F.array_contains(F.split(named(flag_column), ";"), label))
 
 
 def mark_breaches(df: DataFrame, binding: Binding, label: str, as_name: str) -> DataFrame:

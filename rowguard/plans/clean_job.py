@@ -11,18 +11,14 @@ import time
 from dataclasses import asdict, dataclass, field
 from typing import Any
 
-from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from rowguard.catalogs import YELLOW_TAXI
 from rowguard.functions.months import MonthColumn, month_of_path
-from rowguard.functions.values import named
-from rowguard.operators.binding import bind
 from rowguard.operators.cleaning import (
     Period,
     check_columns,
     clean,
-    removes_duplicates,
 )
 from rowguard.operators.counts import (
     INPUT_ROWS,
@@ -33,24 +29,26 @@ from rowguard.operators.counts import (
     clean_summary,
 )
 from rowguard.operators.duplicates import drop_duplicates, drop_rare_duplicates
-from rowguard.plans.sizing import input_bytes, shuffle_sized_for
+from rowguard.plans.sizing import shuffle_sized_for
 from rowguard.rules import Catalog
 from rowguard.session import get_session
-from rowguard.sources.tables import CSV, PARQUET, read_table, with_file_month, write_table
+from rowguard.sources.tables import (
+    CSV,
+    PARQUET,
+    format_of,
+    read_table,
+    with_file_month,
+    write_table,
+)
 
 FROM_NAME = "from-name"
 PER_FILE = "per-file"
 _FILE_MONTH = "__rowguard_file_month"
+# Suffixes of data files that are neither Parquet nor CSV: refused.
+_OTHER_FILES = (".json", ".jsonl", ".txt", ".tsv", ".gz", ".bz2", ".zip", ".xz", ".zst", ".orc", ".avro", ".xlsx")
 
-DEDUP_AUTO = "auto"
 DEDUP_AGGREGATE = "aggregate"
 DEDUP_FINGERPRINT = "fingerprint"
-# On one machine both ways take about the same time and processor; the fingerprint way shuffles a
-# quarter of the bytes. That counts once a full-row shuffle outgrows memory and loads the network.
-FINGERPRINT_FROM_BYTES = 64 << 30
-
-COUNT_EXACT = "exact"
-COUNT_OBSERVED = "observed"
 
 
 @dataclass
@@ -89,7 +87,11 @@ class CleanOutcome:
 
 
 def _input_format(path: str) -> str:
-    return CSV if path.rstrip("/").lower().endswith(".csv") else PARQUET
+    """By suffix; a folder without one of a known data file (``.json``, ``.gz``...) is Parquet."""
+    name = path.rstrip("/").rsplit("/", 1)[-1].lower()
+    if name.endswith((".csv", ".parquet")) or name.endswith(_OTHER_FILES):
+        return format_of(path)
+    return PARQUET
 
 
 def read_for_cleaning(
@@ -108,13 +110,6 @@ def read_for_cleaning(
     return df, period
 
 
-def _dedup_for(df: DataFrame, dedup: str) -> str:
-    if dedup != DEDUP_AUTO:
-        return dedup
-    size = input_bytes(df)
-    return DEDUP_FINGERPRINT if size and size >= FINGERPRINT_FROM_BYTES else DEDUP_AGGREGATE
-
-
 def write_cleaned(
     df: DataFrame,
     output_path: str,
@@ -122,30 +117,20 @@ def write_cleaned(
     period: Period = None,
     *,
     output_format: str | None = None,
-    dedup: str = DEDUP_AUTO,
-    counting: str = COUNT_EXACT,
+    dedup: str = DEDUP_AGGREGATE,
 ) -> CleanOutcome:
     """Clean ``df``, write it and return the counts.
 
-    ``counting="exact"`` counts the input in a second, narrow scan and the output by reading back
-    its flag column; a task that runs twice cannot change these numbers. ``"observed"`` takes all
-    counts while the rows pass by on their way to the one write. It saves the second scan, but if
-    an executor is lost after the shuffle has begun, Spark repeats tasks and counts their input
-    rows again, so use it where the counts are informative only.
+    The input is counted in a second, narrow scan and the output by reading it back, so a task that
+    runs twice cannot change the numbers. Duplicates are dropped by one aggregation whatever the
+    size; ``dedup="fingerprint"`` asks for the other way by name.
     """
-    if counting not in (COUNT_EXACT, COUNT_OBSERVED):
-        raise ValueError(f"Unknown way of counting: {counting}")
-    if dedup not in (DEDUP_AUTO, DEDUP_AGGREGATE, DEDUP_FINGERPRINT):
+    if dedup not in (DEDUP_AGGREGATE, DEDUP_FINGERPRINT):
         raise ValueError(f"Unknown way of dropping duplicates: {dedup}")
     check_columns(df, catalog)
     kind = output_format or _input_format(output_path)
     started = time.perf_counter()
-    if counting == COUNT_OBSERVED:
-        if dedup == DEDUP_FINGERPRINT:
-            raise ValueError("Observed counts need dedup='aggregate': the input is scanned once")
-        outcome = _write_observed(df, output_path, kind, catalog, period)
-    else:
-        outcome = _write_exact(df, output_path, kind, catalog, period, _dedup_for(df, dedup))
+    outcome = _write_exact(df, output_path, kind, catalog, period, dedup)
     outcome.elapsed_seconds = round(time.perf_counter() - started, 3)
     return outcome
 
@@ -157,7 +142,8 @@ def _write_exact(
         drop = drop_rare_duplicates if dedup == DEDUP_FINGERPRINT else drop_duplicates
         cleaned = clean(df, catalog, period, drop)
         write_table(cleaned, path, format=kind)
-    written = read_table(df.sparkSession, path, format=kind, schema=cleaned.schema)
+    # A text may hold line ends; each file we wrote is one task anyway.
+    written = read_table(df.sparkSession, path, format=kind, schema=cleaned.schema, multi_line=kind == CSV)
     outcome = CleanOutcome(path, dedup=dedup)
     # Bounded by the catalogue: one row per rule.
     for row in clean_summary(df, catalog, period, cleaned=written).collect():
@@ -165,40 +151,6 @@ def _write_exact(
     return outcome
 
 
-def _write_observed(
-    df: DataFrame, path: str, kind: str, catalog: Catalog, period: Period
-) -> CleanOutcome:
-    checks = bind(df, catalog, period).active_checks
-    seen, kept, written = Observation(), Observation(), Observation()
-    counted = df.observe(
-        seen,
-        F.count(F.lit(1)).alias(INPUT_ROWS),
-        *[F.count_if(c.condition.broken).alias(f"n{i}") for i, c in enumerate(checks)],
-    )
-
-    def count_and_drop(survivors: DataFrame) -> DataFrame:
-        return drop_duplicates(survivors.observe(kept, F.count(F.lit(1)).alias("rows")))
-
-    cleaned = clean(counted, catalog, period, count_and_drop).observe(
-        written,
-        F.count(F.lit(1)).alias(OUTPUT_ROWS),
-        F.count(named(catalog.flag_column)).alias(ROWS_FLAGGED),
-    )
-    with shuffle_sized_for(df):
-        write_table(cleaned, path, format=kind)
-
-    outcome = CleanOutcome(path)
-    outcome.input_rows = seen.get[INPUT_ROWS]
-    outcome.output_rows = written.get[OUTPUT_ROWS]
-    outcome.rows_flagged = written.get[ROWS_FLAGGED]
-    outcome.rows_removed = outcome.input_rows - outcome.output_rows
-    for i, check in enumerate(checks):
-        outcome.add(check.kind, check.label, seen.get[f"n{i}"])
-    if removes_duplicates(catalog):
-        outcome.removed[catalog.duplicates.label] = kept.get["rows"] - outcome.output_rows
-    return outcome
-
-
 def run(
     input_path: str,
     output_path: str,
@@ -209,8 +161,7 @@ def run(
     input_format: str | None = None,
     input_schema: str | None = None,
     output_format: str | None = None,
-    dedup: str = DEDUP_AUTO,
-    counting: str = COUNT_EXACT,
+    dedup: str = DEDUP_AGGREGATE,
 ) -> CleanOutcome:
     """Clean one file or folder into ``output_path``. Stops only a session it started itself.
 
@@ -229,7 +180,6 @@ def run(
             expected,
             output_format=output_format,
             dedup=dedup,
-            counting=counting,
         )
     finally:
         if own:
@@ -249,10 +199,7 @@ def main(arguments: list[str] | None = None) -> None:
     parser.add_argument("--input-schema", help="column names and types, as in CREATE TABLE")
     parser.add_argument("--output-format", choices=(PARQUET, CSV))
     parser.add_argument(
-        "--dedup", default=DEDUP_AUTO, choices=(DEDUP_AUTO, DEDUP_AGGREGATE, DEDUP_FINGERPRINT)
-    )
-    parser.add_argument(
-        "--counting", default=COUNT_EXACT, choices=(COUNT_EXACT, COUNT_OBSERVED)
+        "--dedup", default=DEDUP_AGGREGATE, choices=(DEDUP_AGGREGATE, DEDUP_FINGERPRINT)
     )
     options = parser.parse_args(arguments)
     outcome = run(
@@ -263,7 +210,6 @@ def main(arguments: list[str] | None = None) -> None:
         input_schema=options.input_schema,
         output_format=options.output_format,
         dedup=options.dedup,
-        counting=options.counting,
     )
     print("\n".join(outcome.lines()))
 

@@ -7,15 +7,15 @@ from __future__ import annotations
 
 import argparse
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 from rowguard.catalogs import YELLOW_TAXI
 from rowguard.operators.binding import bind
 from rowguard.operators.cleaning import Period
-from rowguard.operators.duplicates import duplicate_counts, rare_duplicate_counts
+from rowguard.operators.duplicates import duplicate_counts
 from rowguard.operators.report import quality_report
-from rowguard.plans.clean_job import FINGERPRINT_FROM_BYTES, FROM_NAME, read_for_cleaning
-from rowguard.plans.sizing import input_bytes, shuffle_sized_for
+from rowguard.plans.clean_job import FROM_NAME, read_for_cleaning
+from rowguard.plans.sizing import shuffle_sized_for
 from rowguard.rules import Catalog
 from rowguard.session import get_session
 from rowguard.sources.tables import CSV, PARQUET
@@ -38,6 +38,7 @@ def run(
     catalog: Catalog = YELLOW_TAXI,
     period: Period = FROM_NAME,
     input_format: str | None = None,
+    input_schema: str | None = None,
     report_format: str = "json",
 ) -> str:
     """Profile one file or folder; returns where the report was written."""
@@ -47,10 +48,10 @@ def run(
     session = spark or get_session("rowguard_profile")
     target = report_path or report_path_for(input_path)
     try:
-        df, expected = read_for_cleaning(session, input_path, period, input_format)
+        df, expected = read_for_cleaning(session, input_path, period, input_format, input_schema)
         data = bind(df, catalog, expected).without_helpers(df)
         with shuffle_sized_for(df):
-            report = quality_report(df, catalog, expected, copies=_copies(data))
+            report = quality_report(df, catalog, expected, copies=duplicate_counts(data))
             writer = report.write.mode("overwrite").format(report_format)
             if report_format == CSV:
                 writer = writer.option("header", True)
@@ -61,13 +62,6 @@ def run(
             session.stop()
 
 
-def _copies(df: DataFrame) -> DataFrame:
-    size = input_bytes(df)
-    if size and size >= FINGERPRINT_FROM_BYTES:
-        return rare_duplicate_counts(df)
-    return duplicate_counts(df)
-
-
 def main(arguments: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(description="Profile yellow-taxi trips by the quality rules.")
     parser.add_argument("--input", required=True, help="Parquet or CSV file or folder")
@@ -75,12 +69,14 @@ def main(arguments: list[str] | None = None) -> None:
     parser.add_argument("--report-format", default="json", choices=REPORT_FORMATS)
     parser.add_argument("--period", default=FROM_NAME)
     parser.add_argument("--input-format", choices=(PARQUET, CSV))
+    parser.add_argument("--input-schema", help="column names and types, as in CREATE TABLE")
     options = parser.parse_args(arguments)
     target = run(
         options.input,
         options.report,
         period=options.period,
         input_format=options.input_format,
+        input_schema=options.input_schema,
         report_format=options.report_format,
     )
     print(f"report written to {target}")

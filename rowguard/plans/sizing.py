@@ -15,8 +15,6 @@ _MERGED_BYTES = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
 EXPANSION = 4
 # Also what AQE merges small partitions to, which makes files of about 64 MB.
 TARGET_PARTITION_BYTES = 256 << 20
-# Every map task writes a block per partition; beyond this partitions just grow and spill.
-MAX_PARTITIONS = 100_000
 # Spark's size for sources it knows nothing about is in the exabytes.
 _UNKNOWN_BYTES = 1 << 60
 
@@ -34,7 +32,7 @@ def shuffle_partitions(size: int | None, at_least: int) -> int:
     if size is None:
         return at_least
     needed = math.ceil(size * EXPANSION / TARGET_PARTITION_BYTES)
-    return max(at_least, min(needed, MAX_PARTITIONS))
+    return max(at_least, needed)
 
 
 @contextmanager

@@ -30,12 +30,15 @@ def read_table(
     format: str | None = None,  # noqa: A002 - the word Spark uses
     schema: T.StructType | str | None = None,
     null_value: str | None = None,
+    multi_line: bool = False,
 ) -> DataFrame:
     """Read one file or a folder of files.
 
     The format comes from the suffix unless given. CSV files have a header. Without a schema their
     types are inferred, which reads the whole input once more, so give one for large inputs.
-    ``null_value`` is the text that stands for null besides the empty field.
+    ``null_value`` is the text that stands for null besides the empty field; empty text is null.
+    Quotes inside a quoted field are doubled. ``multi_line`` allows line ends in quoted fields; such
+    files cannot be split, so each is one task. Values that do not fit a given schema become null.
     """
     kind = format or format_of(path)
     if kind not in FORMATS:
@@ -45,6 +48,7 @@ def read_table(
         reader = reader.schema(schema)
     if kind == CSV:
         reader = reader.option("header", True).option("inferSchema", schema is None)
+        reader = reader.option("escape", '"').option("multiLine", multi_line)
         if null_value is not None:
             reader = reader.option("nullValue", null_value)
     try:
@@ -64,7 +68,9 @@ def write_table(df: DataFrame, path: str, *, format: str | None = None) -> None:
     if kind == PARQUET:
         writer = writer.option("compression", "snappy")
     else:
-        writer = writer.option("header", True)
+        writer = writer.option("header", True).option("escape", '"')
+        for blanks in ("ignoreLeadingWhiteSpace", "ignoreTrailingWhiteSpace"):
+            writer = writer.option(blanks, False)
     writer.save(str(path))
 
 

@@ -9,7 +9,6 @@ from rowguard.catalogs import YELLOW_TAXI
 from rowguard.operators.cleaning import clean
 from rowguard.plans import clean_job, profile_job
 from rowguard.plans.sizing import (
-    MAX_PARTITIONS,
     input_bytes,
     shuffle_partitions,
     shuffle_sized_for,
@@ -60,13 +59,13 @@ def plain(df):
 
 
 @pytest.mark.parametrize(
-    ("counting", "dedup"),
-    [("exact", "auto"), ("exact", "aggregate"), ("exact", "fingerprint"), ("observed", "auto")],
+    "dedup",
+    ["aggregate", "fingerprint"],
 )
 @pytest.mark.parametrize("target", ["out.spark_cleaned", "out.csv"])
-def test_clean_job(spark, raw, tmp_path, counting, dedup, target):
+def test_clean_job(spark, raw, tmp_path, dedup, target):
     path = str(tmp_path / target)
-    outcome = clean_job.run(raw, path, spark, counting=counting, dedup=dedup).as_dict()
+    outcome = clean_job.run(raw, path, spark, dedup=dedup).as_dict()
     assert {key: outcome[key] for key in EXPECTED} == EXPECTED
     assert outcome["output_path"] == path
     assert outcome["elapsed_seconds"] > 0
@@ -107,12 +106,11 @@ def test_clean_job_refuses_bad_input(spark, raw, tmp_path):
     out = str(tmp_path / "out")
     with pytest.raises(FileNotFoundError):
         clean_job.run(str(tmp_path / "none.parquet"), out, spark)
-    with pytest.raises(ValueError, match="counting"):
-        clean_job.run(raw, out, spark, counting="guess")
+    for name in ("a.json", "a.txt", "a.csv.gz"):
+        with pytest.raises(ValueError, match="Unsupported"):
+            clean_job.run(str(tmp_path / name), out, spark)
     with pytest.raises(ValueError, match="duplicates"):
         clean_job.run(raw, out, spark, dedup="sort")
-    with pytest.raises(ValueError, match="Observed"):
-        clean_job.run(raw, out, spark, counting="observed", dedup="fingerprint")
     narrow = str(tmp_path / "narrow.parquet")
     write_table(trips_of(spark).select("fare_amount"), narrow)
     with pytest.raises(ValueError, match="Missing required columns"):
@@ -137,13 +135,6 @@ def test_profile_job(spark, raw, kind):
     assert str(found[("cross_field", "exact_duplicate_rows", "invalid")]) == "1"
 
 
-def test_profile_job_large_input_path(spark, raw, tmp_path, monkeypatch):
-    monkeypatch.setattr(profile_job, "FINGERPRINT_FROM_BYTES", 1)
-    path = profile_job.run(raw, str(tmp_path / "report"), spark)
-    found = spark.read.json(path).filter("rule = 'exact_duplicate_rows'").collect()
-    assert {r["metric"]: r["value"] for r in found} == {"invalid": "1", "valid": "7"}
-
-
 def test_profile_job_command_line(spark, raw, tmp_path, capsys):
     target = tmp_path / "report"
     profile_job.main(["--input", raw, "--report", str(target)])
@@ -154,19 +145,20 @@ def test_profile_job_command_line(spark, raw, tmp_path, capsys):
         profile_job.run(raw, str(target), spark, report_format="txt")
 
 
-def test_large_inputs_take_the_fingerprint_way(spark, raw, monkeypatch):
-    df = read_table(spark, raw)
-    assert clean_job._dedup_for(df, "auto") == "aggregate"
-    monkeypatch.setattr(clean_job, "FINGERPRINT_FROM_BYTES", 1)
-    assert clean_job._dedup_for(df, "auto") == "fingerprint"
-    assert clean_job._dedup_for(df, "aggregate") == "aggregate"
+@pytest.mark.parametrize("keep", ["false", "true"])
+def test_counts_with_line_ends_and_without_rows(spark, raw, tmp_path, keep):
+    df = read_table(spark, raw).withColumn("note", F.lit('two\n"lines", \nmore')).filter(keep)
+    out = clean_job.write_cleaned(df, str(tmp_path / "notes.csv"), YELLOW_TAXI, MONTH)
+    assert out.input_rows == df.count() == out.output_rows + out.rows_removed
+    assert out.output_rows == clean(df, YELLOW_TAXI, MONTH).count()
+    assert min(out.removed.values()) >= 0
 
 
 def test_shuffle_partitions_grow_with_the_input(spark, raw):
     assert shuffle_partitions(None, 8) == 8
     assert shuffle_partitions(1 << 20, 8) == 8
     assert shuffle_partitions(1 << 40, 200) == 16_384
-    assert shuffle_partitions(100 << 40, 200) == MAX_PARTITIONS
+    assert shuffle_partitions(100 << 40, 200) == 1_638_400
     df = read_table(spark, raw)
     assert 0 < input_bytes(df) < 1 << 20
     keys = ("spark.sql.shuffle.partitions", "spark.sql.adaptive.advisoryPartitionSizeInBytes")
