@@ -167,7 +167,7 @@ def learn(docs: DataFrame, labels: DataFrame, categories=CATEGORIES, *, max_samp
         inside, outside = size[c] or 0, size["n"] - (size[c] or 0)
         a, b = (F.col(c) + 0.5) / (inside + 1.0), (F.col("n") - F.col(c) + 0.5) / (outside + 1.0)
         # How far apart the shares are, in standard deviations.
-        apart = F.abs(a - b) / F.sqrt(a / (inside + 1.0) + b / (outside + 1.0))
+        apart = F.abs(a - b) / F.sqrt(a * (1 - a) / (inside + 1.0) + b * (1 - b) / (outside + 1.0))
         top = counts.filter(apart >= significance).orderBy(F.desc(apart), "feature").limit(max_features // len(columns))
         chosen |= {r["feature"] for r in top.select("feature").collect()}
     chain = Chain(names, {f: i for i, f in enumerate(sorted(chosen))}, [], [])
@@ -195,10 +195,11 @@ def scored(docs: DataFrame, chain: Chain) -> DataFrame:
         for whole in frames:
             for at in range(0, len(whole), 1000):
                 frame = whole.iloc[at : at + 1000]
-                p = model.probabilities(model.numbered(frame["text"], cache))
+                rows = model.numbered(frame["text"], cache)
+                p, some = model.probabilities(rows), np.array([len(r) > 0 for r in rows], dtype=bool)
                 out = frame[["doc_id"]].copy()
                 for i, (name, threshold) in enumerate(zip(model.names, model.thresholds)):
-                    out[f"p_{name}"], out[name] = p[:, i], p[:, i] >= threshold
+                    out[f"p_{name}"], out[name] = p[:, i], (p[:, i] >= threshold) & some
                 yield out.astype({"doc_id": "Int64"})
 
     schema = "doc_id bigint" + "".join(f", p_{n} double, {n} boolean" for n in chain.names)
@@ -207,6 +208,7 @@ def scored(docs: DataFrame, chain: Chain) -> DataFrame:
 
 def score_documents(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
     """Per document: doc_id, toxic, score (the probability of ``toxic``), and the probabilities and
-    verdicts of the other categories. Null text has no features; without labels nothing is toxic."""
+    verdicts of the other categories. Null text has no features, and without known features nothing
+    speaks for a category, so the verdict is false; without labels nothing is toxic."""
     found = scored(docs, learn(docs, labels, **options))
     return found.withColumnRenamed("p_toxic", "score")
