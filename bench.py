@@ -3,7 +3,8 @@
 Environment: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8).
 
 ``queries`` holds seconds per query, best of two after each query has been run once. The ``job_*``
-entries clean a Parquet file of trips and write the result: ``job_exact``, ``job_exact_fingerprint`` with the other way of dropping duplicates, and
+entries clean a Parquet file of trips and write the result: ``job_exact``, ``job_exact_fingerprint``
+with the other way of dropping duplicates, and
 ``job_step_by_step`` counting before and after each step with an action of its own, six in all.
 """
 
