@@ -7,9 +7,11 @@
   sketches' XOR tells how many samples differ, most precisely for high similarities. Pairs further
   apart than any pair at the threshold would be (seven standard deviations) are dropped.
 * In each band bucket the least id is the hub. A class is first held against its best hub, then
-  against the others that it is not yet connected with, and at last against every other candidate of
-  its buckets in another component that a finer sketch (1024 samples) leaves possible. Members that are connected already need no pair of their own, so
-  groups of near copies never give all their pairs; no link between components is lost.
+  against every other candidate of its buckets in another component that a finer sketch (1024
+  samples) leaves possible. Members that are connected already need no pair of their own, so groups
+  of near copies never give all their pairs; no link between components is lost.
+* A bucket is dealt out in blocks of bounded size, and each two blocks meet in a group of their own,
+  so a bucket of any size is shared by many tasks.
 """
 
 from __future__ import annotations
@@ -30,6 +32,8 @@ from rowguard.llm.shingles import Shingler
 SAMPLES, ROWS, BITS = 128, 4, 512
 #: The finer sketch, for classes whose buckets hold several components.
 FINE_SAMPLES, FINE_BITS = 1024, 4096
+#: Members of a bucket in one of its blocks, on average.
+BLOCK = 512
 #: Up to so many ids are broadcast to pick the texts to compare (8 bytes each); beyond, both shuffle.
 BROADCAST_IDS = 1_000_000
 _rng = np.random.Generator(np.random.PCG64(20240229))
@@ -130,8 +134,83 @@ def _refine(width: int):
     return refine
 
 
-def _distance(a: str, b: str, bits: int = BITS) -> Column:
-    differ = [F.bit_count(F.col(a)[i].bitwiseXOR(F.col(b)[i])) for i in range(bits // 64)]
+_HELD = ("band", "one", "two", "block", "id", "label", "n", "sketch", "fine", "bands")
+
+
+def _apart_within(percent: int):
+    """Candidates (u, v) of different components in each group of equal (band, one, two); groups
+    come whole and one after the other. A pair counts in the first band that it shares only."""
+    coarse_most = largest_distance(percent)
+    fine_most = largest_distance(percent, FINE_SAMPLES, FINE_BITS, 6)
+
+    def pairs(group: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        band, one, two, block, ids, label, n, sketch, fine, bands = group
+        # Of signed numbers, numpy counts the bits of the absolute value.
+        sketch, fine = sketch.view(np.uint64), fine.view(np.uint64)
+        if one[0] == two[0]:
+            left = right = np.arange(len(ids))
+        else:
+            left, right = np.nonzero(block == one[0])[0], np.nonzero(block == two[0])[0]
+        found_u, found_v = [], []
+        for at in range(0, len(left), 128):
+            some = left[at : at + 128]
+            small = np.minimum(n[some, None], n[right])
+            large = np.maximum(n[some, None], n[right])
+            may = (label[some, None] != label[right]) & (small * 100 >= large * percent)
+            if one[0] == two[0]:
+                may &= some[:, None] < right
+            x, y = np.nonzero(may)
+            u, v = some[x], right[y]
+            for words, most in ((sketch, coarse_most), (fine, fine_most)):
+                near = [
+                    np.bitwise_count(words[u[i : i + 8192]] ^ words[v[i : i + 8192]]).sum(axis=1, dtype=np.int64) <= most
+                    for i in range(0, len(u), 8192)
+                ]
+                near = np.concatenate(near) if near else np.zeros(0, dtype=bool)
+                u, v = u[near], v[near]
+            once = bands[u, np.argmax(bands[u] == bands[v], axis=1)] == band[0]
+            found_u.append(ids[u[once]])
+            found_v.append(ids[v[once]])
+        u, v = (np.concatenate(x) if x else np.zeros(0, dtype=np.int64) for x in (found_u, found_v))
+        return np.maximum(u, v), np.minimum(u, v)
+
+    def arrays(batch: pa.RecordBatch) -> list[np.ndarray]:
+        out = []
+        for name in _HELD:
+            column = batch.column(name)
+            if pa.types.is_list(column.type):
+                out.append(column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1))
+            else:
+                out.append(column.to_numpy(zero_copy_only=False))
+        return out
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def answer(group: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+            if len(group[0]) > 1:
+                u, v = pairs(group)
+                if len(u):
+                    yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], names=["u", "v"])
+
+        open_group: list[np.ndarray] | None = None
+        for batch in batches:
+            rows = arrays(batch)
+            if open_group is not None:
+                rows = [np.concatenate(x) for x in zip(open_group, rows)]
+            if not len(rows[0]):
+                continue
+            changed = np.any([x[1:] != x[:-1] for x in rows[:3]], axis=0)
+            starts = np.concatenate([[0], np.nonzero(changed)[0] + 1])
+            for start, end in zip(starts[:-1], starts[1:]):
+                yield from answer([x[start:end] for x in rows])
+            open_group = [x[starts[-1] :] for x in rows]
+        if open_group is not None:
+            yield from answer(open_group)
+
+    return compare
+
+
+def _distance(a: str, b: str) -> Column:
+    differ = [F.bit_count(F.col(a)[i].bitwiseXOR(F.col(b)[i])) for i in range(BITS // 64)]
     return sum(differ[1:], differ[0])
 
 
@@ -160,15 +239,10 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     narrow = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     signed = written(narrow.mapInArrow(_sign(width), _SIGNED), "near-signed")
     usable = signed.filter("doc_id is not null and n_shingles > 0")
-    classes = written(usable.groupBy("set_a", "set_b").agg(F.min("doc_id").alias("id")), "near-classes")
-    firsts = classes.withColumnRenamed("id", "doc_id")
-    # A class's signature comes from its least id; repeated rows of that id are equal and drop out.
-    reps = written(
-        usable.join(firsts, ["doc_id", "set_a", "set_b"], "left_semi")
-        .dropDuplicates(["doc_id", "set_a", "set_b"])
-        .select(F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), "sketch", "bands"),
-        "near-classes-signed",
-    )
+    # A class's signature comes from its least id; rows of one id with equal sets are equal.
+    own = F.struct(F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), "sketch", "bands")
+    reps = usable.groupBy("set_a", "set_b").agg(F.min_by(own, "doc_id").alias("own"))
+    reps = written(reps.select("set_a", "set_b", "own.*"), "near-classes")
     buckets = reps.select("id", F.explode("bands").alias("band"))
     hubs = buckets.groupBy("band").agg(F.min("id").alias("hub"), F.count("*").alias("m")).filter("m > 1")
     ends = lambda x: reps.select(F.col("id").alias(x), F.col("n").alias(f"n_{x}"), F.col("sketch").alias(f"sketch_{x}"))
@@ -178,54 +252,41 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     near = pairs.join(ends("u"), "u").join(ends("v"), "v").filter(_near(percent))
     tried = written(near.select("u", "v", _distance("sketch_u", "sketch_v").alias("distance")), "near-hubs")
 
-    ids = written(
-        tried.select(F.col("u").alias("doc_id")).unionByName(tried.select(F.col("v").alias("doc_id"))).distinct(),
-        "near-ids",
-    )
-    texts = _texts(narrow, ids)
     best = Window.partitionBy("u").orderBy("distance", "v")
     first = tried.withColumn("rank", F.row_number().over(best)).filter("rank = 1").select("u", "v")
-    links = written(_links(first, texts, width, percent), "near-links")
-    labels = components(links)
-
-    # Hubs that a class is not yet connected with; those tried before need no second look.
-    rest = _apart(tried.join(first, ["u", "v"], "left_anti").select("u", "v"), labels)
-    links = written(links.unionByName(_links(rest, texts, width, percent)), "near-links")
+    first = written(first, "near-first")
+    ids = first.select(F.col("u").alias("doc_id")).unionByName(first.select(F.col("v").alias("doc_id")))
+    links = written(_links(first, _texts(narrow, ids.distinct()), width, percent), "near-links")
     labels = components(links)
 
-    # Buckets that still hold several components: their other pairs, held against each other by
-    # size and sketch inside the join.
+    # Buckets that still hold several components: their other pairs.
     held = buckets.join(labels.withColumnRenamed("node", "id"), "id", "left").withColumn(
         "label", F.coalesce("label", "id")
     )
     mixed_buckets = (
-        held.groupBy("band").agg(F.min("label").alias("a"), F.max("label").alias("b")).filter("a < b").select("band")
+        held.groupBy("band").agg(F.count("*").alias("m"), F.min("label").alias("a"), F.max("label").alias("b")).filter("a < b")
     )
-    held = written(held.join(mixed_buckets, "band"), "near-mixed")
-    ids = written(held.select(F.col("id").alias("doc_id")).distinct(), "near-ids")
-    texts = _texts(narrow, ids)
+    held = written(held.join(mixed_buckets.select("band", "m"), "band"), "near-mixed")
+    texts = _texts(narrow, held.select(F.col("id").alias("doc_id")).distinct())
     fine = texts.mapInArrow(_refine(width), "id bigint, fine array<bigint>").join(
         reps.select("id", "n", "sketch", "bands"), "id"
     )
-    held = written(held.join(fine, "id"), "near-mixed-signed")
-    sides = [
-        held.select("band", F.col("id").alias(x), *[F.col(c).alias(f"{c}_{x}") for c in ("n", "sketch", "fine", "bands", "label")])
-        for x in ("u", "v")
-    ]
-    alike = _distance("fine_u", "fine_v", FINE_BITS) <= largest_distance(percent, FINE_SAMPLES, FINE_BITS, 6)
-    # A pair counts in the first of the bands it shares only.
-    shared = [F.when(F.col("bands_u")[i] == F.col("bands_v")[i], F.col("bands_u")[i]) for i in range(SAMPLES // ROWS)]
-    once = F.coalesce(*shared) == F.col("band")
-    others = sides[0].join(sides[1], "band").filter(
-        (F.col("label_u") < F.col("label_v")) & _near(percent) & alike & once
+    blocks = F.ceil(F.col("m") / BLOCK)
+    dealt = (
+        held.withColumn("block", F.pmod(F.xxhash64("id"), blocks))
+        .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
+        .select("band", "id", "label", "block", F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two"))
+        .join(fine, "id")
+        .select(*_HELD)
     )
-    others = others.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
-    others = written(others.join(tried, ["u", "v"], "left_anti"), "near-others")
+    groups = dealt.repartition("band", "one", "two").sortWithinPartitions("band", "one", "two")
+    others = groups.mapInArrow(_apart_within(percent), "u bigint, v bigint").distinct()
+    others = written(others.join(first, ["u", "v"], "left_anti"), "near-others")
     if not others.isEmpty():
         links = written(links.unionByName(_links(others, texts, width, percent)), "near-links")
         labels = components(links)
 
-    named = classes.join(labels.withColumnRenamed("node", "id"), "id", "left").select(
+    named = reps.join(labels.withColumnRenamed("node", "id"), "id", "left").select(
         "set_a", "set_b", F.coalesce("label", "id").alias("component_id")
     )
     # The class of a document may be the largest by far; it is the other side that has one row of it.
@@ -237,17 +298,9 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     )
 
 
-def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs whose ends lie in different components."""
-    for end in ("u", "v"):
-        own = labels.select(F.col("node").alias(end), F.col("label").alias(f"label_{end}"))
-        pairs = pairs.join(own, end, "left")
-    apart = F.coalesce("label_u", "u") != F.coalesce("label_v", "v")
-    return pairs.filter(apart).select("u", "v")
-
-
 def _texts(narrow: DataFrame, ids: DataFrame) -> DataFrame:
     """id and text of the classes named by ``ids``. Of rows with one id, the longest text counts."""
+    ids = written(ids, "near-ids")
     side = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
     found = narrow.join(side, "doc_id", "left_semi").groupBy(F.col("doc_id").alias("id"))
     return written(found.agg(F.max_by("text", F.length("text")).alias("text")), "near-texts")
