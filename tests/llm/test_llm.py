@@ -3,7 +3,11 @@
 from __future__ import annotations
 
 import hashlib
+import itertools
+import random
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from rowguard.llm import (
@@ -18,6 +22,7 @@ from rowguard.llm import (
     suffix_dedup,
     toxicity,
 )
+from rowguard.llm.graph import components
 
 LONG = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omicron pi rho sigma tau"
 TEXTS = {1: LONG, 2: LONG, 3: "Before it " + LONG + " after it", 4: None, 5: "", 6: "é1!" * 30, 7: LONG + " x"}
@@ -147,3 +152,82 @@ def test_empty_tables(none):
     assert language_id.identify_documents(none).count() == 0
     assert fingerprints.fingerprint_documents(none).count() == 0
     assert near_duplicates.near_duplicates(none).count() == 0
+
+
+def linked_by_brute_force(texts, width, percent):
+    """Component of each id from all pairs of shingle sets."""
+    sets = {}
+    for i, text in texts.items():
+        words = (text or "").lower().split()
+        sets[i] = {tuple(words[p : p + width]) for p in range(max(1, len(words) - width + 1))} if words else set()
+    label = {i: i for i in texts}
+    for a, b in itertools.combinations(texts, 2):
+        both = len(sets[a] & sets[b])
+        if 100 * both >= percent * (len(sets[a]) + len(sets[b]) - both) > 0:
+            low, high = sorted((label[a], label[b]))
+            label = {i: low if own == high else own for i, own in label.items()}
+    return label
+
+
+@pytest.mark.parametrize("block", [3, 512])
+def test_near_duplicates_around_the_threshold_equal_brute_force(spark, monkeypatch, block):
+    """Edited copies of one template: many share buckets, some pairs only are links."""
+    monkeypatch.setattr(near_duplicates, "BLOCK", block)
+    rng = random.Random(5)
+    base = [f"w{k}" for k in range(150)]
+    texts = {}
+    for i in range(70):
+        words = list(base)
+        for _ in range(rng.randint(0, 8)):
+            words[rng.randrange(150)] = f"e{i}x{rng.random()}"
+        texts[i] = " ".join(words)
+    rows = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
+    expected = linked_by_brute_force(texts, 4, 80)
+    found = by_id(near_duplicates.near_duplicates(rows, 4, 80))
+    assert {i: r["component_id"] for i, r in found.items()} == expected
+    assert len(set(expected.values())) > 2
+
+
+def test_pairs_of_blocks_find_every_near_pair_once():
+    """Every pair within the distance and of other components, whatever the batches are."""
+    rng = np.random.default_rng(3)
+    n, blocks = 40, 3
+    base = rng.integers(0, 1 << 32, near_duplicates.FINE_SAMPLES, dtype=np.uint32)
+    rows, samples = [], []
+    for i in range(n):
+        own = base.copy()
+        own[rng.random(len(own)) < 0.08] = rng.integers(0, 1 << 32)
+        samples.append(own)
+        coarse, fine = near_duplicates.odd_sketch(own[:128]), near_duplicates.odd_sketch(own, near_duplicates.FINE_BITS)
+        for other in range(blocks):
+            one, two = sorted((i % blocks, other))
+            rows.append((7, one, two, i % blocks, i, i // 2, 100, coarse, fine, np.full(32, 7)))
+    rows.sort(key=lambda r: r[:3])
+    kinds = [pa.int64()] * 7 + [pa.list_(pa.int64())] * 3
+    whole = pa.RecordBatch.from_arrays(
+        [pa.array(list(column), type=kind) for column, kind in zip(zip(*rows), kinds)], names=list(near_duplicates._HELD)
+    )
+    expected = {
+        (v, u)
+        for u, v in itertools.combinations(range(n), 2)
+        if u // 2 != v // 2
+        and all(
+            sum((int(x) ^ int(y)).bit_count() if (int(x) ^ int(y)) >= 0 else ((int(x) ^ int(y)) + (1 << 64)).bit_count()
+                for x, y in zip(near_duplicates.odd_sketch(samples[u][:s], b), near_duplicates.odd_sketch(samples[v][:s], b)))
+            <= near_duplicates.largest_distance(80, s, b, d)
+            for s, b, d in ((128, 512, 7), (1024, 4096, 6))
+        )
+    }
+    for size in (5, 1000):
+        batches = [whole.slice(at, size) for at in range(0, len(whole), size)]
+        found = [p for b in near_duplicates._apart_within(80)(iter(batches)) for p in zip(*(c.to_pylist() for c in b.columns))]
+        assert len(found) == len(set(found)) and set(found) == expected and expected
+
+
+def test_components_of_paths_and_stars(spark):
+    edges = [(9, 8), (8, 7), (7, 6), (6, 5), (5, 4), (1, 20), (21, 20), (30, 31), (40, 30), (40, 32), (50, 50)]
+    found = components(spark.createDataFrame(edges, "u bigint, v bigint")).collect()
+    assert {r["node"]: r["label"] for r in found} == {
+        **{k: 4 for k in range(4, 10)}, 1: 1, 20: 1, 21: 1, 30: 30, 31: 30, 32: 30, 40: 30,
+    }
+    assert len(found) == 13
