@@ -2,9 +2,11 @@
 
 Texts become templates: numbers, names (a capitalised word inside a sentence) and units (a unit's
 name behind a number) turn into typed placeholders, all else is lower-cased, punctuation goes.
-Hashes of ``window`` template tokens are joined with those of the benchmark. Matches of a document
-and an item at the same distance belong together; their placeholders' values must fit: one value of
-the item stands for one value of the document, and the other way round.
+Hashes of ``window`` template tokens are joined with those of the benchmark, and in the same join
+hashes of as many literal tokens (lower-cased, without placeholders), which every item has. A window
+without placeholders is the same in both kinds. Matches of a document and an item at the same
+distance belong together; their placeholders' values must fit: one value of the item stands for one
+value of the document, and the other way round. Literal windows need no such test.
 """
 
 from __future__ import annotations
@@ -32,8 +34,14 @@ _NUMBER = r"\p{N}+(?:[.,]\p{N}+)*"
 # A capitalised word behind something that does not end a sentence.
 _NAME = r"(?<=[^.!?\s][ \t]{1,3})\p{Lu}[\p{Ll}\p{M}]*(?![\p{L}\p{M}])"
 _UNIT = rf"(?<=\p{{N}}[ \t]{{0,2}})(?:{'|'.join(sorted(UNITS, key=len, reverse=True))})(?![\p{{L}}\p{{M}}])"
-_RAW_TOKEN = rf"{_NUMBER}|\p{{L}}[\p{{L}}\p{{M}}]*"
-_TOKEN = rf"{_MARK}?\p{{L}}[\p{{L}}\p{{M}}]*"
+# Letters of scripts written without spaces are tokens of their own.
+_LONE = (
+    r"\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}\p{IsTibetan}"
+    "\u3005\u30fc\uff70"
+)
+_WORD = rf"[\p{{L}}&&[{_LONE}]]\p{{M}}*|[\p{{L}}&&[^{_LONE}]](?:[\p{{L}}&&[^{_LONE}]]|\p{{M}})*"
+_RAW_TOKEN = rf"{_NUMBER}|{_WORD}"
+_TOKEN = rf"{_MARK}\p{{L}}+|{_WORD}"
 
 
 def template_tokens(text: Column) -> Column:
@@ -52,26 +60,48 @@ def raw_tokens(text: Column) -> Column:
     return F.regexp_extract_all(F.translate(text, _MARK, " "), F.lit(_RAW_TOKEN), F.lit(0))
 
 
-def _hashes(kinds: str, length: int) -> Column:
-    """Hashes of all windows of a length, by their place."""
-    places = F.when(F.size(kinds) >= length, F.sequence(F.lit(0), F.size(kinds) - length))
-    return F.coalesce(
-        F.transform(
-            places, lambda i: F.xxhash64(F.lit(length), *[F.get(F.col(kinds), i + j) for j in range(length)])
-        ),
-        F.array().cast("array<bigint>"),
+def literal_tokens(text: Column) -> Column:
+    """``raw_tokens`` in lower case."""
+    return F.transform(raw_tokens(text), lambda t: F.lower(t))
+
+
+def _windows(tokens: str, places: Column, length: int) -> Column:
+    """Hashes of the windows of a length at some places; of an array of hashed tokens."""
+    return F.transform(
+        places, lambda i: F.xxhash64(F.lit(length), *[F.get(F.col(tokens), i + j) for j in range(length)])
     )
 
 
-def _exploded(df: DataFrame, kinds: str, lengths: list[int]) -> DataFrame:
-    """A row per window of each of the lengths: ``place`` and ``hash``."""
-    if len(lengths) == 1:
-        return df.select("*", F.posexplode(_hashes(kinds, lengths[0])).alias("place", "hash"))
-    pairs = [
-        F.transform(_hashes(kinds, n), lambda h, i: F.struct(i.alias("place"), h.alias("hash")))
-        for n in lengths
-    ]
-    return df.select("*", F.inline(F.concat(*pairs)))
+def _exploded(df: DataFrame, template: list[int], literal: list[int]) -> DataFrame:
+    """A row per window of each of the lengths, ``place`` and ``hash``. Literal windows are hashed
+    only where a token differs from the template's, as the others are the same in both kinds; but of
+    lengths without template windows all are."""
+    none = F.array().cast("array<int>")
+    n = F.size("_words")
+    differs = F.filter(
+        F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(none),
+        lambda i: F.get(F.col("_kinds"), i) != F.get(F.col("_words"), i),
+    )
+    df = df.withColumn("_differs", differs)
+    places, hashes = [], []
+    for length in sorted({*template, *literal}):
+        every = F.when(n >= length, F.sequence(F.lit(0), n - length)).otherwise(none)
+        around = F.transform(
+            "_differs",
+            lambda d, length=length: F.sequence(F.greatest(F.lit(0), d - (length - 1)), F.least(d, n - length)),
+        )
+        some = F.when(n >= length, F.array_distinct(F.flatten(around))).otherwise(none)
+        if length in template:
+            df = df.withColumn(f"_all{length}", every)
+            places.append(f"_all{length}")
+            hashes.append(_windows("_kinds", F.col(places[-1]), length))
+        if length in literal:
+            df = df.withColumn(f"_own{length}", some if length in template else every)
+            places.append(f"_own{length}")
+            hashes.append(_windows("_words", F.col(places[-1]), length))
+    df = df.withColumn("_places", F.concat(*places))
+    df = df.select("*", F.posexplode(F.concat(*hashes)).alias("_at", "hash"))
+    return df.withColumn("place", F.get("_places", F.col("_at")))
 
 
 def _slots(kinds: Column, raw: Column, place: Column, length: Column) -> Column:
@@ -86,33 +116,47 @@ def _slots(kinds: Column, raw: Column, place: Column, length: Column) -> Column:
 
 
 def benchmark_windows(benchmark: DataFrame, window: int, least_literal: float) -> DataFrame:
-    """Windows of the benchmark: hash, item_id, place, length, slots. Items shorter than ``window``
-    give one of their own length (five tokens at least). Windows with too few literal tokens say
-    nothing and are left out."""
+    """Windows of the benchmark: hash, item_id, place, length, literal, slots. Items shorter than
+    ``window`` give one of their own length. Every window is there with its literal tokens; those of
+    five tokens at least, enough of them literal, also as a template: others would say nothing."""
     text = text_or_empty()
-    items = benchmark.select("item_id", template_tokens(text).alias("_kinds"), raw_tokens(text).alias("_raw"))
-    items = items.withColumn("_hashed", F.transform("_kinds", lambda t: F.xxhash64(t)))
-    items = items.filter(F.size("_kinds") >= 5)
-    length = F.least(F.size("_kinds"), F.lit(window))
+    items = benchmark.select(
+        "item_id",
+        template_tokens(text).alias("_kinds"),
+        raw_tokens(text).alias("_raw"),
+        literal_tokens(text).alias("_words"),
+    )
+    items = items.filter(F.size("_raw") > 0)
+    length = F.least(F.size("_raw"), F.lit(window))
     places = items.withColumn("length", length).withColumn(
-        "place", F.explode(F.sequence(F.lit(0), F.size("_kinds") - F.col("length")))
+        "place", F.explode(F.sequence(F.lit(0), F.size("_raw") - F.col("length")))
     )
     own = F.slice("_kinds", F.col("place") + 1, F.col("length"))
-    literal = F.size(F.filter(own, lambda t: ~t.startswith(_MARK)))
-    places = places.filter(literal >= F.ceil(F.col("length") * least_literal))
-    # As xxhash64 of the length and each token, which is what documents' windows get.
-    hashed = F.lit(None).cast("bigint")
-    for n in range(5, window + 1):
-        tokens = [F.get(F.col("_hashed"), F.col("place") + j) for j in range(n)]
-        hashed = F.when(F.col("length") == n, F.xxhash64(F.lit(n), *tokens)).otherwise(hashed)
-    return places.select(
-        hashed.alias("hash"),
-        "item_id",
-        F.col("place").alias("item_place"),
-        "length",
-        F.size("_kinds").alias("item_tokens"),
-        _slots(F.col("_kinds"), F.col("_raw"), F.col("place"), F.col("length")).alias("item_slots"),
+    plain = F.size(F.filter(own, lambda t: ~t.startswith(_MARK)))
+
+    def kind(rows: DataFrame, tokens: str, least: int, slots: Column) -> DataFrame:
+        # As xxhash64 of the length and each token, which is what documents' windows get.
+        rows = rows.withColumn("_hashed", F.transform(tokens, lambda t: F.xxhash64(t)))
+        hashed = F.lit(None).cast("bigint")
+        for n in range(least, window + 1):
+            parts = [F.get(F.col("_hashed"), F.col("place") + j) for j in range(n)]
+            hashed = F.when(F.col("length") == n, F.xxhash64(F.lit(n), *parts)).otherwise(hashed)
+        return rows.select(
+            hashed.alias("hash"),
+            "item_id",
+            F.col("place").alias("item_place"),
+            "length",
+            F.size("_raw").alias("item_tokens"),
+            (F.size(slots) == 0).alias("literal"),
+            slots.alias("item_slots"),
+        )
+
+    typed = places.filter((F.col("length") >= 5) & (plain >= F.ceil(F.col("length") * least_literal)))
+    slots = _slots(F.col("_kinds"), F.col("_raw"), F.col("place"), F.col("length"))
+    both = kind(typed, "_kinds", 5, slots).unionByName(
+        kind(places, "_words", 1, F.array().cast("array<string>"))
     )
+    return both.distinct()
 
 
 def contaminated(
@@ -121,19 +165,22 @@ def contaminated(
     """Pairs of a document and a benchmark item of which a window stands in the document.
 
     Per pair: doc_id, item_id, n_windows (matching windows of the best alignment), n_tokens (they
-    span), coverage (of the item's tokens), exact (all placeholder values are the item's own).
-    Null texts and texts under a window match nothing; a null doc_id or item_id is kept as it is;
-    rows with one id count as one document. Empty tables give no rows.
+    span), coverage (of the item's tokens), exact (all placeholder values are the item's own). An
+    item shorter than ``window`` must be there as a whole, and one of a single word is wherever that
+    word is. Null texts and texts without letters and numbers match nothing; a null doc_id or
+    item_id is kept as it is; rows with one id count as one document. Empty tables give no rows.
     """
     if not 5 <= window <= 64:
         raise ValueError("window must be from 5 to 64 tokens")
     bench = written(benchmark_windows(benchmark, window, least_literal), "decontamination-windows")
-    sizes = bench.groupBy("length").count().collect()  # one row per length, at most ``window``
-    lengths = sorted(r["length"] for r in sizes) or [window]
+    sizes = bench.groupBy("length", "literal").count().collect()  # at most two rows per length
+    literal = sorted(r["length"] for r in sizes if r["literal"]) or [window]
+    template = sorted(r["length"] for r in sizes if not r["literal"])
     side = F.broadcast(bench) if sum(r["count"] for r in sizes) <= BROADCAST_WINDOWS else bench
     texts = docs.select("doc_id", text_or_empty().alias("_text"))
     texts = texts.withColumn("_kinds", F.transform(template_tokens(F.col("_text")), lambda t: F.xxhash64(t)))
-    hits = _exploded(texts, "_kinds", lengths).join(side, "hash")
+    texts = texts.withColumn("_words", F.transform(literal_tokens(F.col("_text")), lambda t: F.xxhash64(t)))
+    hits = _exploded(texts, template, literal).join(side, "hash")
     text = F.col("_text")
     slots = F.when(F.size("item_slots") == 0, F.array().cast("array<string>")).otherwise(
         _slots(template_tokens(text), raw_tokens(text), F.col("place"), F.col("length"))
@@ -145,19 +192,31 @@ def contaminated(
         (F.col("place") - F.col("item_place")).alias("distance"),
         "length",
         "item_tokens",
+        "literal",
         F.arrays_zip(F.col("item_slots").alias("item"), slots.alias("doc")).alias("slots"),
     )
+
+    def matched(which: Column) -> Column:
+        """Windows and the tokens they span; an item's windows bound the set."""
+        place, end = F.when(which, F.col("place")), F.when(which, F.col("place") + F.col("length"))
+        return F.struct(
+            F.size(F.collect_set(place)).alias("n_windows"), (F.max(end) - F.min(place)).alias("n_tokens")
+        )
+
     aligned = hits.groupBy("doc_id", "item_id", "distance", "item_tokens").agg(
-        F.count_distinct("place").alias("n_windows"),
-        (F.max(F.col("place") + F.col("length")) - F.min("place")).alias("n_tokens"),
+        matched(F.lit(True)).alias("all"),
+        matched(F.col("literal")).alias("own"),
         F.array_distinct(F.flatten(F.collect_set("slots"))).alias("slots"),
     )
     pairs = F.size("slots")
     fits = (F.size(F.array_distinct("slots.item")) == pairs) & (F.size(F.array_distinct("slots.doc")) == pairs)
     exact = ~F.exists("slots", lambda s: s["item"] != s["doc"])
-    best = F.struct("n_windows", "n_tokens", exact.alias("exact"), "item_tokens")
+    # Values that do not fit speak against the templates, not against what stands there literally.
+    taken = F.when(fits, F.col("all")).otherwise(F.col("own"))
+    best = F.struct("taken.n_windows", "taken.n_tokens", (exact | ~fits).alias("exact"), "item_tokens")
     return (
-        aligned.filter(fits)
+        aligned.withColumn("taken", taken)
+        .filter("taken.n_windows > 0")
         .groupBy("doc_id", "item_id")
         .agg(F.max(best).alias("best"))
         .select(

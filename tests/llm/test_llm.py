@@ -90,6 +90,18 @@ def test_encoder_equals_the_json_form():
         assert own.encode_ordinary(text) == other.encode(text, add_special_tokens=False).ids
 
 
+def test_added_tokens_are_those_of_the_json_form(spark):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    other = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "x  <|endoftext|><|endoftext|>\n y", "<|endoftext|", "it's  "]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    found = by_id(packing.pack_documents(rows, keep_ids=True))
+    for i, text in enumerate(texts):
+        assert found[i]["ids"] == [*other.encode(text, add_special_tokens=False).ids, 0]
+
+
 def test_licenses(spark):
     texts = ["Released under the MIT License.", "x under the MIT license; under the mit license", None, "none"]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
@@ -113,6 +125,25 @@ def test_decontamination_sees_other_values(spark):
     assert found[1]["item_id"] == 9 and not found[1]["exact"] and 3 not in found and 4 not in found
 
 
+def test_decontamination_finds_exact_copies_of_every_item(spark):
+    items = {
+        1: "Compute 12 + 7 * 3 - 4 / 2.", 2: "What is 3 + 4 + 5?", 3: "Where is the capital of Peru",
+        4: "日本で一番高い山は何という山ですか", 5: "6 * 71", 6: "1 2 3 4 5 6 7 8 9 10 11 12 13", 7: "...",
+        8: "Is a cat of 3 kg more than a dog of 5 kg if both of them are fed 3 kg",
+    }
+    texts = {i: f"Question: {text} Answer: none." for i, text in items.items()}
+    # Values that do not fit at the end; what comes before them is a copy.
+    texts[18] = "Is a cat of 3 kg more than a dog of 5 kg if both of them are fed 4 kg"
+    texts[14] = "昔々日本で一番高い山は何という山ですかと聞いた"
+    texts[11] = "Compute 12 + 8 * 3 - 4 / 2."
+    docs = spark.createDataFrame(list(texts.items()), "doc_id int, text string")
+    bench = spark.createDataFrame(list(items.items()), "item_id int, text string")
+    found = {(r["doc_id"], r["item_id"]): r for r in decontamination.contaminated(docs, bench).collect()}
+    expected = {(i, i) for i in items if i != 7} | {(18, 8), (14, 4)}
+    assert set(found) == expected and all(found[p]["exact"] for p in expected)
+    assert all(found[i, i]["coverage"] == 1 for i in items if i != 7)
+
+
 def test_language_and_toxicity(spark):
     rows = [(i, ("the cat and the dog " if i % 2 else "der hund und die katze ") * 3, "en" if i % 2 else "de") for i in range(60)]
     docs = spark.createDataFrame([*rows, (60, None, "en"), (61, "12 !", None)], "doc_id bigint, text string, lang string")
