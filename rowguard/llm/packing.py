@@ -11,6 +11,7 @@ length in buckets on the executors, and a number decides sequence and offset.
 from __future__ import annotations
 
 import base64
+import json
 import zlib
 from collections.abc import Iterator
 
@@ -144,14 +145,26 @@ def pack(pieces: DataFrame, capacity: int = 2048, *, per_bucket: int = 50_000) -
     )
 
 
-def encoder(ranks_path: str, pattern: str):
-    """The byte-level BPE of a rank file; its ids are those of the vocabulary's JSON form, with the
-    strings of special tokens taken for ordinary text."""
+def added_tokens(json_path: str) -> dict[str, int]:
+    """Added tokens of a vocabulary's JSON form: what stands for a token of its own, by its string."""
+    with open(json_path, encoding="utf-8") as file:
+        added = json.load(file).get("added_tokens") or []
+    for token in added:
+        if token.get("single_word") or token.get("lstrip") or token.get("rstrip"):
+            raise ValueError(f"added token {token['content']!r} takes its surroundings into account")
+    return {token["content"]: token["id"] for token in added}
+
+
+def encoder(ranks_path: str, pattern: str, special_tokens: dict[str, int] | None = None):
+    """The byte-level BPE of a rank file. Its ids are those of the vocabulary's JSON form: by
+    ``encode`` with ``allowed_special="all"`` if ``special_tokens`` are the form's added tokens, by
+    ``encode_ordinary`` if their strings are to be ordinary text."""
     import tiktoken
 
     with open(ranks_path, "rb") as lines:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
-    return tiktoken.Encoding("packing", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+    special = dict(special_tokens or {})
+    return tiktoken.Encoding("packing", pat_str=pattern, mergeable_ranks=ranks, special_tokens=special)
 
 
 def cut(total: int, capacity: int) -> list[tuple[int, int]]:
@@ -170,19 +183,20 @@ def token_pieces(
     *,
     end_id: int = 0,
     keep_ids: bool = False,
+    special_tokens: dict[str, int] | None = None,
 ) -> DataFrame:
     """Each document as token ids, closed by ``end_id``, in pieces of at most ``capacity``.
 
-    Null text is empty and so gives one piece with the closing id. ``keep_ids`` adds the ids
+    A string of ``special_tokens`` in a text is that token, and texts are split at it. Null text is empty and so gives one piece with the closing id. ``keep_ids`` adds the ids
     themselves (``ids array<int>``); without them only lengths and checksums leave the task.
     """
 
     def encode(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        bpe = encoder(ranks_path, pattern)
+        bpe = encoder(ranks_path, pattern, special_tokens)
         for frame in frames:
             rows = []
             for doc_id, text in zip(frame["doc_id"], frame["text"]):
-                ids = np.array([*bpe.encode_ordinary(text), end_id], dtype="<u4")
+                ids = np.array([*bpe.encode(text, allowed_special="all"), end_id], dtype="<u4")
                 for piece, (start, length) in enumerate(cut(len(ids), capacity)):
                     own = ids[start : start + length]
                     row = (doc_id, piece, start, length, zlib.crc32(own.tobytes()))
@@ -206,13 +220,19 @@ def pack_documents(
     capacity: int = 2048,
     *,
     keep_ids: bool = False,
+    special_tokens: dict[str, int] | None = None,
 ) -> DataFrame:
     """All of ``docs`` as packed pieces: doc_id, piece, start, length, ids_crc32, sequence_id,
-    offset (and ids). Without a path the public 50k byte-level vocabulary is used."""
+    offset (and ids). Without a path the public 50k byte-level vocabulary is used, with the added
+    tokens of its JSON form."""
     if ranks_path is None or pattern is None:
         import public_tokenizers
 
+        if ranks_path is None and special_tokens is None:
+            special_tokens = added_tokens(public_tokenizers.path("byte_bpe_50k.json"))
         ranks_path = ranks_path or public_tokenizers.path("byte_bpe_50k.tiktoken")
         pattern = pattern or public_tokenizers.PATTERN
-    pieces = token_pieces(docs, ranks_path, pattern, capacity, keep_ids=keep_ids)
+    pieces = token_pieces(
+        docs, ranks_path, pattern, capacity, keep_ids=keep_ids, special_tokens=special_tokens
+    )
     return pack(written(pieces, "packing-pieces"), capacity)
