@@ -163,12 +163,16 @@ def fingerprint_documents(docs: DataFrame, *, bytes_per_part: int = 8 << 20) ->
     cuts = sorted(set(found or []), reverse=True) if shares else []
     rows = rows.withColumn("_part", _part(F.col("doc_id"), cuts))
     rows = rows.withColumn("_order", F.xxhash64("text"))
-    heads = (
-        rows.groupBy("_part")
-        .agg(F.max_by(F.struct("doc_id", "text", "_order"), F.struct("doc_id", "_order")).alias("_head"))
-        .withColumn("_before", F.lag("_part").over(Window.orderBy("_part")))
-        .withColumn("_last", F.max("_part").over(Window.orderBy(F.lit(1)).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
-        .select("_head.*", F.coalesce("_before", "_last").alias("_part"), F.lit(1).alias("_guest"))
+    heads = rows.groupBy("_part").agg(
+        F.max_by(F.struct("doc_id", "text", "_order"), F.struct("doc_id", "_order")).alias("_head")
+    )
+    # Which range each head goes to: over the numbers alone, without the texts.
+    numbers = rows.select("_part").distinct()
+    before = numbers.select(
+        F.col("_part").alias("_own"), F.lag("_part").over(Window.orderBy("_part")).alias("_before")
+    ).crossJoin(F.broadcast(numbers.agg(F.max("_part").alias("_last"))))
+    heads = heads.join(F.broadcast(before), F.col("_part") == F.col("_own")).select(
+        "_head.*", F.coalesce("_before", "_last").alias("_part"), F.lit(1).alias("_guest")
     )
     order = Window.partitionBy("_part").orderBy("_guest", F.desc("doc_id"), F.desc("_order"))
     n = F.length("text")
