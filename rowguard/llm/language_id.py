@@ -8,7 +8,7 @@ to, and the largest one decides.
 
 An n-gram belongs to a language if its share there is a fair part of its largest share in any
 language, so stray foreign lines in the learning documents do no harm. All learning documents are
-counted; the filter has a fixed number of slots.
+counted, and the filter has as many slots as the language with the most n-grams needs.
 """
 
 from __future__ import annotations
@@ -25,6 +25,7 @@ from rowguard.llm.bytewindows import mixed
 from rowguard.llm.common import written
 
 HASHES = 3
+LEAST_SLOTS_LOG2 = 20
 _BLOCK = 1 << 19
 
 
@@ -161,25 +162,50 @@ class Filters:
         return names, [float(s) if t else 0.0 for s, t in zip(share, total)]
 
 
-def learn(samples: DataFrame, *, slots_log2: int = 20, fair: float = 0.2, least: int = 2) -> Filters:
+def slots_for(members: int, chance: float) -> int:
+    """Binary logarithm of the slots with which ``members`` n-grams of one language lead to chance
+    hits for at most this share of others."""
+    full = chance ** (1 / HASHES)
+    needed = HASHES * members / -np.log1p(-full)
+    return max(LEAST_SLOTS_LOG2, int(np.ceil(np.log2(max(1.0, needed)))))
+
+
+def learn(
+    samples: DataFrame,
+    *,
+    slots_log2: int | None = None,
+    chance: float = 0.01,
+    fair: float = 0.2,
+    least: int = 2,
+) -> Filters:
     """Filters from the columns ``text`` and ``lang`` of ``samples``; null in either teaches nothing.
 
-    The driver receives the languages, their totals and at most ``2 ** slots_log2`` slots per 64
-    languages.
+    Without ``slots_log2`` the largest number of n-grams of a language decides on the slots, so that
+    chance hits stay under the share ``chance``. The driver receives the languages, their totals and
+    numbers of n-grams, and at most as many slots per 64 languages as the filter has: 8 bytes each,
+    about 12 to 25 slots per n-gram of the largest language.
     """
+    if not 0 < chance < 1:
+        raise ValueError("chance must lie between 0 and 1")
     samples = samples.select("text", "lang").filter("text is not null and lang is not null")
     languages = sorted(r["lang"] for r in samples.select("lang").distinct().collect())
     words = max(1, -(-len(languages) // 64))
-    masks = np.zeros((words, 1 << slots_log2), dtype=np.uint64)
     if not languages:
-        return Filters([], masks, slots_log2)
+        slots_log2 = slots_log2 or LEAST_SLOTS_LOG2
+        return Filters([], np.zeros((words, 1 << slots_log2), dtype=np.uint64), slots_log2)
     counts = samples.mapInArrow(_count(languages), "gram bigint, language int, n bigint")
     counts = written(counts.groupBy("gram", "language").agg(F.sum("n").alias("n")), "language-grams")
     totals = counts.groupBy("language").agg(F.sum("n").alias("total"))
     shares = counts.join(F.broadcast(totals), "language").withColumn("share", F.col("n") / F.col("total"))
     top = shares.groupBy("gram").agg(F.max("share").alias("top"))
     members = shares.join(top, "gram").filter((F.col("share") >= fair * F.col("top")) & (F.col("n") >= least))
-    slots = members.select("gram", "language").mapInArrow(_spread(slots_log2), "slot bigint, word int, mask bigint")
+    members = members.select("gram", "language")
+    if slots_log2 is None:
+        members = written(members, "language-members")
+        most = members.groupBy("language").count().agg(F.max("count").alias("n")).first()["n"]
+        slots_log2 = slots_for(most or 0, chance)
+    masks = np.zeros((words, 1 << slots_log2), dtype=np.uint64)
+    slots = members.mapInArrow(_spread(slots_log2), "slot bigint, word int, mask bigint")
     rows = slots.groupBy("slot", "word").agg(F.bit_or("mask").alias("mask")).toArrow()
     slot, word = (rows.column(c).to_numpy() for c in ("slot", "word"))
     masks[word, slot] = rows.column("mask").to_numpy().view(np.uint64)

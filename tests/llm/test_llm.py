@@ -155,6 +155,19 @@ def test_language_and_toxicity(spark):
     assert all(scored[i]["toxic"] == bool(i % 2) for i in range(60)) and not scored[60]["toxic"]
 
 
+def test_language_filters_grow_with_their_members(spark, monkeypatch):
+    """More n-grams of one language than the least number of slots holds."""
+    monkeypatch.setattr(language_id, "LEAST_SLOTS_LOG2", 8)
+    rng = random.Random(1)
+    letters = {"aa": "abcdefghijklm", "bb": "nopqrstuvwxyz"}
+    words = lambda lang, n: " ".join("".join(rng.choices(letters[lang], k=6)) for _ in range(n))
+    rows = [(words("aa", 4000), "aa"), (words("bb", 40) * 2, "bb")]
+    filters = language_id.learn(spark.createDataFrame(rows, "text string, lang string"), least=1)
+    assert max(filters.chance) <= 0.012
+    assert filters.identify([words("aa", 200)])[0] == ["aa"]
+    assert language_id.slots_for(4_000_000, 0.01) == 26
+
+
 def test_pages(spark):
     menu = "<div><b>Site</b> menu of all</div>"
     rows = [(i, f"http://h.example/{i}", f"<body>{menu}<p>Text &amp; number {i}</p>") for i in range(4)]
