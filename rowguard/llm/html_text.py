@@ -22,7 +22,7 @@ from rowguard.llm.common import written
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(script|style|noscript|template|iframe|svg|math|object|head|title|textarea|select)\b[^>]*>.*?(?:</\1\s*>|\Z)"
+    r"|<(script|style|title|textarea)\b[^>]*>.*?(?:</\1\s*>|\Z)"
     r"|<[!?][^>]*>"
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)>",
     re.S | re.I,
@@ -34,6 +34,13 @@ _BLOCKS = frozenset(
     "figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre section "
     "summary table tbody tfoot thead tr ul".split()
 )
+#: Left out with all they contain. Only raw text (see ``_TOKEN``) runs on without an end tag.
+_SKIPPED = frozenset("noscript template iframe svg math object head select".split())
+#: What a head can hold; anything else ends it.
+_IN_HEAD = frozenset("head base basefont bgsound link meta noscript template".split())
+#: Ends drawings and formulas that are open, except inside elements of theirs that hold HTML.
+_BREAKS_OUT = _BLOCKS | frozenset("body br b big code em embed i img nobr ruby s small span strong sub sup tt u".split())
+_HOLD_HTML = frozenset("foreignobject desc annotation-xml mi mo mn ms mtext".split())
 _DROPPED = frozenset("nav footer aside form button menu dialog input label".split())
 #: Words in class, id or role that say an element is not main text.
 _HINTS = frozenset(
@@ -73,10 +80,13 @@ class Element:
 def parse(page: str) -> Element:
     """The tree of a page. Tags that are missing at the end, and stray ones, do no harm."""
     root = Element("html")
-    stack, at = [root], 0
+    stack, at, last_ends = [root], 0, {}
     for found in _TOKEN.finditer(page):
         if found.start() > at:
-            stack[-1].parts.append(page[at : found.start()])
+            words = page[at : found.start()]
+            if stack[-1].tag == "head" and words.strip():
+                stack.pop()
+            stack[-1].parts.append(words)
         at = found.end()
         tag = found[3]
         if tag is None:
@@ -90,6 +100,15 @@ def parse(page: str) -> Element:
             continue
         if tag == "html":
             continue
+        if stack[-1].tag == "head" and tag not in _IN_HEAD:
+            stack.pop()
+        if tag in _BREAKS_OUT:
+            for depth in range(len(stack) - 1, 0, -1):
+                if stack[depth].tag in _HOLD_HTML:
+                    break
+                if stack[depth].tag in ("svg", "math"):
+                    del stack[depth:]
+                    break
         if tag in _CLOSES:
             closed, holders = _CLOSES[tag]
             for depth in range(len(stack) - 1, 0, -1):
@@ -107,10 +126,19 @@ def parse(page: str) -> Element:
                     break
         names = " ".join(a or b or c for a, b, c in _NAMED.findall(found[4])) if found[4] else ""
         new = Element(tag, names, any(e.tag == "article" for e in stack))
-        stack[-1].parts.append(new)
+        if tag in _SKIPPED:
+            if tag != "head" and tag not in last_ends:
+                ends = re.finditer(rf"</{tag}\b", page, re.I)
+                last_ends[tag] = max((end.start() for end in ends), default=-1)
+            if found[4].endswith("/") or (tag != "head" and last_ends[tag] < at):
+                continue
+        else:
+            stack[-1].parts.append(new)
         if tag not in _VOID and not found[4].endswith("/"):
             stack.append(new)
     if at < len(page):
+        if stack[-1].tag == "head":
+            stack.pop()
         stack[-1].parts.append(page[at:])
     return root
 

@@ -176,6 +176,20 @@ def test_pages(spark):
     assert found == {**{i: f"Text & number {i}" for i in range(4)}, 9: ""}
 
 
+def test_elements_without_their_end_tag_end_somewhere():
+    pages = {
+        '<p>one <svg class="i"/> two</p><p>three</p>': "one two\n\nthree",
+        "<html><head><title>t</title><meta charset=x><body><p>one</p>": "one",
+        "<head><title>t</title><p>one</p>": "one",
+        "<p>one <svg><path> two</p><p>three</p>": "one two\n\nthree",
+        "<p>one <select><option>x</p><p>two</p>": "one x\n\ntwo",
+        "<div>one <svg><g><svg>x</svg>y</g></svg> two</div><svg>z</svg>": "one two",
+        "<p>one</p><script>x<p>two</p>": "one",
+    }
+    for page, text in pages.items():
+        assert html_text.main_text(page) == text, page
+
+
 def test_fingerprints(docs):
     found = by_id(fingerprints.fingerprint_documents(docs))
     assert found[1]["fingerprint"] == found[2]["fingerprint"] != ""
