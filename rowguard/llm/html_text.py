@@ -27,7 +27,7 @@ _TOKEN = re.compile(
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)>",
     re.S | re.I,
 )
-_NAMED = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+_NAMED = re.compile(r"(?<![\w-])(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 _BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption "
@@ -42,7 +42,7 @@ _IN_HEAD = frozenset("head base basefont bgsound link meta noscript template".sp
 _BREAKS_OUT = _BLOCKS | frozenset("body br b big code em embed i img nobr ruby s small span strong sub sup tt u".split())
 _HOLD_HTML = frozenset("foreignobject desc annotation-xml mi mo mn ms mtext".split())
 _DROPPED = frozenset("nav footer aside form button menu dialog input label".split())
-#: Words in class, id or role that say an element is not main text.
+#: Whole names in class, id or role that say an element is not main text.
 _HINTS = frozenset(
     "ad ads advert adverts advertisement advertising banner sponsor sponsored promo promotion sidebar "
     "comment comments disqus respond reply replies cookie cookies consent gdpr notice notices alert popup "
@@ -50,6 +50,9 @@ _HINTS = frozenset(
     "masthead topbar pagination pager share sharing social related recommended widget login signup "
     "contentinfo complementary search dialog".split()
 )
+_NO_ARTICLE = frozenset("comment comments reply replies ad ads related sponsored promo".split())
+_ADVERTS = frozenset("ad ads advert adverts advertisement advertising sponsor sponsored promo promotion".split())
+_TEXT = frozenset("h1 h2 h3 h4 h5 h6 hgroup section p blockquote pre ul ol dl table figure".split())
 #: What a start tag closes, up to the next element that holds such tags.
 _CLOSES = {
     "li": ({"li"}, {"ul", "ol", "menu"}),
@@ -69,12 +72,25 @@ class Element:
 
     __slots__ = ("tag", "parts", "dropped", "digest")
 
-    def __init__(self, tag: str, names: str = "", in_article: bool = False) -> None:
+    def __init__(self, tag: str, names: frozenset[str] = frozenset(), in_article: bool = False) -> None:
         self.tag, self.parts, self.digest = tag, [], 0
-        hints = set(re.split(r"[^a-z0-9]+", names.lower())) & _HINTS if names else ()
+        hints = names & _HINTS
         self.dropped = tag in _DROPPED or bool(hints) or (tag == "header" and not in_article)
-        if tag in ("html", "body", "article", "main"):
-            self.dropped = bool(hints & {"comment", "comments", "reply", "replies", "ad", "ads", "related", "sponsored", "promo"}) if hints and tag == "article" else False
+        if tag in ("html", "body", "main"):
+            self.dropped = False
+        elif tag == "article":
+            self.dropped = bool(hints & _NO_ARTICLE)
+
+
+def _names(tag: str, attributes: str, in_article: bool) -> frozenset[str]:
+    """Names by which an element can say what it is. Headings, sections and paragraphs of an article
+    are its text, whatever their ids and however they look; only adverts among them are not."""
+    text = in_article and tag in _TEXT
+    found = set()
+    for kind, *values in _NAMED.findall(attributes):
+        if not (text and kind.lower() == "id"):
+            found.update("".join(values).lower().split())
+    return frozenset(found & _ADVERTS if text else found)
 
 
 def parse(page: str) -> Element:
@@ -124,8 +140,8 @@ def parse(page: str) -> Element:
                 if stack[depth].tag == "p":
                     del stack[depth:]
                     break
-        names = " ".join(a or b or c for a, b, c in _NAMED.findall(found[4])) if found[4] else ""
-        new = Element(tag, names, any(e.tag == "article" for e in stack))
+        in_article = any(e.tag == "article" for e in stack)
+        new = Element(tag, _names(tag, found[4], in_article) if found[4] else frozenset(), in_article)
         if tag in _SKIPPED:
             if tag != "head" and tag not in last_ends:
                 ends = re.finditer(rf"</{tag}\b", page, re.I)
@@ -140,9 +156,33 @@ def parse(page: str) -> Element:
         if stack[-1].tag == "head":
             stack.pop()
         stack[-1].parts.append(page[at:])
+    _keep_around_texts(root)
     return root
 
 
+def _keep_around_texts(root: Element) -> None:
+    """What is around the main element is kept, whatever it says of itself, and what is around
+    articles too where no article is left outside of such elements. Elements of comments and the
+    like, and teasers in a sidebar next to an article, stay out."""
+    free, inside = False, []
+    todo: list[tuple[Element, tuple[Element, ...]]] = [(root, ())]
+    while todo:
+        e, around = todo.pop()
+        if e.tag == "main":
+            for outer in around:
+                outer.dropped = False
+            around = ()
+            free = True
+        if e.tag == "article" and not e.dropped:
+            free = free or not around
+            inside += around
+        if e.dropped:
+            around = (*around, e)
+        todo += [(p, around) for p in e.parts if isinstance(p, Element)]
+    for outer in () if free else inside:
+        outer.dropped = False
+
+
 def _postorder(root: Element, into_articles: bool = True) -> list[Element]:
     """Elements, children before parents, without recursion."""
     order, todo = [], [root]

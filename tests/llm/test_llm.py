@@ -190,6 +190,19 @@ def test_elements_without_their_end_tag_end_somewhere():
         assert html_text.main_text(page) == text, page
 
 
+def test_names_that_only_look_like_menus_keep_their_text():
+    for name in ("has-sidebar", "container sidebar-right", "nav-fixed", "sidebar", "page menu"):
+        assert html_text.main_text(f"<div class='{name}'><article><p>one</p></article></div>") == "one"
+    inner = (
+        "<h2 id='related-work'>a</h2><section id='search'>b</section><p class='alert'>c</p>"
+        "<div class='market-share'>d</div><p class='ad'>x</p><div class='share' data-id='q'>y</div>"
+    )
+    assert html_text.main_text(f"<article>{inner}</article>") == "a\n\nb\n\nc\n\nd"
+    aside = "<aside><article>teaser</article></aside><div class='comments'><article>no</article></div>"
+    assert html_text.main_text(f"<article>one</article>{aside}") == "one"
+    assert html_text.main_text("<form class='widget'><main><p>one</p></main></form>") == "one"
+
+
 def test_fingerprints(docs):
     found = by_id(fingerprints.fingerprint_documents(docs))
     assert found[1]["fingerprint"] == found[2]["fingerprint"] != ""
