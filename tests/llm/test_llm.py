@@ -90,6 +90,27 @@ def test_encoder_equals_the_json_form():
         assert own.encode_ordinary(text) == other.encode(text, add_special_tokens=False).ids
 
 
+def test_license_notices_are_told_apart(spark):
+    work = "This work is licensed under a Creative Commons Attribution"
+    texts = {
+        f"{work}-NonCommercial 4.0 International License.": "cc-by-nc",
+        f"{work}-ShareAlike 4.0 International License.": "cc-by-sa",
+        f"{work} 4.0 International License.": "cc-by",
+        f"{work} 3.0 Unported License.": "cc-by",
+        f"{work}-NoDerivatives 4.0 International License.": "",
+        "This work is licensed under the GNU General Public License version 2": "",
+        "This work is licensed under the very GNU General Public License version 3": "gpl-3",
+        "Licensed under the Apache License version 1.1": "",
+        # The right words in another order.
+        "with or without modification are permitted and use in source and binary forms provided that the "
+        "following conditions redistribution and use in source": "",
+    }
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    found = by_id(licenses.license_scan(docs))
+    assert {t: found[i]["labels"] for i, t in enumerate(texts)} == texts
+    assert found[0]["score"] == 1.0
+
+
 def test_added_tokens_are_those_of_the_json_form(spark):
     import public_tokenizers
     from tokenizers import Tokenizer
