@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from rowguard.llm import (
+    collocations,
     decontamination,
     fingerprints,
     html_text,
@@ -19,6 +20,7 @@ from rowguard.llm import (
     toxicity,
 )
 from rowguard.llm.common import table
+from rowguard.llm.sql import SQL
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -67,6 +69,12 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint_documents(table(spark, sf_dir, "documents"))
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"), least=30, percent=80, top=2000)
+
+
+__all__ = ["QUERIES", "SQL"]
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -80,8 +88,6 @@ QUERIES: dict[str, Query] = {
         op8_language_id,
         op9_decontamination,
         op10_fingerprints,
+        op13_collocations,
     )
 }
-
-#: DuckDB SQL for those that SQL can express; the others are tested against brute force.
-SQL: dict[str, str] = {}
