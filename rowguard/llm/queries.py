@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from rowguard.llm import (
+    alignment,
     collocations,
     decontamination,
     fingerprints,
@@ -69,6 +70,16 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint_documents(table(spark, sf_dir, "documents"))
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return alignment.align_tokens(
+        table(spark, sf_dir, "documents"),
+        public_tokenizers.path("byte_bpe_50k.json"),
+        public_tokenizers.path("piece_bpe_32k.model"),
+    )
+
+
 def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(table(spark, sf_dir, "documents"), least=30, percent=80, top=2000)
 
@@ -88,6 +99,7 @@ QUERIES: dict[str, Query] = {
         op8_language_id,
         op9_decontamination,
         op10_fingerprints,
+        op11_token_alignment,
         op13_collocations,
     )
 }
