@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from rowguard.llm import (
     alignment,
@@ -19,6 +20,7 @@ from rowguard.llm import (
     sharding,
     suffix_dedup,
     toxicity,
+    vector_scan,
 )
 from rowguard.llm.common import table
 from rowguard.llm.sql import SQL
@@ -80,6 +82,10 @@ def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_vector_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_scan.neighbours(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
 def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(table(spark, sf_dir, "documents"), least=30, percent=80, top=2000)
 
@@ -100,6 +106,7 @@ QUERIES: dict[str, Query] = {
         op9_decontamination,
         op10_fingerprints,
         op11_token_alignment,
+        op12_vector_scan,
         op13_collocations,
     )
 }
