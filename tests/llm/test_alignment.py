@@ -3,6 +3,7 @@
 import hashlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import public_tokenizers
 import pytest
 import sentencepiece
@@ -107,10 +108,23 @@ def test_equals_whole_texts_aligned_plainly(spark, models):
 
 
 def test_portions_do_not_change_the_counts(spark, models, monkeypatch):
-    monkeypatch.setattr(alignment, "PORTION", 40)
-    monkeypatch.setattr(alignment, "REMEMBERED", 10)
-    rows = [(i, t) for i, t in enumerate(TEXTS * 3) if len(t) < 4000]
-    assert found(spark, rows) == plain(models, rows)
+    """In this process, as constants of workers are not patched."""
+    for name, value in (("REMEMBERED", 10), ("JOINED", 5), ("MANY", 2)):
+        monkeypatch.setattr(alignment, name, value)
+    known = alignment._Known(A_PATH, B_PATH)
+    texts = [t for t in [*TEXTS, "", *TEXTS] if len(t) < 4000]
+    rows = list(enumerate(texts))
+    expected = plain(models, rows)
+    for begin in range(0, len(texts), 3):
+        part = rows[begin : begin + 3]
+        got = alignment._aligned(known, "p", [i for i, _ in part], [t for _, t in part], False)
+        for at, (i, _) in enumerate(part):
+            want = next(r for r in expected if r[0] == i)
+            names = ("n_a", "n_b", "n_groups", "n_links")
+            assert tuple(got[n][at] for n in names) == want[1:5] and got["groups_sha256"][at] == want[7]
+            assert sum(got["times"][at].as_py()) == want[4]
+        held = Counter(k for keys in got["keys"].to_pylist()[:-1] for k in keys)
+        assert dict(zip(got["keys"][len(part)].as_py(), got["times"][len(part)].as_py())) == held
 
 
 def test_given_documents(spark, models):
@@ -128,12 +142,14 @@ def test_groups_in_writing_and_an_empty_table(spark, models):
 
 
 def test_many_links_in_one_group_cost_its_different_ids_only():
-    groups, pairs = [], {}
-    n = 200_000
-    a, b = [7] * n, [9] * (n + 1)
-    a_ends, b_ends = [2 * i + 2 for i in range(n - 1)] + [2 * n + 1], [2 * i + 1 for i in range(n + 1)]
-    assert alignment._group(a, a_ends, b, b_ends, groups, pairs) == n * (n + 1)
-    assert pairs == {7 << 24 | 9: n * (n + 1)} and len(groups) == 1
+    n = 20_000
+    linker = alignment.Linker(alignment.Tokenizers(A_PATH, B_PATH))
+    a = (np.full(n, 7), np.append(np.arange(n - 1) * 2 + 2, 2 * n + 1))
+    b = (np.full(n + 1, 9), np.arange(n + 1) * 2 + 1)
+    found = linker._grouped(np.array([2 * n + 1]), a, b, np.array([True]))
+    assert found.figures.tolist() == [[n, n + 1, 1, n * (n + 1), 1]]
+    assert found.pairs.tolist() == [7 << 24 | 9] and found.times.tolist() == [n * (n + 1)]
+    assert found.writing[0].as_py() == ",".join(["7"] * n) + "|" + ",".join(["9"] * (n + 1)) + ";"
 
 
 def test_spans_are_cuts_where_characters_are_whole():
@@ -141,7 +157,15 @@ def test_spans_are_cuts_where_characters_are_whole():
     models = alignment.Tokenizers(A_PATH, B_PATH)
     for text in TEXTS:
         for segment in models.segments(text):
-            (a, a_ends), (b, b_ends) = models.a_tokens([segment])[0], models.b_tokens([segment])[0]
-            assert a_ends == ends([models.a_bytes[i] for i in a])
-            raw = [models.b_bytes[i] for i in b]
-            assert b_ends == (ends(raw) if b"".join(raw) == segment.encode() else None)
+            for found, decoded in ((models.a_tokens([segment]), models.a_bytes),
+                                   (models.b_tokens([segment]), models.b_bytes)):
+                raw = [decoded[int(i)].as_py() for i in found.ids]
+                assert found.sound.tolist() == [b"".join(raw) == segment.encode()]
+                assert not found.sound[0] or found.ends.tolist() == ends(raw)
+
+
+def test_texts_are_cut_at_runs_of_spaces_behind_other_characters():
+    models = alignment.Tokenizers(A_PATH, B_PATH)
+    assert models.segments("a  b\n c d\u3000 e\u00a0 f\u2003 g é h  ") == [
+        " a", "  b\n c", " d\u3000 e\u00a0 f\u2003 g", " é", " h  "
+    ]

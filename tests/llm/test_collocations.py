@@ -4,6 +4,7 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import pyarrow as pa
 import pytest
 
 from rowguard.llm import collocations as C
@@ -72,13 +73,24 @@ def test_equals_a_plain_count(spark, seed):
     assert found(spark, rows, least=30) == plain(rows, 30)
 
 
-def test_portions_and_a_full_filter_change_nothing(spark, monkeypatch):
+def test_a_full_filter_changes_nothing(spark, monkeypatch):
     rows = random_rows(3, 60, 400, 12)
-    expected = plain(rows, 5)
-    monkeypatch.setattr(C, "PORTION", 300)
-    monkeypatch.setattr(C, "FILTER_LOG2", 10)
-    monkeypatch.setattr(C, "MOST_WORDS", 5)
-    assert found(spark, rows, least=5) == expected
+    monkeypatch.setattr(C, "FILTER_LOG2", 6)
+    assert found(spark, rows, least=5) == plain(rows, 5)
+
+
+def test_portions_and_short_chunks_change_no_count(monkeypatch):
+    """In this process, as constants of workers are not patched."""
+    rows = random_rows(6, 40, 300, 12)
+    batch = pa.RecordBatch.from_pydict({"lang": ["en"] * len(rows), "text": [t for _, t, _ in rows]})
+    counts = []
+    for portion, most in ((C.PORTION, C.MOST_WORDS), (300, 5), (1, 1)):
+        monkeypatch.setattr(C, "PORTION", portion)
+        monkeypatch.setattr(C, "MOST_WORDS", most)
+        chunks = pa.Table.from_batches(list(C._chunk_rows(iter([batch]))))
+        found = [C._phrases(chunks, size, None).to_pydict() for size in (1, 2, 3, 4)]
+        counts.append([dict(zip(x["phrase"], x["n"])) for x in found])
+    assert counts[0] == counts[1] == counts[2] and len(counts[0][3]) > 100
 
 
 def test_chunks_own_every_place_once(spark):
