@@ -30,18 +30,29 @@ ROWS_FLAGGED = "rows_flagged"
 _KIND_ORDER = (REMOVED, SET_TO_NULL, FLAGGED)
 
 
-def unpivot(df: DataFrame, rows: Sequence[Mapping[str, str]]) -> DataFrame:
+def unpivot(
+    df: DataFrame,
+    rows: Sequence[Mapping[str, str]],
+    where: str | None = None,
+    otherwise: Sequence[Mapping[str, str]] = (),
+) -> DataFrame:
     """Turn each row of ``df`` into one row per mapping of column name to SQL expression.
 
     The expressions are text so that a table of hundreds of cells is handed to Spark in one piece.
+    With ``where``, rows for which it is not true become those of ``otherwise``.
     """
-    structs = [
-        "named_struct({})".format(
+
+    def structs(mappings: Sequence[Mapping[str, str]]) -> str:
+        cells = (
             ", ".join(f"{sql_text(name)}, {value}" for name, value in row.items())
+            for row in mappings
         )
-        for row in rows
-    ]
-    return df.select(F.expr(f"inline(array({', '.join(structs)}))"))
+        return f"array({', '.join(f'named_struct({cell})' for cell in cells)})"
+
+    made = structs(rows)
+    if where is not None:
+        made = f"IF({where}, {made}, {structs(otherwise)})"
+    return df.select(F.expr(f"inline({made})"))
 
 
 class _Counter(NamedTuple):

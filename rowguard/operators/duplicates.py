@@ -1,4 +1,4 @@
-"""Exact duplicate rows: dropping them and counting them.
+"""Exact duplicate rows: dropping them, counting them, and counting anything else by distinct rows.
 
 Two ways give the same rows, as far as SQL tells values apart:
 
@@ -6,10 +6,9 @@ Two ways give the same rows, as far as SQL tells values apart:
   shuffle within each task, so a row repeated millions of times sends one copy per task. Everything
   else crosses the shuffle at full width.
 * :func:`drop_rare_duplicates` first shuffles only an 8-byte fingerprint per row. Rows whose
-  fingerprint occurs once cannot have a copy and pass through without any shuffle; only the others
-  go through the full-row aggregation, so a chance collision of fingerprints changes nothing. It is
-  made for tables far larger than memory in which copies are few, and it falls back to the first
-  way if they are not.
+  fingerprint occurs once cannot have a copy and skip the aggregation; only the others go through it,
+  so a chance collision of fingerprints changes nothing. How rows meet the repeated fingerprints is
+  left to Spark, which broadcasts them where their measured size allows it.
 """
 
 from __future__ import annotations
@@ -19,15 +18,13 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rowguard.functions.values import named
-from rowguard.sources.scratch import reliable_checkpoint
-
-# Bound on what is broadcast: two million 8-byte keys take well under 200 MB once hashed.
-MAX_BROADCAST_KEYS = 2_000_000
 
 _FINGERPRINT = "__rowguard_fingerprint"
 _COPIES = "__rowguard_copies"
+_FIRST = "__rowguard_first"
 
 
 def drop_duplicates(df: DataFrame) -> DataFrame:
@@ -58,9 +55,64 @@ def timed_duplicate_counts(df: DataFrame) -> dict[str, int | float]:
     return counts
 
 
+def distinct_rows(df: DataFrame, helper: str | None = None) -> DataFrame:
+    """Each distinct row with the number of its copies and, as the second added column, whether it
+    stands for a distinct row by itself (1).
+
+    ``helper`` is a column that is no part of the data. Rows that differ in it alone are listed one
+    by one, and only one of them has the 1.
+    """
+    if helper is None:
+        return row_copies(df).withColumn(_FIRST, F.lit(1))
+    data = [named(c) for c in df.columns if c != helper]
+    listed = (
+        row_copies(df)
+        .groupBy(*data)
+        .agg(F.collect_list(F.struct(named(helper), named(_COPIES))).alias(_COPIES))
+        .select(*data, F.posexplode(_COPIES).alias(_FIRST, _COPIES))
+    )
+    own = [named(_COPIES).getField(name).alias(name) for name in (helper, _COPIES)]
+    return listed.select(*data, *own, (named(_FIRST) == 0).cast("int").alias(_FIRST))
+
+
+class Weights(NamedTuple):
+    """Counting rows of a table that lists each distinct row with its copies, or of a plain one."""
+
+    copies: Column
+    first: Column
+
+    def rows(self, condition: Column | None = None) -> Column:
+        """How many rows there are, or fulfil the condition."""
+        share = self.copies if condition is None else F.when(condition, self.copies)
+        return F.coalesce(F.sum(share), F.lit(0).cast("bigint"))
+
+    def distinct(self) -> Column:
+        return F.coalesce(F.sum(self.first), F.lit(0).cast("bigint"))
+
+
+def weights() -> Weights:
+    """Weights of :func:`distinct_rows`."""
+    return Weights(named(_COPIES), named(_FIRST))
+
+
+def _hashed_alike(kind: T.DataType) -> bool:
+    """True if values that SQL calls equal have equal hashes; not so under most collations."""
+    if isinstance(kind, T.StringType):
+        return kind.isUTF8BinaryCollation()
+    if isinstance(kind, T.ArrayType):
+        return _hashed_alike(kind.elementType)
+    if isinstance(kind, T.StructType):
+        return all(_hashed_alike(field.dataType) for field in kind.fields)
+    return not isinstance(kind, (T.MapType, T.VariantType))
+
+
 def row_fingerprint(df: DataFrame) -> Column:
-    """64-bit hash of the whole row. Equal rows have equal hashes; the reverse need not hold."""
-    return F.xxhash64(*[named(c) for c in df.columns])
+    """64-bit hash of the row. Equal rows have equal hashes; the reverse need not hold.
+
+    Text under a collation of its own is left out: equal texts may differ in their bytes.
+    """
+    hashed = [named(f.name) for f in df.schema.fields if _hashed_alike(f.dataType)]
+    return F.xxhash64(*hashed) if hashed else F.lit(0).cast("bigint")
 
 
 def repeated_fingerprints(df: DataFrame) -> DataFrame:
@@ -81,38 +133,25 @@ class SplitRows(NamedTuple):
     suspect: DataFrame
 
 
-def split_rare_duplicates(
-    df: DataFrame, max_keys: int = MAX_BROADCAST_KEYS
-) -> SplitRows | None:
-    """Split by fingerprint, or None if more than ``max_keys`` fingerprints are repeated.
-
-    Runs a job: the repeated fingerprints are written to the checkpoint folder and counted, which
-    is what proves that broadcasting them is safe.
-    """
-    keys = reliable_checkpoint(repeated_fingerprints(df))
-    if keys.count() > max_keys:
-        return None
+def split_rare_duplicates(df: DataFrame) -> SplitRows:
+    """Split by whether the row's fingerprint is repeated."""
+    keys = repeated_fingerprints(df)
     marked = df.withColumn(_FINGERPRINT, row_fingerprint(df))
-    small = F.broadcast(keys)
     return SplitRows(
-        single=marked.join(small, _FINGERPRINT, "left_anti").drop(_FINGERPRINT),
-        suspect=marked.join(small, _FINGERPRINT, "left_semi").drop(_FINGERPRINT),
+        single=marked.join(keys, _FINGERPRINT, "left_anti").drop(_FINGERPRINT),
+        suspect=marked.join(keys, _FINGERPRINT, "left_semi").drop(_FINGERPRINT),
     )
 
 
-def drop_rare_duplicates(df: DataFrame, max_keys: int = MAX_BROADCAST_KEYS) -> DataFrame:
-    """Same rows as :func:`drop_duplicates`, without shuffling rows that cannot have a copy."""
-    split = split_rare_duplicates(df, max_keys)
-    if split is None:
-        return drop_duplicates(df)
+def drop_rare_duplicates(df: DataFrame) -> DataFrame:
+    """Same rows as :func:`drop_duplicates`; only rows that may have a copy are compared whole."""
+    split = split_rare_duplicates(df)
     return split.single.unionByName(drop_duplicates(split.suspect))
 
 
-def rare_duplicate_counts(df: DataFrame, max_keys: int = MAX_BROADCAST_KEYS) -> DataFrame:
+def rare_duplicate_counts(df: DataFrame) -> DataFrame:
     """Same row as :func:`duplicate_counts`; only rows that may have a copy cross the shuffle."""
-    split = split_rare_duplicates(df, max_keys)
-    if split is None:
-        return duplicate_counts(df)
+    split = split_rare_duplicates(df)
     # Counting all rows needs no column of them; the suspects then only say what is surplus.
     everything = df.agg(F.count(F.lit(1)).alias("n")).select(
         named("n").alias("input_rows"),

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rowguard.functions import conditions, values
 from rowguard.functions.months import Month
@@ -11,43 +12,50 @@ from rowguard.functions.values import named, sql_text
 from rowguard.operators.binding import Binding, ColumnBinding, bind
 from rowguard.operators.cleaning import Period
 from rowguard.operators.counts import unpivot
-from rowguard.operators.duplicates import duplicate_counts
+from rowguard.operators.duplicates import Weights, duplicate_counts
 from rowguard.rules import Catalog, MonthRule, TimeOrderRule
 
 TOTAL = "total"
 
 
 class Measures:
-    """The measures of a profile, all taken by one aggregate, and how to read them back."""
+    """The measures of a profile, all taken by one aggregate, and how to read them back.
 
-    def __init__(self, df: DataFrame, binding: Binding) -> None:
+    With ``weights`` they are taken of a table that lists distinct rows with their copies.
+    """
+
+    def __init__(self, df: DataFrame, binding: Binding, weights: Weights | None = None) -> None:
         self.binding = binding
-        self._taken: dict[str, Column] = {TOTAL: F.count(F.lit(1))}
+        count = F.count_if if weights is None else weights.rows
+        self._taken: dict[str, Column] = {TOTAL: count(F.lit(True))}
         for i, column in enumerate(binding.columns):
             if not column.present:
                 continue
-            self._taken[f"missing_{i}"] = F.count_if(column.reading.missing)
+            self._taken[f"missing_{i}"] = count(column.reading.missing)
             for breach in ("below_min", "above_max", "domain"):
                 check = getattr(column, breach)
                 if check is not None:
-                    self._taken[f"{breach}_{i}"] = F.count_if(check.condition.broken)
+                    self._taken[f"{breach}_{i}"] = count(check.condition.broken)
         moments = {f.name: f for f in df.schema.fields}
         if binding.time_order is not None:
             rule = binding.catalog.time_order
             start = values.as_moment(moments[rule.start]).value
             end = values.as_moment(moments[rule.end]).value
-            self._taken["inverted"] = F.count_if(binding.time_order.condition.broken)
-            self._taken["no_start"] = F.count_if(start.isNull())
-            self._taken["no_end"] = F.count_if(end.isNull())
+            self._taken["inverted"] = count(binding.time_order.condition.broken)
+            self._taken["no_start"] = count(start.isNull())
+            self._taken["no_end"] = count(end.isNull())
         if binding.month is not None:
             dated = values.as_moment(moments[binding.catalog.month.column]).value
-            self._taken["outside"] = F.count_if(binding.month.condition.broken)
-            self._taken["dated"] = F.count(dated)
+            self._taken["outside"] = count(binding.month.condition.broken)
+            self._taken["dated"] = count(dated.isNotNull())
             self._taken["earliest"] = F.min(dated)
             self._taken["latest"] = F.max(dated)
 
+    def columns(self) -> list[Column]:
+        return [measure.alias(name) for name, measure in self._taken.items()]
+
     def take(self, df: DataFrame) -> DataFrame:
-        return df.agg(*[measure.alias(name) for name, measure in self._taken.items()])
+        return df.agg(*self.columns())
 
     def count(self, name: str) -> str:
         """A count as SQL text; 0 if there is no such measure."""
@@ -174,32 +182,40 @@ def profile_duplicates(
 def negative_money(df: DataFrame, catalog: Catalog) -> DataFrame:
     """Rows with a negative amount by code: ``(<code column>, rows, meaning)``, most rows first.
 
-    Empty if the table lacks the code column or all money columns, or has no negative amount.
+    The code column keeps its own type. Empty if the table lacks it (its type is then text) or all
+    money columns, or has no negative amount.
     """
     code = catalog.code_column or "code"
-    found = negative_money_counts(df, catalog)
-    if found is None:
-        schema = f"`{code}` string, rows bigint, meaning string"
+    kinds = {field.name: field.dataType for field in df.schema.fields}
+    negative = negative_amount(df, catalog)
+    if negative is None:
+        schema = T.StructType().add(code, kinds.get(code, T.StringType()))
+        schema = schema.add("rows", T.LongType()).add("meaning", T.StringType())
         return df.sparkSession.createDataFrame([], schema)
+    field = next(f for f in df.schema.fields if f.name == code)
+    found = df.filter(negative).groupBy(named(code)).agg(F.count(F.lit(1)).alias("rows"))
+    found = found.withColumn("meaning", values.meaning_of(field, catalog.code_meanings))
     return found.orderBy(F.desc("rows"), F.asc_nulls_first(named(code)))
 
 
-def negative_money_counts(df: DataFrame, catalog: Catalog) -> DataFrame | None:
-    """The rows of :func:`negative_money` in no order, None if the table lacks the columns."""
+def negative_amount(df: DataFrame, catalog: Catalog) -> Column | None:
+    """True where a money column is negative; None if the table lacks the code or all of them."""
     fields = {field.name: field for field in df.schema.fields}
     amounts = [fields[name] for name in catalog.money_columns if name in fields]
-    code = fields.get(catalog.code_column)
-    if code is None or not amounts:
+    if catalog.code_column not in fields or not amounts:
         return None
-    negative = conditions.any_of(
+    return conditions.any_of(
         [conditions.below_min(values.as_number(field), 0).broken for field in amounts]
     )
-    return (
-        df.filter(negative)
-        .groupBy(named(code.name))
-        .agg(F.count(F.lit(1)).alias("rows"))
-        .withColumn("meaning", values.meaning_of(code, catalog.code_meanings))
-    )
+
+
+def with_position(ordered: DataFrame, *order: Column, name: str = "position") -> DataFrame:
+    """``ordered`` with each row's place in ``order``, from 1, so that it outlives a shuffle.
+
+    For result tables, which hold a row per group: the rank is taken in one task. Rows that are equal
+    in all of ``order`` are ranked in no particular order.
+    """
+    return ordered.withColumn(name, F.row_number().over(Window.orderBy(*order)))
 
 
 def with_code_meaning(df: DataFrame, catalog: Catalog, as_name: str = "meaning") -> DataFrame:

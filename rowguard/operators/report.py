@@ -6,14 +6,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rowguard.functions import conditions
-from rowguard.functions.values import named, sql_text
+from rowguard.functions.months import MonthColumn
+from rowguard.functions.values import meaning_of, named, sql_text
 from rowguard.operators.binding import Binding, bind
 from rowguard.operators.cleaning import Period
 from rowguard.operators.counts import unpivot
-from rowguard.operators.duplicates import duplicate_counts
-from rowguard.operators.profile import TOTAL, Measures, negative_money_counts
+from rowguard.operators.duplicates import Weights, distinct_rows, weights
+from rowguard.operators.profile import TOTAL, Measures, negative_amount
 from rowguard.rules import Catalog
 
+# The code of a row and its meaning, while the report is made.
+_CODE = "__rowguard_code"
+
 _COLUMNS = ("section", "rule", "metric", "value", "action")
 
 # Where each part stands in the report.
@@ -71,57 +75,62 @@ def _measured_lines(measures: Measures) -> list[dict[str, str]]:
     return [_line(_MEASURED, order, *line) for order, line in enumerate(lines)]
 
 
-def quality_report(
-    df: DataFrame,
-    catalog: Catalog,
-    period: Period = None,
-    copies: DataFrame | None = None,
-) -> DataFrame:
+def _weighted(df: DataFrame, binding: Binding) -> tuple[DataFrame, Weights]:
+    """The distinct rows with their copies. Copies merge in each task before the one shuffle."""
+    helper = binding.expected.name if isinstance(binding.expected, MonthColumn) else None
+    return distinct_rows(df, helper), weights()
+
+
+def quality_report(df: DataFrame, catalog: Catalog, period: Period = None) -> DataFrame:
     """The whole report in long form: ``(section, rule, metric, value, action)``.
 
-    Sections, in order: ``file``, ``column``, ``cross_field``, ``policy``, ``negative_money``. All
-    counts but two parts come from one aggregate; duplicates and the money breakdown need their own
-    grouping. ``copies`` is the result of a duplicate count on ``df`` if there is one already.
+    Sections, in order: ``file``, ``column``, ``cross_field``, ``policy``, ``negative_money``. One
+    scan and one wide shuffle: the table is reduced to its distinct rows with their copies, and one
+    aggregation over these, by code and over all, gives every figure, duplicates included. Without a
+    duplicate rule there is no shuffle of rows at all.
     """
     binding = bind(df, catalog, period)
-    measures = Measures(df, binding)
-    policy = [
+    rows, weight = _weighted(df, binding) if catalog.duplicates is not None else (df, None)
+    measures = Measures(df, binding, weight)
+    lines = _measured_lines(measures)
+    taken = measures.columns()
+    if weight is not None:
+        taken.append(weight.distinct().alias("distinct_rows"))
+        section = ("cross_field", catalog.duplicates.label)
+        action = catalog.duplicates.on_violation
+        surplus = f"{TOTAL} - distinct_rows"
+        lines.append(_line(_DUPLICATES, 0, *section, "invalid", surplus, action))
+        lines.append(_line(_DUPLICATES, 1, *section, "valid", "distinct_rows"))
+    lines += [
         _line(_POLICY, i, "policy", line.problem, "rule", sql_text(line.rule))
         for i, line in enumerate(catalog.policy)
     ]
-    parts = [unpivot(measures.take(df), _measured_lines(measures) + policy)]
-
-    if catalog.duplicates is not None:
-        rule = catalog.duplicates
-        counted = duplicate_counts(binding.without_helpers(df)) if copies is None else copies
-        section = ("cross_field", rule.label)
-        parts.append(
-            unpivot(
-                counted,
-                [
-                    _line(_DUPLICATES, 0, *section, "invalid", "removed", rule.on_violation),
-                    _line(_DUPLICATES, 1, *section, "valid", "output_rows"),
-                ],
-            )
-        )
 
-    money = negative_money_counts(df, catalog)
-    if money is not None:
-        parts.append(
-            money.select(
-                F.lit(_MONEY).alias("part"),
-                (-named("rows")).alias("order"),
-                F.lit("negative_money").alias("section"),
-                named(catalog.code_column).cast("string").alias("rule"),
-                named("meaning").alias("metric"),
-                named("rows").cast("string").alias("value"),
-                F.lit(None).cast("string").alias("action"),
-            )
+    negative = negative_amount(df, catalog)
+    if negative is None:
+        report = unpivot(rows.agg(*taken), lines)
+    else:
+        code = next(f for f in df.schema.fields if f.name == catalog.code_column)
+        meaning = meaning_of(code, catalog.code_meanings)
+        # Every figure over all rows, and the negative amounts of each code, in one aggregation.
+        count = F.count_if if weight is None else weight.rows
+        found = rows.select(
+            "*", F.struct(named(code.name).alias("code"), meaning.alias("meaning")).alias(_CODE)
+        ).groupingSets(
+            [[], [named(_CODE)]], named(_CODE)
+        ).agg(F.grouping_id().alias("of_all"), count(negative).alias("negative"), *taken)
+        money = {
+            "part": str(_MONEY),
+            "order": "-negative",
+            "section": sql_text("negative_money"),
+            "rule": f"CAST({_CODE}.code AS STRING)",
+            "metric": f"{_CODE}.meaning",
+            "value": "CAST(negative AS STRING)",
+            "action": sql_text(None),
+        }
+        report = unpivot(found, lines, where="of_all = 1", otherwise=[money]).filter(
+            f"part <> {_MONEY} OR value <> '0'"
         )
-
-    report = parts[0]
-    for part in parts[1:]:
-        report = report.unionByName(part)
     return report.orderBy("part", "order", "rule").select(*_COLUMNS)
 
 
@@ -133,50 +142,36 @@ def _policy_masks(binding: Binding) -> dict[str, Column]:
     return masks
 
 
-def cleaning_policy(
-    df: DataFrame,
-    catalog: Catalog,
-    period: Period = None,
-    copies: DataFrame | None = None,
-) -> DataFrame:
+def cleaning_policy(df: DataFrame, catalog: Catalog, period: Period = None) -> DataFrame:
     """The written policy with the rows each line concerns: ``(position, problem, rule, rows)``.
 
-    For duplicates these are the surplus copies; ``copies`` is a duplicate count on ``df`` if there
-    is one already. ``rows`` is null if the table lacks the column a line speaks about.
+    For duplicates these are the surplus copies. ``rows`` is null if the table lacks the column a
+    line speaks about. One scan; rows cross a shuffle only if there is a line on duplicates, and
+    then as distinct rows with their copies.
     """
     binding = bind(df, catalog, period)
     masks = _policy_masks(binding)
-    measured: dict[int, Column] = {}
-    surplus: dict[int, str] = {}
+    duplicates = catalog.duplicates.label if catalog.duplicates is not None else None
+    copied = any(duplicates in line.covers for line in catalog.policy)
+    rows, weight = _weighted(df, binding) if copied else (df, None)
+    count = F.count_if if weight is None else weight.rows
+    taken = [count(F.lit(True)).alias(TOTAL)]
+    lines = []
     for i, line in enumerate(catalog.policy):
         found = [masks[label] for label in line.covers if label in masks]
-        if catalog.duplicates is not None and catalog.duplicates.label in line.covers:
-            surplus[i] = "removed"
+        value = "CAST(NULL AS BIGINT)"
+        if weight is not None and duplicates in line.covers:
+            taken.append((weight.rows() - weight.distinct()).alias(f"n{i}"))
+            value = f"n{i}"
         elif found:
-            measured[i] = F.count_if(conditions.any_of(found))
-    totals = df.agg(F.count(F.lit(1)).alias(TOTAL), *[m.alias(f"n{i}") for i, m in measured.items()])
-
-    def lines(table: DataFrame, rows: dict[int, str]) -> DataFrame:
-        return unpivot(
-            table,
-            [
-                {
-                    "position": str(i + 1),
-                    "problem": sql_text(catalog.policy[i].problem),
-                    "rule": sql_text(catalog.policy[i].rule),
-                    "rows": value,
-                }
-                for i, value in rows.items()
-            ],
+            taken.append(count(conditions.any_of(found)).alias(f"n{i}"))
+            value = f"n{i}"
+        lines.append(
+            {
+                "position": str(i + 1),
+                "problem": sql_text(line.problem),
+                "rule": sql_text(line.rule),
+                "rows": value,
+            }
         )
-
-    from_totals = {
-        i: f"n{i}" if i in measured else "CAST(NULL AS BIGINT)"
-        for i in range(len(catalog.policy))
-        if i not in surplus
-    }
-    result = lines(totals, from_totals)
-    if surplus:
-        counted = duplicate_counts(binding.without_helpers(df)) if copies is None else copies
-        result = result.unionByName(lines(counted, surplus))
-    return result.orderBy("position")
+    return unpivot(rows.agg(*taken), lines).orderBy("position")

@@ -10,9 +10,7 @@ import argparse
 from pyspark.sql import SparkSession
 
 from rowguard.catalogs import YELLOW_TAXI
-from rowguard.operators.binding import bind
 from rowguard.operators.cleaning import Period
-from rowguard.operators.duplicates import duplicate_counts
 from rowguard.operators.report import quality_report
 from rowguard.plans.clean_job import FROM_NAME, read_for_cleaning
 from rowguard.plans.sizing import shuffle_sized_for
@@ -49,9 +47,8 @@ def run(
     target = report_path or report_path_for(input_path)
     try:
         df, expected = read_for_cleaning(session, input_path, period, input_format, input_schema)
-        data = bind(df, catalog, expected).without_helpers(df)
         with shuffle_sized_for(df):
-            report = quality_report(df, catalog, expected, copies=duplicate_counts(data))
+            report = quality_report(df, catalog, expected)
             writer = report.write.mode("overwrite").format(report_format)
             if report_format == CSV:
                 writer = writer.option("header", True)

@@ -61,12 +61,18 @@ def test_counts_of_an_empty_table(spark):
     assert rare_duplicate_counts(empty).first().asDict() == want
 
 
-def test_too_many_repeated_rows_fall_back(spark):
-    df = mixed(spark)
-    assert split_rare_duplicates(df, max_keys=3) is None
-    assert split_rare_duplicates(df, max_keys=4) is not None
-    assert plain(drop_rare_duplicates(df, max_keys=1)) == plain(drop_duplicates(df))
-    assert rare_duplicate_counts(df, max_keys=1).first()["removed"] == 5
+def test_equal_under_a_collation(spark):
+    """Texts that a collation calls equal differ in their bytes; both ways see one row."""
+    rows = [("a", 1), ("A", 1), ("b", 1), ("b", 2), ("B ", 2)]
+    df = spark.createDataFrame(rows, "t string, k int").selectExpr(
+        "collate(t, 'UTF8_LCASE') AS t", "struct(collate(t, 'UTF8_LCASE') AS u) AS s", "k"
+    )
+    want = {"input_rows": 5, "output_rows": 4, "removed": 1}
+    assert duplicate_counts(df).first().asDict() == want
+    assert rare_duplicate_counts(df).first().asDict() == want
+    assert drop_rare_duplicates(df).count() == drop_duplicates(df).count() == 4
+    only_text = df.select("t")
+    assert drop_rare_duplicates(only_text).count() == drop_duplicates(only_text).count() == 3
 
 
 def test_colliding_fingerprints_do_no_harm(spark, monkeypatch):
@@ -98,14 +104,30 @@ def test_copies_merge_before_the_shuffle(spark):
     assert "HashAggregate" in below
 
 
-def test_single_rows_cross_no_shuffle(spark):
+def test_single_rows_are_not_shuffled_by_their_values(spark):
     split = split_rare_duplicates(mixed(spark))
     plan = plan_of(split.single)
-    assert "BroadcastHashJoin" in plan and "LeftAnti" in plan
-    assert "hashpartitioning" not in plan
+    assert "LeftAnti" in plan
+    assert plan.count("Exchange hashpartitioning(__rowguard_fingerprint") >= 1
+    assert "hashpartitioning(k" not in plan
 
 
 @pytest.mark.parametrize("name", ["copies", "count", "__rowguard"])
 def test_column_names_do_not_clash(spark, name):
     df = spark.createDataFrame([(1,), (1,)], [name])
     assert duplicate_counts(df).first()["removed"] == 1
+
+
+def test_distinct_rows_with_a_helper_column(spark):
+    """Rows that differ in the helper alone are one distinct row, listed once for each value of it."""
+    rows = [(1, "a", "x"), (1, "a", "x"), (1, "a", "y"), (1, "a", None), (2, "a", "x")]
+    df = spark.createDataFrame(rows, "k int, t string, month string")
+    listed = duplicates.distinct_rows(df, "month")
+    weights = duplicates.weights()
+    totals = listed.agg(
+        weights.rows().alias("rows"),
+        weights.distinct().alias("distinct"),
+        weights.rows(F.col("month") == "x").alias("x"),
+    )
+    assert totals.first().asDict() == {"rows": 5, "distinct": 2, "x": 3}
+    assert listed.count() == 4
