@@ -66,8 +66,14 @@ def month_of_path(path: str) -> Month | None:
         ) from None
 
 
-def month_in_file_path(file_path: Column) -> Column:
-    """Month named by a data file's path as ``YYYY-MM``, null if none or no valid month.
+def month_of_file(file_path: str) -> Month | None:
+    """As :func:`month_of_path`, for a data file: files written by Spark take their folder's name."""
+    folder, _, name = str(file_path).rpartition("/")
+    return month_of_path(folder if name.startswith("part-") else name)
+
+
+def text_in_file_path(file_path: Column) -> Column:
+    """What stands for a month in a data file's path, possible or not; empty if nothing does.
 
     Files written by Spark (``part-...``) have random names in which the pattern can occur by
     chance; for those the folder they lie in is the name that counts.
@@ -77,7 +83,12 @@ def month_in_file_path(file_path: Column) -> Column:
     folder = F.try_element_at(parts, F.lit(-2))
     name = F.when(file_name.startswith("part-"), folder).otherwise(file_name)
     # The whole match: group 0. A name without a month gives the empty string.
-    text = F.regexp_extract(name, MONTH_IN_NAME, 0)
+    return F.regexp_extract(name, MONTH_IN_NAME, 0)
+
+
+def month_in_file_path(file_path: Column) -> Column:
+    """Month named by a data file's path as ``YYYY-MM``, null if none or no valid month."""
+    text = text_in_file_path(file_path)
     return F.when(F.concat(text, F.lit("-01")).try_cast("date").isNotNull(), text)
 
 

@@ -75,8 +75,26 @@ def distinct_rows(df: DataFrame, helper: str | None = None) -> DataFrame:
     return listed.select(*data, *own, (named(_FIRST) == 0).cast("int").alias(_FIRST))
 
 
+def plain_rows(df: DataFrame) -> DataFrame:
+    """The rows as they are, in the form of :func:`distinct_rows`: each is one copy."""
+    return df.withColumns({_COPIES: F.lit(1).cast("bigint"), _FIRST: F.lit(1)})
+
+
+def with_zero_row(rows: DataFrame) -> DataFrame:
+    """``rows`` and one of nulls that counts nothing, so that grouping an empty table, too, gives the
+    group of all rows."""
+    counted = {_COPIES: F.lit(0).cast("bigint"), _FIRST: F.lit(0)}
+    zero = rows.sparkSession.range(1, numPartitions=1).select(
+        *[
+            counted.get(f.name, F.lit(None).cast(f.dataType)).alias(f.name)
+            for f in rows.schema.fields
+        ]
+    )
+    return rows.unionByName(zero)
+
+
 class Weights(NamedTuple):
-    """Counting rows of a table that lists each distinct row with its copies, or of a plain one."""
+    """Counting by a table that lists each row with its copies."""
 
     copies: Column
     first: Column

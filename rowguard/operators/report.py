@@ -11,7 +11,7 @@ from rowguard.functions.values import meaning_of, named, sql_text
 from rowguard.operators.binding import Binding, bind
 from rowguard.operators.cleaning import Period
 from rowguard.operators.counts import unpivot
-from rowguard.operators.duplicates import Weights, distinct_rows, weights
+from rowguard.operators.duplicates import distinct_rows, plain_rows, weights, with_zero_row
 from rowguard.operators.profile import TOTAL, Measures, negative_amount
 from rowguard.rules import Catalog
 
@@ -75,10 +75,13 @@ def _measured_lines(measures: Measures) -> list[dict[str, str]]:
     return [_line(_MEASURED, order, *line) for order, line in enumerate(lines)]
 
 
-def _weighted(df: DataFrame, binding: Binding) -> tuple[DataFrame, Weights]:
-    """The distinct rows with their copies. Copies merge in each task before the one shuffle."""
+def _weighted(df: DataFrame, binding: Binding, copied: bool) -> DataFrame:
+    """The distinct rows with their copies, which merge in each task before the one shuffle; rows as
+    they are if nobody asks for copies."""
+    if not copied:
+        return plain_rows(df)
     helper = binding.expected.name if isinstance(binding.expected, MonthColumn) else None
-    return distinct_rows(df, helper), weights()
+    return distinct_rows(df, helper)
 
 
 def quality_report(df: DataFrame, catalog: Catalog, period: Period = None) -> DataFrame:
@@ -90,11 +93,11 @@ def quality_report(df: DataFrame, catalog: Catalog, period: Period = None) -> Da
     duplicate rule there is no shuffle of rows at all.
     """
     binding = bind(df, catalog, period)
-    rows, weight = _weighted(df, binding) if catalog.duplicates is not None else (df, None)
+    rows, weight = _weighted(df, binding, catalog.duplicates is not None), weights()
     measures = Measures(df, binding, weight)
     lines = _measured_lines(measures)
     taken = measures.columns()
-    if weight is not None:
+    if catalog.duplicates is not None:
         taken.append(weight.distinct().alias("distinct_rows"))
         section = ("cross_field", catalog.duplicates.label)
         action = catalog.duplicates.on_violation
@@ -113,12 +116,13 @@ def quality_report(df: DataFrame, catalog: Catalog, period: Period = None) -> Da
         code = next(f for f in df.schema.fields if f.name == catalog.code_column)
         meaning = meaning_of(code, catalog.code_meanings)
         # Every figure over all rows, and the negative amounts of each code, in one aggregation.
-        count = F.count_if if weight is None else weight.rows
-        found = rows.select(
-            "*", F.struct(named(code.name).alias("code"), meaning.alias("meaning")).alias(_CODE)
-        ).groupingSets(
-            [[], [named(_CODE)]], named(_CODE)
-        ).agg(F.grouping_id().alias("of_all"), count(negative).alias("negative"), *taken)
+        coded = F.struct(named(code.name).alias("code"), meaning.alias("meaning"))
+        found = (
+            with_zero_row(rows)
+            .withColumn(_CODE, coded)
+            .groupingSets([[], [named(_CODE)]], named(_CODE))
+            .agg(F.grouping_id().alias("of_all"), weight.rows(negative).alias("negative"), *taken)
+        )
         money = {
             "part": str(_MONEY),
             "order": "-negative",
@@ -152,19 +156,18 @@ def cleaning_policy(df: DataFrame, catalog: Catalog, period: Period = None) -> D
     binding = bind(df, catalog, period)
     masks = _policy_masks(binding)
     duplicates = catalog.duplicates.label if catalog.duplicates is not None else None
-    copied = any(duplicates in line.covers for line in catalog.policy)
-    rows, weight = _weighted(df, binding) if copied else (df, None)
-    count = F.count_if if weight is None else weight.rows
-    taken = [count(F.lit(True)).alias(TOTAL)]
+    copied = duplicates is not None and any(duplicates in line.covers for line in catalog.policy)
+    rows, weight = _weighted(df, binding, copied), weights()
+    taken = [weight.rows().alias(TOTAL)]
     lines = []
     for i, line in enumerate(catalog.policy):
         found = [masks[label] for label in line.covers if label in masks]
         value = "CAST(NULL AS BIGINT)"
-        if weight is not None and duplicates in line.covers:
+        if copied and duplicates in line.covers:
             taken.append((weight.rows() - weight.distinct()).alias(f"n{i}"))
             value = f"n{i}"
         elif found:
-            taken.append(count(conditions.any_of(found)).alias(f"n{i}"))
+            taken.append(weight.rows(conditions.any_of(found)).alias(f"n{i}"))
             value = f"n{i}"
         lines.append(
             {

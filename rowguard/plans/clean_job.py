@@ -29,12 +29,13 @@ from rowguard.operators.counts import (
     clean_summary,
 )
 from rowguard.operators.duplicates import drop_duplicates, drop_rare_duplicates
-from rowguard.plans.sizing import shuffle_sized_for
+from rowguard.plans.sizing import size_shuffles
 from rowguard.rules import Catalog
-from rowguard.session import get_session
+from rowguard.session import get_session, private_session
 from rowguard.sources.tables import (
     CSV,
     PARQUET,
+    check_file_months,
     format_of,
     read_table,
     with_file_month,
@@ -101,11 +102,16 @@ def read_for_cleaning(
     input_format: str | None = None,
     schema: str | None = None,
 ) -> tuple[DataFrame, Period]:
-    """The input and the month rule's period: given, in the path's name, or per data file."""
+    """The input and the month rule's period: given, in the path's name, or per data file.
+
+    Per data file, names are looked at before anything runs: one that names an impossible month is
+    an error. Rows of files that name none are not checked against a month.
+    """
     df = read_table(spark, path, format=input_format or _input_format(path), schema=schema)
     if period == FROM_NAME:
         return df, month_of_path(path)
     if period == PER_FILE:
+        check_file_months(df)
         return with_file_month(df, _FILE_MONTH), MonthColumn(_FILE_MONTH)
     return df, period
 
@@ -121,7 +127,8 @@ def write_cleaned(
 ) -> CleanOutcome:
     """Clean ``df``, write it and return the counts.
 
-    The input is counted in a second, narrow scan and the output by reading it back, so a task that
+    Runs in ``df``'s session and leaves its settings alone; :func:`run` uses a session of its own,
+    with shuffles sized for the input. The input is counted in a second, narrow scan and the output by reading it back, so a task that
     runs twice cannot change the numbers. Duplicates are dropped by one aggregation whatever the
     size; ``dedup="fingerprint"`` asks for the other way by name.
     """
@@ -138,10 +145,9 @@ def write_cleaned(
 def _write_exact(
     df: DataFrame, path: str, kind: str, catalog: Catalog, period: Period, dedup: str
 ) -> CleanOutcome:
-    with shuffle_sized_for(df):
-        drop = drop_rare_duplicates if dedup == DEDUP_FINGERPRINT else drop_duplicates
-        cleaned = clean(df, catalog, period, drop)
-        write_table(cleaned, path, format=kind)
+    drop = drop_rare_duplicates if dedup == DEDUP_FINGERPRINT else drop_duplicates
+    cleaned = clean(df, catalog, period, drop)
+    write_table(cleaned, path, format=kind)
     # A text may hold line ends; each file we wrote is one task anyway.
     written = read_table(df.sparkSession, path, format=kind, schema=cleaned.schema, multi_line=kind == CSV)
     outcome = CleanOutcome(path, dedup=dedup)
@@ -163,16 +169,17 @@ def run(
     output_format: str | None = None,
     dedup: str = DEDUP_AGGREGATE,
 ) -> CleanOutcome:
-    """Clean one file or folder into ``output_path``. Stops only a session it started itself.
+    """Clean one file or folder into ``output_path``, in a session of the job's own on the same
+    Spark. Stops Spark only if it started it itself.
 
     ``input_schema`` spares CSV input the extra pass that infers its types.
     """
     own = spark is None and SparkSession.getActiveSession() is None
     session = spark or get_session("rowguard_clean")
+    job = private_session(session)
     try:
-        df, expected = read_for_cleaning(
-            session, input_path, period, input_format, input_schema
-        )
+        df, expected = read_for_cleaning(job, input_path, period, input_format, input_schema)
+        size_shuffles(job, df)
         return write_cleaned(
             df,
             output_path,

@@ -13,9 +13,9 @@ from rowguard.catalogs import YELLOW_TAXI
 from rowguard.operators.cleaning import Period
 from rowguard.operators.report import quality_report
 from rowguard.plans.clean_job import FROM_NAME, read_for_cleaning
-from rowguard.plans.sizing import shuffle_sized_for
+from rowguard.plans.sizing import size_shuffles
 from rowguard.rules import Catalog
-from rowguard.session import get_session
+from rowguard.session import get_session, private_session
 from rowguard.sources.tables import CSV, PARQUET
 
 REPORT_FORMATS = ("json", CSV, PARQUET)
@@ -44,15 +44,15 @@ def run(
         raise ValueError(f"Unsupported report format: {report_format}")
     own = spark is None and SparkSession.getActiveSession() is None
     session = spark or get_session("rowguard_profile")
+    job = private_session(session)
     target = report_path or report_path_for(input_path)
     try:
-        df, expected = read_for_cleaning(session, input_path, period, input_format, input_schema)
-        with shuffle_sized_for(df):
-            report = quality_report(df, catalog, expected)
-            writer = report.write.mode("overwrite").format(report_format)
-            if report_format == CSV:
-                writer = writer.option("header", True)
-            writer.save(target)
+        df, expected = read_for_cleaning(job, input_path, period, input_format, input_schema)
+        size_shuffles(job, df)
+        writer = quality_report(df, catalog, expected).write.mode("overwrite").format(report_format)
+        if report_format == CSV:
+            writer = writer.option("header", True)
+        writer.save(target)
         return target
     finally:
         if own:

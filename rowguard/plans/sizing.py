@@ -3,12 +3,10 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
-from contextlib import contextmanager
-
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 _SHUFFLE_PARTITIONS = "spark.sql.shuffle.partitions"
+_FIRST_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 _MERGED_BYTES = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
 
 # A Parquet byte becomes about this many bytes as shuffled rows.
@@ -35,16 +33,11 @@ def shuffle_partitions(size: int | None, at_least: int) -> int:
     return max(at_least, needed)
 
 
-@contextmanager
-def shuffle_sized_for(df: DataFrame) -> Iterator[None]:
-    """Give the session the shuffle settings ``df`` needs, for the jobs run inside."""
-    conf = df.sparkSession.conf
-    before = {key: conf.get(key) for key in (_SHUFFLE_PARTITIONS, _MERGED_BYTES)}
-    partitions = shuffle_partitions(input_bytes(df), int(before[_SHUFFLE_PARTITIONS]))
-    conf.set(_SHUFFLE_PARTITIONS, str(partitions))
-    conf.set(_MERGED_BYTES, str(TARGET_PARTITION_BYTES))
-    try:
-        yield
-    finally:
-        for key, value in before.items():
-            conf.set(key, value)
+def size_shuffles(session: SparkSession, df: DataFrame) -> None:
+    """Give ``session``, a job's own, the shuffle settings that reading ``df`` in it asks for.
+
+    The number is what adaptive execution starts from; it merges partitions up to the target size.
+    """
+    least = session.conf.get(_FIRST_PARTITIONS, None) or session.conf.get(_SHUFFLE_PARTITIONS)
+    session.conf.set(_FIRST_PARTITIONS, str(shuffle_partitions(input_bytes(df), int(least))))
+    session.conf.set(_MERGED_BYTES, str(TARGET_PARTITION_BYTES))

@@ -41,16 +41,16 @@ def flags_of(spark, row, period=MONTH):
 
 def test_sample_rows(spark):
     by_distance = {row["trip_distance"]: row for row in cleaned_rows(spark, ROWS)}
-    assert by_distance.keys() == {1.5, 250.0, 2.0}
-    assert by_distance[1.5]["dq_flags"] is None
-    assert by_distance[1.5]["passenger_count"] == 1
-    assert by_distance[250.0]["passenger_count"] is None
-    assert by_distance[250.0]["dq_flags"] == (
+    assert by_distance.keys() == {3.25, 120.5, 7.75}
+    assert by_distance[3.25]["dq_flags"] is None
+    assert by_distance[3.25]["passenger_count"] == 2
+    assert by_distance[120.5]["passenger_count"] is None
+    assert by_distance[120.5]["dq_flags"] == (
         "trip_distance:above_max;fare_amount:above_max;total_amount:above_max;"
         "pickup_outside_file_month"
     )
-    assert by_distance[2.0]["fare_amount"] == -10.0
-    assert by_distance[2.0]["dq_flags"] == "fare_amount:below_min;total_amount:below_min"
+    assert by_distance[7.75]["fare_amount"] == -21.5
+    assert by_distance[7.75]["dq_flags"] == "fare_amount:below_min;total_amount:below_min"
 
 
 def test_sample_counts(spark):
@@ -122,8 +122,8 @@ def test_required_columns(spark):
             True,
             "pickup_outside_file_month",
         ),
-        ({"tpep_pickup_datetime": "2025-01-01 10:20:00"}, True, None),
-        ({"tpep_pickup_datetime": "2025-01-01 10:20:01"}, False, None),
+        ({"tpep_pickup_datetime": "2025-01-07 08:42:00"}, True, None),
+        ({"tpep_pickup_datetime": "2025-01-07 08:42:01"}, False, None),
         ({"tpep_pickup_datetime": None}, True, None),
         ({"tpep_pickup_datetime": "no time at all"}, True, None),
         ({"tpep_dropoff_datetime": "31/31/2025"}, True, None),

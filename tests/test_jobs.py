@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import json
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,9 +12,10 @@ from rowguard.plans import clean_job, profile_job
 from rowguard.plans.sizing import (
     input_bytes,
     shuffle_partitions,
-    shuffle_sized_for,
+    size_shuffles,
 )
-from rowguard.sources.tables import read_table, write_table
+from rowguard.session import private_session
+from rowguard.sources.tables import check_file_months, read_table, write_table
 from tests.samples import GOOD, MONTH, ROWS, SCHEMA, good_but, trips_of
 
 RAW_ROWS = [
@@ -161,12 +163,40 @@ def test_shuffle_partitions_grow_with_the_input(spark, raw):
     assert shuffle_partitions(100 << 40, 200) == 1_638_400
     df = read_table(spark, raw)
     assert 0 < input_bytes(df) < 1 << 20
-    keys = ("spark.sql.shuffle.partitions", "spark.sql.adaptive.advisoryPartitionSizeInBytes")
-    before = [spark.conf.get(key) for key in keys]
-    with shuffle_sized_for(df):
-        assert spark.conf.get(keys[0]) == before[0]
-        assert spark.conf.get(keys[1]) == str(256 << 20)
-    assert [spark.conf.get(key) for key in keys] == before
+    own = private_session(spark)
+    size_shuffles(own, df)
+    assert own.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == str(256 << 20)
+    first = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    assert own.conf.get(first) == spark.conf.get("spark.sql.shuffle.partitions")
+    assert spark.conf.get(first, None) is None
+
+
+def test_jobs_in_threads_leave_the_session_alone(spark, raw, tmp_path):
+    before = dict(spark.conf.getAll)
+    seen = []
+
+    def clean_one(number):
+        outcome = clean_job.run(raw, str(tmp_path / f"out{number}"), spark)
+        seen.append(dict(spark.conf.getAll) == before)
+        return {key: outcome.as_dict()[key] for key in EXPECTED}
+
+    with ThreadPoolExecutor(3) as pool:
+        jobs = [pool.submit(clean_one, i) for i in range(2)]
+        report = pool.submit(profile_job.run, raw, str(tmp_path / "report"), spark)
+        assert [job.result() for job in jobs] == [EXPECTED, EXPECTED]
+        assert report.result() == str(tmp_path / "report")
+    assert seen == [True, True] and dict(spark.conf.getAll) == before
+
+
+def test_impossible_months_are_refused_before_the_job(spark, tmp_path):
+    folder, out = tmp_path / "raw", tmp_path / "out"
+    for name in ("yellow_tripdata_2025-01", "yellow_tripdata_2025-13", "trips"):
+        write_table(trips_of(spark), str(folder / f"{name}.parquet"))
+    with pytest.raises(ValueError, match=r"\d of \d+ files name no valid month.*2025-13"):
+        clean_job.run(str(folder) + "/*.parquet", str(out), spark, period="per-file")
+    assert not out.exists()
+    paths = [str(folder / f"{name}.parquet") for name in ("yellow_tripdata_2025-01", "trips")]
+    check_file_months(spark.read.parquet(*paths))
 
 
 def test_conditions_reach_the_scan(spark, raw):

@@ -16,6 +16,7 @@ from rowguard.operators.profile import (
     profile_month,
     profile_time_order,
     with_code_meaning,
+    with_position,
 )
 from rowguard.operators.report import cleaning_policy, quality_report
 from rowguard.rules import Catalog, ColumnRule
@@ -28,7 +29,7 @@ def by_column(df):
 
 def test_sample_columns(spark):
     df = trips_of(spark).withColumn(
-        "Airport_fee", F.when(F.col("trip_distance") != 1.5, F.lit(1.75))
+        "Airport_fee", F.when(F.col("trip_distance") != 3.25, F.lit(1.75))
     )
     found = by_column(profile_columns(df, YELLOW_TAXI))
     assert list(found) == [rule.column for rule in YELLOW_TAXI.columns]
@@ -106,8 +107,8 @@ def test_time_order_counts_missing_rows_as_valid_and_each_missing_time(spark):
 def test_month(spark):
     row = profile_month(trips_of(spark), YELLOW_TAXI, MONTH).first()
     assert (row["invalid"], row["valid"], row["expected_month"]) == (1, 4, "2025-01")
-    assert row["min_pickup"] == dt.datetime(2024, 12, 31, 23)
-    assert row["max_pickup"] == dt.datetime(2025, 1, 1, 13)
+    assert row["min_pickup"] == dt.datetime(2024, 12, 30, 5, 45)
+    assert row["max_pickup"] == dt.datetime(2025, 1, 28, 17, 30)
 
 
 def test_month_does_not_count_undated_rows_as_valid(spark):
@@ -190,7 +191,7 @@ def test_report(spark):
     assert values[("cross_field", "dropoff_before_pickup", "invalid")] == ("1", "remove")
     outside = "pickup_outside_file_month"
     assert values[("cross_field", outside, "expected_month")] == ("2025-01", None)
-    assert values[("cross_field", outside, "min_pickup")] == ("2024-12-31 23:00:00", None)
+    assert values[("cross_field", outside, "min_pickup")] == ("2024-12-30 05:45:00", None)
     assert values[("cross_field", "exact_duplicate_rows", "valid")] == ("5", None)
     assert values[("policy", "dropoff < pickup", "rule")] == ("Remove", None)
     assert values[("negative_money", "4", "dispute")] == ("1", None)
@@ -223,3 +224,67 @@ def test_policy_counts(spark):
     assert rows["Missing congestion_surcharge"] is None
     assert rows["Duplicate rows"] == 1
     assert rows["Pickup outside file month"] == 1
+
+
+def _scans(df):
+    """Of the plan that runs: after it has, the first form follows the final one."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return plan.partition("Initial Plan")[0].count("FileScan")
+
+
+@pytest.fixture(scope="module")
+def filed(spark, tmp_path_factory):
+    path = str(tmp_path_factory.mktemp("filed") / "yellow_tripdata_2025-01.parquet")
+    trips_of(spark, [*ROWS, *ROWS, GOOD]).repartition(3).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def test_report_and_policy_take_one_scan(spark, filed):
+    for made in (quality_report, cleaning_policy):
+        for period in (MONTH, None):
+            df = made(filed, YELLOW_TAXI, period)
+            assert _scans(df) == 1
+            df.collect()
+            assert _scans(df) == 1
+
+
+def test_report_counts_copies(spark, filed):
+    lines = {(r["section"], r["rule"], r["metric"]): r["value"] for r in quality_report(filed, YELLOW_TAXI, MONTH).collect()}
+    assert lines["file", None, "total_records"] == "11"
+    assert lines["column", "trip_distance", "below_min"] == "4"
+    assert lines["column", "passenger_count", "missing"] == "2"
+    assert lines["cross_field", "exact_duplicate_rows", "invalid"] == "6"
+    assert lines["cross_field", "exact_duplicate_rows", "valid"] == "5"
+    assert lines["negative_money", "4", "dispute"] == "2"
+    policy = {r["problem"]: r["rows"] for r in cleaning_policy(filed, YELLOW_TAXI, MONTH).collect()}
+    assert policy["Duplicate rows"] == 6 and policy["trip_distance <= 0"] == 4
+    assert policy["Missing congestion_surcharge"] is None
+
+
+def test_report_by_month_of_each_row(spark, filed):
+    """The helper column guides the month rule and is no part of what makes rows equal."""
+    months = filed.withColumn("m", F.expr("CASE WHEN rand(1) < 0.5 THEN '2025-01' ELSE '2024-12' END"))
+    rows = months.collect()
+    df = spark.createDataFrame(rows, months.schema)
+    lines = {(r["rule"], r["metric"]): r["value"] for r in quality_report(df, YELLOW_TAXI, MonthColumn("m")).collect()}
+    outside = sum(r["tpep_pickup_datetime"][:7] != r["m"] for r in rows)
+    assert lines["pickup_outside_file_month", "invalid"] == str(outside)
+    assert lines["exact_duplicate_rows", "valid"] == "5"
+    assert lines[None, "total_records"] == "11"
+    without = quality_report(df.limit(0), YELLOW_TAXI, MonthColumn("m")).collect()
+    assert {r["value"] for r in without if r["metric"] in ("invalid", "total_records")} == {"0"}
+
+
+def test_positions_say_the_order(spark):
+    rows = [good_but(fare_amount=-1.0, payment_type=code) for code in (6, 3, 3, None, 9, 9)]
+    found = negative_money(trips_of(spark, rows), YELLOW_TAXI)
+    ranked = with_position(found, F.desc("rows"), F.asc_nulls_first("payment_type")).repartition(3)
+    assert sorted((r["position"], r["payment_type"], r["rows"]) for r in ranked.collect()) == [
+        (1, 3, 2), (2, 9, 2), (3, None, 1), (4, 6, 1)
+    ]
+
+
+def test_code_column_keeps_its_type_without_money_columns(spark):
+    bare = trips_of(spark).drop("fare_amount", "total_amount")
+    assert negative_money(bare, YELLOW_TAXI).dtypes == negative_money(trips_of(spark), YELLOW_TAXI).dtypes
+    assert negative_money(bare.drop("payment_type"), YELLOW_TAXI).dtypes[0] == ("payment_type", "string")

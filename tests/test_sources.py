@@ -4,12 +4,20 @@ import pytest
 from pyspark.sql import functions as F
 
 from rowguard.catalogs import YELLOW_TAXI
-from rowguard.functions.months import Month, MonthColumn, month_in_file_path, month_of_path
+from rowguard.functions.months import (
+    Month,
+    MonthColumn,
+    month_in_file_path,
+    month_of_file,
+    month_of_path,
+)
 from rowguard.operators.cleaning import clean
-from rowguard.session import DEFAULTS, get_session
+from rowguard.session import DEFAULTS, get_session, private_session
 from rowguard.sources.scratch import reliable_checkpoint, scratch_folder, scratch_path
 from rowguard.sources.tables import (
+    check_file_months,
     file_month,
+    file_month_counts,
     format_of,
     read_table,
     with_file_month,
@@ -140,10 +148,75 @@ def test_file_month_of_a_folder_of_files(spark, tmp_path):
     assert outside.count() == 3
 
 
-def test_session_is_reused(spark):
-    assert get_session("another name") is spark or get_session("another name")._jsc is spark._jsc
+def test_file_months_named(spark, tmp_path):
+    rows = trips_of(spark).coalesce(1)
+    for name in ("t_2025-01", "t_2025-13", "t"):
+        write_table(rows, str(tmp_path / f"{name}.parquet"))
+    df = spark.read.parquet(*[str(p) for p in sorted(tmp_path.glob("*.parquet"))])
+    found = {(r["named"], r["month"]): r["rows"] for r in file_month_counts(df).collect()}
+    assert found == {("2025-01", "2025-01"): 5, ("2025-13", None): 5, (None, None): 5}
+    assert month_of_file("/d/t_2025-02.parquet/part-0-2031-11.parquet").text == "2025-02"
+    with pytest.raises(ValueError, match="2025-13"):
+        check_file_months(df)
+
+
+AWKWARD = [
+    None, "", " ", "a,b", '"quoted"', 'say "it", he said', "  leading and trailing  ", "line\nfeed",
+    "carriage\rreturn", "both\r\n", "\n", "\\n", "\\", "\\\\n\\", "\\N", "\\\\N", "tab\t", "#comment", "é漢😀",
+    "\x85 \u2028", "'", ",", '"', '""', '\\"', "NULL", "null", "1", "true", "\ufeffmark",
+]
+
+
+def test_any_text_survives_the_lines_dialect(spark, tmp_path):
+    rows = [(i, text, f"{i}") for i, text in enumerate(AWKWARD)]
+    df = spark.createDataFrame(rows, "id int, `te xt` string, other string")
+    path = str(tmp_path / "texts.csv")
+    write_table(df, path, dialect="lines")
+    back = read_table(spark, path, schema=df.schema, dialect="lines")
+    assert sorted(map(tuple, back.collect())) == sorted(rows)
+    lines = [line for f in tmp_path.glob("texts.csv/part-*") for line in f.read_bytes().splitlines()]
+    heads = sum(line.startswith(b"id,") for line in lines)
+    assert len([x for f in tmp_path.glob("texts.csv/part-*") for x in f.read_bytes().split(b"\n") if x]) == (
+        len(rows) + heads
+    )
+
+
+def test_standard_csv_keeps_line_ends_but_not_empty_text(spark, tmp_path):
+    rows = [(i, text) for i, text in enumerate(AWKWARD)]
+    df = spark.createDataFrame(rows, "id int, text string")
+    path = str(tmp_path / "texts.csv")
+    write_table(df, path)
+    back = read_table(spark, path, schema=df.schema, multi_line=True)
+    assert sorted(map(tuple, back.collect())) == [(i, text or None) for i, text in rows]
+
+
+def test_unknown_dialects_are_refused(spark, tmp_path):
+    with pytest.raises(ValueError, match="dialect"):
+        write_table(spark.range(1), str(tmp_path / "x.csv"), dialect="excel")
+    with pytest.raises(ValueError, match="dialect"):
+        read_table(spark, str(tmp_path / "x.csv"), dialect="excel")
+
+
+def test_a_running_session_is_left_alone(spark):
+    before = dict(spark.conf.getAll)
+    other = get_session("another name", extra_config={"spark.sql.shuffle.partitions": "17"})
+    assert other is not spark and other._jsc is spark._jsc
+    assert other.conf.get("spark.sql.shuffle.partitions") == "17"
     for key, value in DEFAULTS.items():
-        assert spark.conf.get(key) == value
+        assert other.conf.get(key) == value
+    assert dict(spark.conf.getAll) == before
+
+
+def test_private_sessions_copy_settings(spark):
+    spark.conf.set("spark.sql.session.timeZone", "Europe/Oslo")
+    try:
+        own = private_session(spark, {"spark.sql.shuffle.partitions": "9"})
+        assert own.conf.get("spark.sql.session.timeZone") == "Europe/Oslo"
+        assert own.conf.get("spark.sql.shuffle.partitions") == "9"
+        own.conf.set("spark.sql.ansi.enabled", "false")
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "4"
 
 
 def test_scratch_folder_is_stable_and_paths_are_new(spark):

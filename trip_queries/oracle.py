@@ -206,7 +206,7 @@ _MONEY = """
   FROM trips WHERE fare_amount < 0 OR total_amount < 0 GROUP BY payment_type
 """
 
-# Problem, rule, rows concerned.
+# Problem, rule, rows concerned. The first two are fixed values: texts that results must show.
 _POLICY_LINES = (
     ("trip_distance <= 0", "Remove", "count(*) FILTER (WHERE trip_distance <= 0)"),
     (
@@ -324,7 +324,118 @@ _STATS = """
          (SELECT count(*) FROM survivors) - (SELECT count(*) FROM cleaned) AS removed
 """
 
+_TEXT_TIMES = """
+text_trips AS (
+  SELECT * REPLACE (
+    coalesce(CASE WHEN (7 * l_orderkey + l_linenumber) % 13 = 0 THEN 'not a time' WHEN (7 * l_orderkey + l_linenumber) % 17 = 0 THEN ''
+                  WHEN (7 * l_orderkey + l_linenumber) % 19 = 0 THEN '2025-02-30 10:00:00' END,
+             strftime(tpep_pickup_datetime, '%Y-%m-%d %H:%M:%S')) AS tpep_pickup_datetime,
+    CASE WHEN (l_orderkey + 3 * l_linenumber) % 7 = 0 THEN 'n/a'
+         ELSE strftime(tpep_dropoff_datetime, '%Y-%m-%d %H:%M:%S') END AS tpep_dropoff_datetime)
+  FROM trips)
+"""
+_NAN = """
+nan_trips AS (
+  SELECT * REPLACE (
+    CASE WHEN (7 * l_orderkey + l_linenumber) % 31 = 0 OR (7 * l_orderkey + l_linenumber) % 37 = 0 THEN NULL ELSE trip_distance END AS trip_distance,
+    CASE WHEN (7 * l_orderkey + l_linenumber) % 31 = 0 OR (7 * l_orderkey + l_linenumber) % 37 = 0 THEN NULL ELSE fare_amount END AS fare_amount,
+    CASE WHEN (7 * l_orderkey + l_linenumber) % 31 = 0 OR (7 * l_orderkey + l_linenumber) % 37 = 0 THEN NULL ELSE Airport_fee END AS Airport_fee)
+  FROM trips)
+"""
+_PICKED = "try_cast(tpep_pickup_datetime AS TIMESTAMP)"
+_DROPPED = "try_cast(tpep_dropoff_datetime AS TIMESTAMP)"
+
+
+def _on_changed(changed: str, select: str) -> str:
+    return f"WITH {_BASE},\n{changed}\n{select}"
+
+
+_SURCHARGED = _PROFILE.replace(
+    """
+  SELECT 'congestion_surcharge', FALSE, count(*), NULL, NULL, NULL, NULL, NULL, NULL,
+         NULL, NULL, NULL, NULL, NULL FROM trips""",
+    _profile_row(
+        "congestion_surcharge", "FALSE", "FALSE", "FALSE", (None, None, None),
+        "NYS congestion surcharge. Missing is allowed.",
+    ),
+)
+_SURCHARGE = """
+charged AS (
+  SELECT *, CASE WHEN (7 * l_orderkey + l_linenumber) % 11 <> 0 THEN 2.5::DOUBLE END AS congestion_surcharge
+  FROM trips)
+"""
+
 ORACLE: dict[str, str] = {
+    "scan_csv_text": "SELECT * REPLACE (nullif(text, '') AS text) FROM documents",
+    "roundtrip_csv_text": "SELECT * FROM documents",
+    "negative_money_ranked": _on_trips(
+        f"""SELECT *, CAST(row_number() OVER (ORDER BY rows DESC, payment_type NULLS FIRST) AS INTEGER)
+             AS position FROM ({_MONEY})"""
+    ),
+    "flag_distribution_ranked": _on_cleaned(
+        """SELECT *, CAST(row_number() OVER (ORDER BY flags) AS INTEGER) AS position FROM (
+             SELECT coalesce(dq_flags, '__none__') AS flags, count(*) AS rows FROM cleaned GROUP BY 1)"""
+    ),
+    "pred_time_order_text": _on_changed(
+        _TEXT_TIMES,
+        f"""SELECT l_orderkey, l_linenumber, tpep_pickup_datetime, tpep_dropoff_datetime,
+              coalesce({_DROPPED} < {_PICKED}, FALSE) AS violates FROM text_trips""",
+    ),
+    "profile_time_order_text": _on_changed(
+        _TEXT_TIMES,
+        f"""SELECT 'dropoff_before_pickup' AS rule,
+              count(*) FILTER (WHERE {_DROPPED} < {_PICKED}) AS invalid,
+              count(*) - count(*) FILTER (WHERE {_DROPPED} < {_PICKED}) AS valid,
+              2 * count(*) - count({_PICKED}) - count({_DROPPED}) AS missing,
+              'remove' AS on_violation,
+              'Dropoff timestamp is earlier than pickup.' AS description
+            FROM text_trips""",
+    ),
+    "clean_text_times": _on_changed(
+        _TEXT_TIMES,
+        f"""SELECT DISTINCT * REPLACE ({_NULLED}),
+              {_flags(f"strftime({_PICKED}, '%Y-%m') <> '2025-01'")}
+            FROM text_trips WHERE (trip_distance IS NULL OR trip_distance > 0)
+              AND coalesce({_DROPPED} >= {_PICKED}, TRUE)""",
+    ),
+    "profile_nan": _on_changed(_NAN, _PROFILE.replace("FROM trips", "FROM nan_trips")),
+    "rule_stats_nan": _on_changed(_NAN, _RULE_COUNTS.replace("FROM trips", "FROM nan_trips")),
+    "profile_surcharge": _on_changed(_SURCHARGE, _SURCHARGED.replace("FROM trips", "FROM charged")),
+    "policy_surcharge": _on_changed(
+        _SURCHARGE,
+        _POLICY.replace(
+            "max(CAST(NULL AS BIGINT))", "count(*) - count(congestion_surcharge)"
+        ).replace("FROM trips", "FROM charged"),
+    ),
+    "action_fallback": """
+      SELECT DISTINCT * REPLACE (CASE WHEN c_acctbal < 0 THEN NULL ELSE c_acctbal END AS c_acctbal),
+        nullif(concat_ws(';', CASE WHEN c_acctbal > 5000 THEN 'c_acctbal:above_max' END,
+          CASE WHEN c_mktsegment NOT IN ('BUILDING', 'MACHINERY') THEN 'c_mktsegment:domain' END), '')
+          AS dq_flags
+      FROM customer""",
+    "limit_absent": """
+      SELECT 'removed' AS kind, 'p_size:below_min' AS rule,
+             count(*) FILTER (WHERE p_size < 10) AS rows FROM part
+      UNION ALL SELECT 'flagged', 'p_retailprice:above_max',
+             count(*) FILTER (WHERE p_retailprice > 1500) FROM part
+      UNION ALL SELECT 'total', 'output_rows', count(*) FROM part WHERE p_size >= 10 OR p_size IS NULL""",
+    "column_absent": """
+      SELECT 's_acctbal' AS "column", TRUE AS present, count(*) AS total,
+        count(*) - count(s_acctbal) AS missing, count(*) FILTER (WHERE s_acctbal < 0) AS invalid,
+        count(*) FILTER (WHERE s_acctbal >= 0) AS valid,
+        count(*) FILTER (WHERE s_acctbal < 0) AS below_min, 0::BIGINT AS above_max,
+        0::BIGINT AS domain_invalid, 'flag' AS on_below_min, NULL::VARCHAR AS on_above_max,
+        NULL::VARCHAR AS on_violation, NULL::VARCHAR AS on_null, '' AS description
+      FROM supplier
+      UNION ALL SELECT 's_rating', FALSE, count(*), NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL,
+        NULL, NULL, NULL FROM supplier""",
+    "column_absent_clean": """
+      SELECT *, CASE WHEN s_acctbal < 0 THEN 's_acctbal:below_min' END AS dq_flags FROM supplier""",
+    "file_months_named": _on_trips(
+        """SELECT CASE l_orderkey % 3 WHEN 0 THEN '2025-01' WHEN 1 THEN '2025-13' END AS named,
+             CASE WHEN l_orderkey % 3 = 0 THEN '2025-01' END AS month, count(*) AS rows
+           FROM trips GROUP BY ALL"""
+    ),
     "scan_parquet": "SELECT * FROM lineitem",
     "scan_csv": _on_trips(
         "SELECT * REPLACE (CAST(l_orderkey AS INTEGER) AS l_orderkey) FROM trips"

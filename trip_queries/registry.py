@@ -12,21 +12,37 @@ from rowguard.functions.months import MonthColumn
 from rowguard.operators import cleaning, counts, duplicates, profile, report
 from rowguard.operators.binding import bind
 from rowguard.plans.clean_job import read_for_cleaning, write_cleaned
-from rowguard.rules import FLAG, REMOVE, Catalog, ColumnRule, MonthRule
+from rowguard.rules import FLAG, REMOVE, SET_NULL, Catalog, ColumnRule, MonthRule
 from rowguard.sources.scratch import scratch_path
-from rowguard.sources.tables import file_month, read_table, with_file_month, write_table
-from trip_queries.trips import PERIOD, table, trips
+from rowguard.sources.tables import (
+    LINES,
+    file_month,
+    file_month_counts,
+    read_table,
+    with_file_month,
+    write_table,
+)
+from trip_queries.trips import (
+    PERIOD,
+    table,
+    trips,
+    trips_with_nan,
+    trips_with_surcharge,
+    trips_with_text_times,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 KEYS = ("l_orderkey", "l_linenumber")
 
 
-def _marked(label: str, *shown: str, catalog: Catalog = YELLOW_TAXI) -> Query:
+def _marked(
+    label: str, *shown: str, catalog: Catalog = YELLOW_TAXI, source: Query = trips
+) -> Query:
     """All trips with the verdict of one check on each."""
 
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        df = trips(spark, sf_dir)
+        df = source(spark, sf_dir)
         marked = cleaning.mark_breaches(df, bind(df, catalog, PERIOD), label, "violates")
         return marked.select(*KEYS, *shown, "violates")
 
@@ -45,6 +61,28 @@ _EVENTS = Catalog(
 _ORDERS = Catalog(month=MonthRule("ordered_outside_month", column="o_orderdate"))
 
 
+# A breach without an action of its own takes the general one.
+_FALLBACK = Catalog(
+    columns=(
+        ColumnRule("c_acctbal", min=0, max=5000, on_below_min=SET_NULL, on_violation=FLAG),
+        ColumnRule("c_mktsegment", allowed=("BUILDING", "MACHINERY"), on_violation=FLAG),
+    )
+)
+_ONE_LIMIT = Catalog(
+    columns=(
+        ColumnRule("p_size", min=10, on_below_min=REMOVE, on_violation=FLAG),
+        ColumnRule("p_retailprice", max=1500, on_violation=FLAG),
+    )
+)
+_ABSENT = Catalog(
+    columns=(
+        ColumnRule("s_acctbal", min=0, on_below_min=FLAG),
+        ColumnRule("s_rating", min=1, max=5, on_violation=REMOVE, on_null="keep_null"),
+    ),
+    month=MonthRule("outside_month", column="s_since"),
+)
+
+
 def scan_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, f"{sf_dir}/lineitem.parquet")
 
@@ -74,6 +112,23 @@ def roundtrip_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, path, schema=cleaned.schema)
 
 
+def scan_csv_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as CSV with quotes, commas and line ends in the texts, as other programs write
+    it. Such files are read one per task."""
+    documents = table(spark, sf_dir, "documents")
+    path = scratch_path(spark, "scan") + ".csv"
+    write_table(documents, path)
+    return read_table(spark, path, schema=documents.schema, multi_line=True)
+
+
+def roundtrip_csv_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as CSV of one line a record; files can be read in parts."""
+    documents = table(spark, sf_dir, "documents")
+    path = scratch_path(spark, "roundtrip") + ".csv"
+    write_table(documents, path, dialect=LINES)
+    return read_table(spark, path, schema=documents.schema, dialect=LINES)
+
+
 def clean_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The batch job over a raw file named by its month; the written table is read back."""
     raw = scratch_path(spark, "raw") + f"/yellow_tripdata_{PERIOD}.parquet"
@@ -166,6 +221,70 @@ def negative_money_by_payment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profile.negative_money(trips(spark, sf_dir), YELLOW_TAXI)
 
 
+def negative_money_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The order of the breakdown as data: most rows first, then by code, null first."""
+    found = profile.negative_money(trips(spark, sf_dir), YELLOW_TAXI)
+    return profile.with_position(found, F.desc("rows"), F.asc_nulls_first("payment_type"))
+
+
+def flag_distribution_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The order of the flag texts as data."""
+    found = counts.flag_distribution(clean_trips(spark, sf_dir))
+    return profile.with_position(found, F.col("flags"))
+
+
+def profile_time_order_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Times as text, some of them unreadable, which counts as no time."""
+    return profile.profile_time_order(trips_with_text_times(spark, sf_dir), YELLOW_TAXI)
+
+
+def clean_text_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unreadable times break no rule and stay as they are."""
+    return cleaning.clean(trips_with_text_times(spark, sf_dir), YELLOW_TAXI, PERIOD)
+
+
+def profile_nan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """NaN is missing: neither above a limit nor valid."""
+    return profile.profile_columns(trips_with_nan(spark, sf_dir), YELLOW_TAXI)
+
+
+def rule_stats_nan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return counts.rule_counts(trips_with_nan(spark, sf_dir), YELLOW_TAXI, PERIOD)
+
+
+def profile_surcharge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """With the column that the other trips lack."""
+    return profile.profile_columns(trips_with_surcharge(spark, sf_dir), YELLOW_TAXI)
+
+
+def policy_surcharge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return report.cleaning_policy(trips_with_surcharge(spark, sf_dir), YELLOW_TAXI, PERIOD)
+
+
+def action_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cleaning.clean(table(spark, sf_dir, "customer"), _FALLBACK)
+
+
+def limit_absent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rules with one limit only: the other counts nothing, and its action is never taken."""
+    df = table(spark, sf_dir, "part")
+    counted = counts.rule_counts(df, _ONE_LIMIT)
+    return counted.unionByName(
+        cleaning.clean(df, _ONE_LIMIT).select(
+            F.lit("total").alias("kind"), F.lit("output_rows").alias("rule"), F.lit(1).alias("rows")
+        ).groupBy("kind", "rule").agg(F.count("rows").alias("rows"))
+    )
+
+
+def column_absent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A rule on a column that the table lacks is listed, counts nothing and removes nothing."""
+    return profile.profile_columns(table(spark, sf_dir, "supplier"), _ABSENT)
+
+
+def column_absent_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cleaning.clean(table(spark, sf_dir, "supplier"), _ABSENT, "1996-01")
+
+
 def decode_payment_type(spark: SparkSession, sf_dir: str) -> DataFrame:
     decoded = profile.with_code_meaning(trips(spark, sf_dir), YELLOW_TAXI)
     return decoded.select(*KEYS, "payment_type", "meaning")
@@ -189,6 +308,17 @@ def _monthly_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(*paths)
 
 
+def file_months_named(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the names of files say: a month, an impossible one, or nothing. All trips, filed in three
+    parts."""
+    folder = scratch_path(spark, "named")
+    paths = []
+    for name, rest in (("yellow_tripdata_2025-01", 0), ("yellow_tripdata_2025-13", 1), ("trips", 2)):
+        paths.append(f"{folder}/{name}.parquet")
+        write_table(trips(spark, sf_dir).filter(F.col("l_orderkey") % 3 == rest), paths[-1])
+    return file_month_counts(spark.read.parquet(*paths))
+
+
 def file_months(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows per file month."""
     filed = _monthly_files(spark, sf_dir).select(file_month().alias("file_month"))
@@ -221,6 +351,8 @@ REGISTRY: dict[str, Query] = {
     "scan_csv": scan_csv,
     "roundtrip_parquet": roundtrip_parquet,
     "roundtrip_csv": roundtrip_csv,
+    "scan_csv_text": scan_csv_text,
+    "roundtrip_csv_text": roundtrip_csv_text,
     "clean_job": clean_job,
     "trips": trips_in,
     "pred_below_min": _marked("passenger_count:below_min", "passenger_count"),
@@ -253,10 +385,29 @@ REGISTRY: dict[str, Query] = {
     "profile_month": profile_month,
     "profile_duplicates": profile_duplicates,
     "negative_money_by_payment": negative_money_by_payment,
+    "negative_money_ranked": negative_money_ranked,
+    "flag_distribution_ranked": flag_distribution_ranked,
+    "pred_time_order_text": _marked(
+        "dropoff_before_pickup",
+        "tpep_pickup_datetime",
+        "tpep_dropoff_datetime",
+        source=trips_with_text_times,
+    ),
+    "profile_time_order_text": profile_time_order_text,
+    "clean_text_times": clean_text_times,
+    "profile_nan": profile_nan,
+    "rule_stats_nan": rule_stats_nan,
+    "profile_surcharge": profile_surcharge,
+    "policy_surcharge": policy_surcharge,
+    "action_fallback": action_fallback,
+    "limit_absent": limit_absent,
+    "column_absent": column_absent,
+    "column_absent_clean": column_absent_clean,
     "decode_payment_type": decode_payment_type,
     "cleaning_policy": cleaning_policy,
     "dq_report": dq_report,
     "file_month": file_months,
+    "file_months_named": file_months_named,
     "clean_per_file_month": clean_per_file_month,
     "customers_not_negative": customers_not_negative,
     "events_in_domain": events_in_domain,

@@ -8,6 +8,7 @@ plants exact duplicates. ``congestion_surcharge`` is left out on purpose.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 PERIOD = "2025-01"
 
@@ -55,3 +56,33 @@ def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The trips of all line items; one scan of ``lineitem``, no shuffle."""
     once = table(spark, sf_dir, "lineitem").selectExpr(*_COLUMNS)
     return once.selectExpr("*", _COPIES).drop("copy")
+
+
+#: Says which values the tables below change.
+_KEY = "(7 * l_orderkey + l_linenumber)"
+
+
+def trips_with_text_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Times as text; some are words, empty, or days that do not exist."""
+    unreadable = f"""CASE WHEN {_KEY} % 13 = 0 THEN 'not a time' WHEN {_KEY} % 17 = 0 THEN ''
+                          WHEN {_KEY} % 19 = 0 THEN '2025-02-30 10:00:00' END"""
+    written = "date_format({}, 'yyyy-MM-dd HH:mm:ss')"
+    pickup, dropoff = "tpep_pickup_datetime", "tpep_dropoff_datetime"
+    return trips(spark, sf_dir).withColumns(
+        {
+            pickup: F.expr(f"coalesce({unreadable}, {written.format(pickup)})"),
+            dropoff: F.expr(f"CASE WHEN (l_orderkey + 3 * l_linenumber) % 7 = 0 THEN 'n/a' ELSE {written.format(dropoff)} END"),
+        }
+    )
+
+
+def trips_with_nan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Some amounts and distances are NaN, some null."""
+    nan = f"CASE WHEN {_KEY} % 31 = 0 THEN double('NaN') WHEN {_KEY} % 37 <> 0 THEN {{0}} END"
+    columns = ("trip_distance", "fare_amount", "Airport_fee")
+    return trips(spark, sf_dir).withColumns({c: F.expr(nan.format(c)) for c in columns})
+
+
+def trips_with_surcharge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    surcharge = f"CASE WHEN {_KEY} % 11 <> 0 THEN 2.5D END"
+    return trips(spark, sf_dir).withColumn("congestion_surcharge", F.expr(surcharge))
