@@ -54,6 +54,11 @@ class Measures:
     def columns(self) -> list[Column]:
         return [measure.alias(name) for name, measure in self._taken.items()]
 
+    def combined(self) -> list[Column]:
+        """The same measures over all parts of a table of which each row holds one part's."""
+        ends = {"earliest": F.min, "latest": F.max}
+        return [ends.get(name, F.sum)(named(name)).alias(name) for name in self._taken]
+
     def take(self, df: DataFrame) -> DataFrame:
         return df.agg(*self.columns())
 

@@ -88,17 +88,18 @@ def quality_report(df: DataFrame, catalog: Catalog, period: Period = None) -> Da
     """The whole report in long form: ``(section, rule, metric, value, action)``.
 
     Sections, in order: ``file``, ``column``, ``cross_field``, ``policy``, ``negative_money``. One
-    scan and one wide shuffle: the table is reduced to its distinct rows with their copies, and one
-    aggregation over these, by code and over all, gives every figure, duplicates included. Without a
-    duplicate rule there is no shuffle of rows at all.
+    scan and one wide shuffle: the table is reduced to its distinct rows with their copies, and an
+    aggregation over these by code gives every figure, duplicates included. Without a duplicate rule
+    there is no shuffle of rows at all.
     """
     binding = bind(df, catalog, period)
     rows, weight = _weighted(df, binding, catalog.duplicates is not None), weights()
     measures = Measures(df, binding, weight)
     lines = _measured_lines(measures)
-    taken = measures.columns()
+    taken, extra = measures.columns(), []
     if catalog.duplicates is not None:
         taken.append(weight.distinct().alias("distinct_rows"))
+        extra.append("distinct_rows")
         section = ("cross_field", catalog.duplicates.label)
         action = catalog.duplicates.on_violation
         surplus = f"{TOTAL} - distinct_rows"
@@ -115,13 +116,16 @@ def quality_report(df: DataFrame, catalog: Catalog, period: Period = None) -> Da
     else:
         code = next(f for f in df.schema.fields if f.name == catalog.code_column)
         meaning = meaning_of(code, catalog.code_meanings)
-        # Every figure over all rows, and the negative amounts of each code, in one aggregation.
+        # Every figure by code, and then over these few rows once more and over all of them.
         coded = F.struct(named(code.name).alias("code"), meaning.alias("meaning"))
-        found = (
+        by_code = (
             with_zero_row(rows)
-            .withColumn(_CODE, coded)
-            .groupingSets([[], [named(_CODE)]], named(_CODE))
-            .agg(F.grouping_id().alias("of_all"), weight.rows(negative).alias("negative"), *taken)
+            .groupBy(coded.alias(_CODE))
+            .agg(weight.rows(negative).alias("negative"), *taken)
+        )
+        again = [F.sum(name).alias(name) for name in ("negative", *extra)]
+        found = by_code.groupingSets([[], [named(_CODE)]], named(_CODE)).agg(
+            F.grouping_id().alias("of_all"), *again, *measures.combined()
         )
         money = {
             "part": str(_MONEY),
