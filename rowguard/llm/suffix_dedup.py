@@ -443,7 +443,11 @@ def _report(docs: DataFrame, size: int, with_text: bool) -> DataFrame:
     windows = _by_key(open_runs.unionByName(texts), groups).applyInArrow(
         _deal_windows(size, window_buckets, groups), _BLOCKS_DDL
     )
-    by_window = _by_key(windows, window_buckets + groups).applyInArrow(_order_windows(groups), _BLOCKS_DDL)
+    # Written, so that digit 3's shuffles are gone before texts are dealt once more for the result.
+    by_window = written(
+        _by_key(windows, window_buckets + groups).applyInArrow(_order_windows(groups), _BLOCKS_DDL),
+        "suffix-windows",
+    )
     covered = by_run.mapInArrow(_only(is_open=False), _BLOCKS_DDL).unionByName(by_window)
     result = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string"
     if with_text:
