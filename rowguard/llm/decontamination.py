@@ -180,21 +180,41 @@ def contaminated(
     texts = docs.select("doc_id", text_or_empty().alias("_text"))
     texts = texts.withColumn("_kinds", F.transform(template_tokens(F.col("_text")), lambda t: F.xxhash64(t)))
     texts = texts.withColumn("_words", F.transform(literal_tokens(F.col("_text")), lambda t: F.xxhash64(t)))
-    hits = _exploded(texts, template, literal).join(side, "hash")
-    text = F.col("_text")
-    slots = F.when(F.size("item_slots") == 0, F.array().cast("array<string>")).otherwise(
-        _slots(template_tokens(text), raw_tokens(text), F.col("place"), F.col("length"))
-    )
-    hits = hits.select(
-        "doc_id",
-        "item_id",
-        "place",
-        (F.col("place") - F.col("item_place")).alias("distance"),
-        "length",
-        "item_tokens",
-        "literal",
-        F.arrays_zip(F.col("item_slots").alias("item"), slots.alias("doc")).alias("slots"),
+    found = _exploded(texts, template, literal).join(side, "hash")
+    # A text is tokenised once more for its placeholders, however many windows of it match. Texts
+    # with one id that are equal are one; other texts differ in 128 bits of hashes.
+    hit = F.struct("item_id", "place", "item_place", "length", "item_tokens", "literal", "item_slots")
+    by_text = found.groupBy(
+        F.xxhash64("doc_id", "_text").alias("_one"), F.xxhash64(F.lit(1), "_text", "doc_id").alias("_two")
+    ).agg(
+        F.first("doc_id").alias("doc_id"),
+        F.first("_text").alias("_text"),
+        F.collect_set(hit).alias("_hits"),
+        F.max(F.size("item_slots")).alias("_slots"),
     )
+    none = F.array().cast("array<string>")
+    tokens = {
+        "_kinds": F.when(F.col("_slots") > 0, template_tokens(F.col("_text"))).otherwise(none),
+        "_raw": F.when(F.col("_slots") > 0, raw_tokens(F.col("_text"))).otherwise(none),
+    }
+    # Dealt anew, so that tokens are made once and not for each hit, into which they would be inlined.
+    tokenised = by_text.withColumns(tokens).repartition("_one", "_two")
+
+    def with_slots(h: Column) -> Column:
+        own = _slots(F.col("_kinds"), F.col("_raw"), h["place"], h["length"])
+        slots = F.when(F.size(h["item_slots"]) == 0, none).otherwise(own)
+        return F.struct(
+            h["item_id"].alias("item_id"),
+            h["place"].alias("place"),
+            (h["place"] - h["item_place"]).alias("distance"),
+            h["length"].alias("length"),
+            h["item_tokens"].alias("item_tokens"),
+            h["literal"].alias("literal"),
+            F.arrays_zip(h["item_slots"].alias("item"), slots.alias("doc")).alias("slots"),
+        )
+
+    hits = tokenised.select("doc_id", F.explode(F.transform("_hits", with_slots)).alias("_hit"))
+    hits = hits.select("doc_id", "_hit.*")
 
     def matched(which: Column) -> Column:
         """Windows and the tokens they span; an item's windows bound the set."""

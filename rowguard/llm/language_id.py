@@ -13,7 +13,7 @@ counted, and the filter has as many slots as the language with the most n-grams
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from functools import lru_cache
 
 import numpy as np
@@ -249,11 +249,22 @@ def identify_documents(docs: DataFrame, **options) -> DataFrame:
     return identified(rows, filters).select("doc_id", "held_out", "lang_pred", "score")
 
 
-def with_language(docs: DataFrame, **options) -> DataFrame:
-    """``docs`` without those whose language cannot be told (``und``): null texts and texts without
-    letters. The columns stay as they are."""
+def with_language(
+    docs: DataFrame, languages: Sequence[str] | None = None, least_score: float = 0.2, **options
+) -> DataFrame:
+    """``docs`` that are in a language, as predicted: one of ``languages`` (null: any learned one),
+    with at least the share ``least_score`` of their n-grams belonging to it.
+
+    So null texts, texts without letters and texts of mostly foreign n-grams go. If nothing teaches a
+    language, nothing can be told and all rows stay. The columns stay as they are.
+    """
     filters = learn(docs.filter(~held_out()), **options)
+    if not filters.languages:
+        return docs
     names = [c for c in docs.columns if c not in ("lang_pred", "score")]
     rows = docs.select(F.struct("*").alias("row"), "text") if len(names) < len(docs.columns) else docs
-    found = identified(rows, filters).filter("lang_pred <> 'und'")
+    told = (F.col("lang_pred") != "und") & (F.col("score") >= least_score)
+    if languages is not None:
+        told &= F.col("lang_pred").isin(list(languages))
+    found = identified(rows, filters).filter(told)
     return found.select("row.*") if len(names) < len(docs.columns) else found.select(*[f"`{c}`" for c in names])

@@ -6,10 +6,13 @@ windows. A byte goes if it lies in a window that also starts in a document with
 * **Digit 1, the anchor.** Each window is dealt to a bucket by the anchor inside it (see
   ``bytewindows``): equal windows have equal anchors, and neighbours that share one travel as one
   record. Groups found in one document only end here, which are most.
-* **Digit 2, the run.** Within an anchor's group, records are ordered by the bytes of the whole run
-  of windows. A run that a smaller document has too is covered. If a group has a single run
+* **Digit 2, the run.** Within an anchor's group, records are ordered by 48 bits of a hash of the
+  whole run of windows. A run that a smaller document has too is covered. If a group has a single run
   nothing else can match; the other groups' first runs go on.
-* **Digit 3, the window.** Their windows are ordered by their bytes, each window for itself.
+* **Digit 3, the window.** Their windows are ordered by 64 bits of a hash, each window for itself.
+
+So digits are bits of hashes, not the bytes themselves; two different windows count as equal only if
+they collide in all of them.
 
 Each digit deals records of a fixed size into buckets of bounded size. What is frequent is merged in
 each task before it is dealt: of equal runs or windows in a batch only the one with the least id is

@@ -5,10 +5,12 @@ from __future__ import annotations
 import hashlib
 import itertools
 import random
+import time
 
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from rowguard.llm import (
     decontamination,
@@ -165,6 +167,31 @@ def test_decontamination_finds_exact_copies_of_every_item(spark):
     assert all(found[i, i]["coverage"] == 1 for i in items if i != 7)
 
 
+def test_decontamination_of_many_copies_in_one_document(spark):
+    """1000 re-numbered copies of one item in a document, and as many exact ones."""
+    item = "A train of 12 km length leaves the yard at noon when the guard counts 15 cars in a row"
+    many = " . ".join(item.replace("12", str(100 + i)).replace("15", str(3000 + i)) for i in range(1000))
+    docs = spark.createDataFrame([(1, many), (2, f"{item} . " * 1000), (3, "no")], "doc_id int, text string")
+    bench = spark.createDataFrame([(9, item)], "item_id int, text string")
+    started = time.perf_counter()
+    found = by_id(decontamination.contaminated(docs, bench))
+    assert time.perf_counter() - started < 60
+    assert not found[1]["exact"] and found[2]["exact"] and set(found) == {1, 2}
+    assert found[1]["coverage"] == found[2]["coverage"] == 1
+
+
+def test_language_filter_decides_by_the_prediction(spark):
+    rows = [(i, ("the cat and the dog " if i % 2 else "der hund und die katze ") * 3, "en" if i % 2 else "de") for i in range(60)]
+    odd = [(60, None, "en"), (61, "12 !", None), (62, "xqzj wvkk ypff xqqz jjkw", "en"), (63, "die katze und der hund", "en")]
+    docs = spark.createDataFrame(rows + odd, "doc_id bigint, text string, lang string")
+    kept = {r["doc_id"] for r in language_id.with_language(docs).collect()}
+    assert kept == {*range(60), 63}
+    english = {r["doc_id"] for r in language_id.with_language(docs, ["en"]).collect()}
+    assert english == set(range(1, 60, 2))
+    untaught = docs.withColumn("lang", F.lit(None).cast("string"))
+    assert language_id.with_language(untaught).count() == docs.count()
+
+
 def test_language_and_toxicity(spark):
     rows = [(i, ("the cat and the dog " if i % 2 else "der hund und die katze ") * 3, "en" if i % 2 else "de") for i in range(60)]
     docs = spark.createDataFrame([*rows, (60, None, "en"), (61, "12 !", None)], "doc_id bigint, text string, lang string")
