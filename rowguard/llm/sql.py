@@ -2,6 +2,73 @@
 
 from __future__ import annotations
 
+OP3 = r"""
+WITH raw AS (
+    SELECT doc_id, encode(coalesce(text, '')) AS b, strlen(coalesce(text, ''))::BIGINT AS n FROM documents
+), places AS (
+    SELECT doc_id, b, unnest(generate_series(1, n - 49)) AS p FROM raw WHERE n >= 50
+), windows AS (
+    SELECT doc_id, p, b[p : p + 49] AS w FROM places
+), first_seen AS (
+    SELECT w, min(doc_id) AS doc_id FROM windows GROUP BY w
+), covered AS (
+    SELECT DISTINCT windows.doc_id, p FROM windows JOIN first_seen AS f USING (w) WHERE f.doc_id < windows.doc_id
+), marked AS (
+    SELECT *, CASE WHEN p - lag(p) OVER own <= 50 THEN 0 ELSE 1 END AS fresh
+    FROM covered WINDOW own AS (PARTITION BY doc_id ORDER BY p)
+), numbered AS (
+    SELECT *, sum(fresh) OVER (PARTITION BY doc_id ORDER BY p) AS run FROM marked
+), runs AS (
+    SELECT doc_id, run, min(p) AS a, max(p) + 50 AS z FROM numbered GROUP BY ALL
+), gaps AS (
+    SELECT doc_id, run, coalesce(lag(z) OVER (PARTITION BY doc_id ORDER BY run), 1) AS a, a AS z FROM runs
+    UNION ALL
+    SELECT raw.doc_id, NULL, coalesce(max(z), 1), raw.n + 1 FROM raw LEFT JOIN runs USING (doc_id)
+    GROUP BY raw.doc_id, raw.n
+), kept AS (
+    SELECT doc_id, string_agg(CASE WHEN gaps.z > gaps.a THEN hex(b[gaps.a : gaps.z - 1]) ELSE '' END, ''
+                              ORDER BY run NULLS LAST) AS bytes
+    FROM gaps JOIN raw USING (doc_id) GROUP BY doc_id
+)
+SELECT raw.doc_id, raw.n AS n_bytes, coalesce(sum(runs.z - runs.a), 0)::BIGINT AS n_removed,
+       count(runs.run)::BIGINT AS n_spans, sha256(unhex(any_value(kept.bytes))) AS kept_sha256
+FROM raw JOIN kept USING (doc_id) LEFT JOIN runs USING (doc_id)
+GROUP BY raw.doc_id, raw.n
+"""
+
+OP4 = r"""
+WITH RECURSIVE spoken AS (
+    SELECT doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x20\x09-\x0D]+') AS words
+    FROM documents
+), places AS (
+    SELECT doc_id, words, unnest(generate_series(1, greatest(len(words) - 3, 1))) AS i
+    FROM spoken WHERE len(words) > 0
+), shingles AS (
+    SELECT DISTINCT doc_id, array_to_string(words[i : i + 3], ' ') AS shingle FROM places
+), sizes AS (
+    SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), shared AS (
+    SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS n
+    FROM shingles AS a JOIN shingles AS b ON a.shingle = b.shingle AND a.doc_id < b.doc_id
+    GROUP BY ALL
+), links AS (
+    SELECT u, v FROM shared JOIN sizes AS x ON x.doc_id = u JOIN sizes AS y ON y.doc_id = v
+    WHERE 100 * shared.n >= 80 * (x.n + y.n - shared.n)
+), edges AS (
+    SELECT u, v FROM links UNION ALL SELECT v, u FROM links
+), reached AS (
+    SELECT doc_id, doc_id AS other FROM documents
+    UNION
+    SELECT reached.doc_id, edges.v FROM reached JOIN edges ON edges.u = reached.other
+)
+SELECT d.doc_id, coalesce(sizes.n, 0)::BIGINT AS n_shingles, c.component_id, c.component_id = d.doc_id AS kept
+FROM documents AS d
+JOIN (SELECT doc_id, min(other) AS component_id FROM reached GROUP BY doc_id) AS c USING (doc_id)
+LEFT JOIN sizes USING (doc_id)
+"""
+
 OP13 = r"""
 WITH texts AS (
     SELECT coalesce(lang, 'und') AS lang,
@@ -50,4 +117,8 @@ SELECT lang, rank, phrase, a, l, r, totals.n AS n, score::BIGINT AS score
 FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
 """
 
-SQL: dict[str, str] = {"op13_collocations": OP13}
+SQL: dict[str, str] = {
+    "op3_suffix_dedup": OP3,
+    "op4_near_duplicates": OP4,
+    "op13_collocations": OP13,
+}
