@@ -87,6 +87,16 @@ def _lookup(plan: list[tuple[int, dict[int, int]]]) -> dict[int, tuple[np.ndarra
     return {length: tuple(np.array(x, dtype=np.int64) for x in zip(*r)) for length, r in runs.items()}
 
 
+def _unused(columns: list[str], *names: str) -> list[str]:
+    """The names, with underscores added to those that are taken."""
+    taken, free = {c.lower() for c in columns}, []
+    for name in names:
+        while name in taken:
+            name += "_"
+        free.append(name)
+    return free
+
+
 def pack(pieces: DataFrame, capacity: int = 2048, *, per_bucket: int = 50_000) -> DataFrame:
     """``pieces`` with ``sequence_id`` and ``offset``; ``length`` must lie in 1..capacity.
 
@@ -98,49 +108,46 @@ def pack(pieces: DataFrame, capacity: int = 2048, *, per_bucket: int = 50_000) -
     sizes = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}
     lookup = _lookup(bin_plan(sizes, capacity))
     buckets = parts_for(sum(sizes.values()), per_bucket)
+    bucket, counted, before, rank, number = _unused(
+        pieces.columns, "_bucket", "_n", "_before", "_rank", "_number"
+    )
     dealt = pieces.withColumn(
-        "_bucket", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(buckets)).cast("int")
+        bucket, F.pmod(F.xxhash64("doc_id", "piece"), F.lit(buckets)).cast("int")
     )
     # Numbers within a length: one bucket's pieces come after those of the buckets before it.
-    before = (
-        dealt.groupBy("length", "_bucket")
-        .agg(F.count("*").alias("_n"))
-        .withColumn(
-            "_before",
-            F.sum("_n").over(
-                Window.partitionBy("length")
-                .orderBy("_bucket")
-                .rowsBetween(Window.unboundedPreceding, -1)
-            ),
-        )
-        .select("length", "_bucket", F.coalesce("_before", F.lit(0)).alias("_before"))
+    earlier = Window.partitionBy("length").orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (
+        dealt.groupBy("length", bucket)
+        .agg(F.count("*").alias(counted))
+        .withColumn(before, F.sum(counted).over(earlier))
+        .select("length", bucket, F.coalesce(before, F.lit(0)).alias(before))
     )
-    within = Window.partitionBy("_bucket", "length").orderBy("doc_id", "piece")
+    within = Window.partitionBy(bucket, "length").orderBy("doc_id", "piece")
     numbered = (
-        dealt.withColumn("_rank", F.row_number().over(within) - 1)
-        .join(before, ["_bucket", "length"])
-        .withColumn("_number", F.col("_before") + F.col("_rank"))
-        .drop("_bucket", "_rank", "_before")
+        dealt.withColumn(rank, F.row_number().over(within) - 1)
+        .join(offsets, ["length", bucket])
+        .withColumn(number, F.col(before) + F.col(rank))
+        .drop(bucket, rank, before)
     )
 
     def place(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             sequence = np.zeros(len(frame), dtype=np.int64)
             offset = np.zeros(len(frame), dtype=np.int64)
-            number, lengths = frame["_number"].to_numpy(), frame["length"].to_numpy()
+            numbers, lengths = frame[number].to_numpy(), frame["length"].to_numpy()
             order = np.argsort(lengths, kind="stable")
             for rows in np.split(order, np.nonzero(np.diff(lengths[order]))[0] + 1):
                 if len(rows):
                     length = int(lengths[rows[0]])
                     begin, first, n, at = lookup[length]
-                    run = np.searchsorted(begin, number[rows], side="right") - 1
-                    past = number[rows] - begin[run]
+                    run = np.searchsorted(begin, numbers[rows], side="right") - 1
+                    past = numbers[rows] - begin[run]
                     sequence[rows] = first[run] + past // n[run]
                     offset[rows] = at[run] + past % n[run] * length
-            yield frame.drop(columns="_number").assign(sequence_id=sequence, offset=offset)
+            yield frame.drop(columns=number).assign(sequence_id=sequence, offset=offset)
 
     kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema)
-    return numbered.select(*[f"`{c}`" for c in pieces.columns], "_number").mapInPandas(
+    return numbered.select(*[f"`{c}`" for c in pieces.columns], number).mapInPandas(
         place, f"{kept}, sequence_id bigint, offset bigint"
     )
 

@@ -134,6 +134,20 @@ def test_licenses(spark):
     assert (found[2]["n_words"], found[2]["first_word"], found[2]["labels"]) == (0, None, "")
 
 
+def test_pack_carries_columns_of_any_name(spark):
+    rows = [(i % 7, 0, 1 + i % 5) for i in range(40)]
+    pieces = spark.createDataFrame(rows, "doc_id long, piece int, length long")
+    names = ["_bucket", "_n", "_before", "_rank", "_number", "sequence_id", "_Rank_"]
+    for name in names:
+        pieces = pieces.withColumn(name, F.lit("own"))
+    packed = packing.pack(pieces, capacity=8, per_bucket=6)
+    found = packed.collect()
+    assert len(found) == 40
+    assert all(r[name] == "own" for r in found for name in names if name != "sequence_id")
+    ends = packed.groupBy("sequence_id").agg(F.sum("length").alias("n"), F.max(F.col("offset") + F.col("length")).alias("end"))
+    assert ends.filter("n <> end OR n > 8").isEmpty()
+
+
 def test_decontamination_sees_other_values(spark):
     item = "A train of 12 km length leaves when Anna counts 12 cars and then stops at noon"
     docs = spark.createDataFrame(
