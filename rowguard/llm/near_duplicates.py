@@ -232,8 +232,9 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
 
     Documents are linked if their sets of distinct ``width``-word shingles have a Jaccard similarity
     of ``percent`` or more; ``component_id`` is the least id that links reach. Null, empty and blank
-    texts have no shingles and no links. Rows with one id count as one document with several
-    texts. A row without an id is linked with nothing: its component is null and it is kept. Other
+    texts have no shingles and no links. Repeated rows are one document. Different texts under one
+    id are not told apart: the longest stands for the id when links are confirmed, so links of the
+    others can be lost. A row without an id is linked with nothing: its component is null and it is kept. Other
     columns are not read, and an empty table gives no rows.
     """
     narrow = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
