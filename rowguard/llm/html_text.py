@@ -1,17 +1,19 @@
 """Main text of web pages by removal of the site's template.
 
-Every element subtree outside an article is hashed (tag, text, children). The hashes are counted per
-host over its different pages in Spark; subtrees on many of them are the site's template and are
-deleted, together with elements that say what they are (menus, headers, footers, sidebars, adverts,
-notices, forms, scripts, comments). Of what is left, articles are the text if there are any, else
-the main element, else the body. What recurs inside an article is text and stays.
+Every element subtree that holds no article is hashed (tag, text, children). The hashes are counted
+per host over its different pages in Spark; subtrees on many of them are the site's template and are
+deleted, inside articles too, where it takes more of the pages: texts of a site share sentences.
+Elements that say what they are go as well (menus, headers, footers, sidebars, adverts, notices,
+forms, scripts, comments). Of what is left, articles are the text if there are any, else the main
+element, else the body. Work on a page grows with its length, however deep its elements are nested.
 """
 
 from __future__ import annotations
 
 import html
 import re
-from collections.abc import Iterator
+from collections import defaultdict
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 import xxhash
@@ -24,7 +26,8 @@ _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
     r"|<(script|style|title|textarea)\b[^>]*>.*?(?:</\1\s*>|\Z)"
     r"|<[!?][^>]*>"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)>",
+    # A quote counts only where a value begins.
+    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>=]++|=\s*+(?:\"[^\"]*\"|'[^']*'|[^\s>\"'][^\s>]*+)?+)*+)>",
     re.S | re.I,
 )
 _NAMED = re.compile(r"(?<![\w-])(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
@@ -50,6 +53,11 @@ _HINTS = frozenset(
     "masthead topbar pagination pager share sharing social related recommended widget login signup "
     "contentinfo complementary search dialog".split()
 )
+#: Of these names and tags an element that holds most of the text of a page may be the text after all.
+_UNSURE = frozenset(
+    "search dialog social share sharing widget sidebar banner notice notices alert popup modal login signup "
+    "complementary masthead topbar related recommended form aside header".split()
+)
 _NO_ARTICLE = frozenset("comment comments reply replies ad ads related sponsored promo".split())
 _ADVERTS = frozenset("ad ads advert adverts advertisement advertising sponsor sponsored promo promotion".split())
 _TEXT = frozenset("h1 h2 h3 h4 h5 h6 hgroup section p blockquote pre ul ol dl table figure".split())
@@ -68,18 +76,25 @@ _P_HOLDERS = frozenset("article aside body div section main table td th li block
 
 class Element:
     """An element: its tag, its parts (texts and elements in order), whether it says that it is no
-    main text."""
+    main text (``sure``: whatever it holds), whether it is inside an article."""
 
-    __slots__ = ("tag", "parts", "dropped", "digest")
+    __slots__ = ("tag", "parts", "dropped", "sure", "inside", "digest")
 
-    def __init__(self, tag: str, names: frozenset[str] = frozenset(), in_article: bool = False) -> None:
-        self.tag, self.parts, self.digest = tag, [], 0
-        hints = names & _HINTS
-        self.dropped = tag in _DROPPED or bool(hints) or (tag == "header" and not in_article)
+    def __init__(self, tag: str, names: frozenset[str] = frozenset(), inside: bool = False) -> None:
+        self.tag, self.parts, self.inside, self.digest = tag, [], inside, 0
+        # Speech in an article is text; a dialog of the page's own has a tag or stands outside.
+        reasons = names & _HINTS - {"dialog"} if inside else names & _HINTS
         if tag in ("html", "body", "main"):
-            self.dropped = False
+            reasons = frozenset()
         elif tag == "article":
-            self.dropped = bool(hints & _NO_ARTICLE)
+            reasons &= _NO_ARTICLE
+        elif tag in _DROPPED or (tag == "header" and not inside):
+            reasons |= {tag}
+        self.dropped = bool(reasons)
+        self.sure = not reasons <= _UNSURE
+
+    def elements(self) -> list[Element]:
+        return [p for p in self.parts if isinstance(p, Element)]
 
 
 def _names(tag: str, attributes: str, in_article: bool) -> frozenset[str]:
@@ -97,11 +112,26 @@ def parse(page: str) -> Element:
     """The tree of a page. Tags that are missing at the end, and stray ones, do no harm."""
     root = Element("html")
     stack, at, last_ends = [root], 0, {}
+    open_at: dict[str, list[int]] = defaultdict(list)
+
+    def innermost(tags: Iterable[str]) -> int:
+        """Depth of the innermost open element with one of the tags; 0 if there is none."""
+        return max((open_at[tag][-1] for tag in tags if open_at.get(tag)), default=0)
+
+    def close(depth: int) -> None:
+        while len(stack) > depth:
+            open_at[stack.pop().tag].pop()
+
+    def close_one_of(tags: Iterable[str], holders: Iterable[str]) -> None:
+        depth = innermost(tags)
+        if depth > innermost(holders):
+            close(depth)
+
     for found in _TOKEN.finditer(page):
         if found.start() > at:
             words = page[at : found.start()]
             if stack[-1].tag == "head" and words.strip():
-                stack.pop()
+                close(len(stack) - 1)
             stack[-1].parts.append(words)
         at = found.end()
         tag = found[3]
@@ -109,39 +139,21 @@ def parse(page: str) -> Element:
             continue
         tag = tag.lower()
         if found[2]:
-            for depth in range(len(stack) - 1, 0, -1):
-                if stack[depth].tag == tag:
-                    del stack[depth:]
-                    break
+            if open_at.get(tag):
+                close(open_at[tag][-1])
             continue
         if tag == "html":
             continue
         if stack[-1].tag == "head" and tag not in _IN_HEAD:
-            stack.pop()
-        if tag in _BREAKS_OUT:
-            for depth in range(len(stack) - 1, 0, -1):
-                if stack[depth].tag in _HOLD_HTML:
-                    break
-                if stack[depth].tag in ("svg", "math"):
-                    del stack[depth:]
-                    break
+            close(len(stack) - 1)
+        if tag in _BREAKS_OUT and (open_at.get("svg") or open_at.get("math")):
+            close_one_of(("svg", "math"), _HOLD_HTML)
         if tag in _CLOSES:
-            closed, holders = _CLOSES[tag]
-            for depth in range(len(stack) - 1, 0, -1):
-                if stack[depth].tag in holders:
-                    break
-                if stack[depth].tag in closed:
-                    del stack[depth:]
-                    break
-        if tag in _BLOCKS:
-            for depth in range(len(stack) - 1, 0, -1):
-                if stack[depth].tag in _P_HOLDERS:
-                    break
-                if stack[depth].tag == "p":
-                    del stack[depth:]
-                    break
-        in_article = any(e.tag == "article" for e in stack)
-        new = Element(tag, _names(tag, found[4], in_article) if found[4] else frozenset(), in_article)
+            close_one_of(*_CLOSES[tag])
+        if tag in _BLOCKS and open_at.get("p"):
+            close_one_of(("p",), _P_HOLDERS)
+        inside = stack[-1].inside or stack[-1].tag == "article"
+        new = Element(tag, _names(tag, found[4], inside) if found[4] else frozenset(), inside)
         if tag in _SKIPPED:
             if tag != "head" and tag not in last_ends:
                 ends = re.finditer(rf"</{tag}\b", page, re.I)
@@ -151,53 +163,62 @@ def parse(page: str) -> Element:
         else:
             stack[-1].parts.append(new)
         if tag not in _VOID and not found[4].endswith("/"):
+            open_at[tag].append(len(stack))
             stack.append(new)
     if at < len(page):
         if stack[-1].tag == "head":
-            stack.pop()
+            close(len(stack) - 1)
         stack[-1].parts.append(page[at:])
     _keep_around_texts(root)
     return root
 
 
-def _keep_around_texts(root: Element) -> None:
-    """What is around the main element is kept, whatever it says of itself, and what is around
-    articles too where no article is left outside of such elements. Elements of comments and the
-    like, and teasers in a sidebar next to an article, stay out."""
-    free, inside = False, []
-    todo: list[tuple[Element, tuple[Element, ...]]] = [(root, ())]
-    while todo:
-        e, around = todo.pop()
-        if e.tag == "main":
-            for outer in around:
-                outer.dropped = False
-            around = ()
-            free = True
-        if e.tag == "article" and not e.dropped:
-            free = free or not around
-            inside += around
-        if e.dropped:
-            around = (*around, e)
-        todo += [(p, around) for p in e.parts if isinstance(p, Element)]
-    for outer in () if free else inside:
-        outer.dropped = False
-
-
-def _postorder(root: Element, into_articles: bool = True) -> list[Element]:
+def _postorder(root: Element) -> list[Element]:
     """Elements, children before parents, without recursion."""
     order, todo = [], [root]
     while todo:
         e = todo.pop()
         order.append(e)
-        todo += [p for p in e.parts if isinstance(p, Element) and (into_articles or p.tag != "article")]
+        todo += e.elements()
     return order[::-1]
 
 
-def hash_subtrees(root: Element) -> list[Element]:
-    """Sets ``digest`` of every element that is neither in nor around an article; returns those with
-    text. 0 stands for none."""
-    found, around = [], set()
-    for e in _postorder(root, into_articles=False):
+def _keep_around_texts(root: Element) -> None:
+    """What is around the main element is kept, whatever it says of itself; without one, what is
+    around articles where no article is left outside of such elements. On a page with neither, an
+    element that may be the text after all is kept if it holds most of it. Elements of comments and
+    the like, and teasers in a sidebar next to an article, stay out."""
+    order = _postorder(root)
+    wanted = {id(e) for e in order if e.tag == "main"}
+    if not wanted:
+        below_dropped: set[int] = set()
+        for e in reversed(order):
+            if e.dropped or id(e) in below_dropped:
+                below_dropped.update(id(p) for p in e.elements())
+        wanted = {id(e) for e in order if e.tag == "article" and not e.dropped}
+        if wanted - below_dropped:
+            return
+    if wanted:
+        for e in order:
+            if any(id(p) in wanted for p in e.elements()):
+                wanted.add(id(e))
+                e.dropped = False
+        return
+    held: dict[int, int] = {}
+    for e in order:
+        texts = (held[id(p)] if isinstance(p, Element) else len("".join(p.split())) for p in e.parts)
+        held[id(e)] = 0 if e.dropped and e.sure else sum(texts)
+    for e in order:
+        if e.dropped and not e.sure and 2 * held[id(e)] > held[id(root)]:
+            e.dropped = False
+
+
+def hash_subtrees(root: Element) -> tuple[list[Element], int]:
+    """Sets ``digest`` of every element that holds no article; returns those with text, and a number
+    for the texts of the page's articles (0 without any). A digest of 0 stands for none, an odd one
+    for an element inside an article."""
+    found, around, articles = [], set(), []
+    for e in _postorder(root):
         parts, texts = [e.tag], False
         for p in e.parts:
             if isinstance(p, Element):
@@ -208,28 +229,29 @@ def hash_subtrees(root: Element) -> list[Element]:
             elif words := " ".join(p.split()):
                 parts.append("'" + words)
                 texts = True
-        if texts and id(e) not in around and e.tag not in ("html", "body", "main"):
-            e.digest = xxhash.xxh64_intdigest("\0".join(parts)) - (1 << 63) or 1
+        if e.tag == "article":
+            articles.append("\0".join(parts))
+        elif texts and id(e) not in around and e.tag not in ("html", "body", "main"):
+            digest = xxhash.xxh64_intdigest("\0".join(parts)) - (1 << 63)
+            e.digest = digest | 1 if e.inside else (digest & ~1) or 2
             found.append(e)
-    return found
-
-
-def _kept(root: Element, template: frozenset[int]) -> Iterator[Element]:
-    todo = [root]
-    while todo:
-        e = todo.pop()
-        if e.dropped or (e.digest and e.digest in template):
-            continue
-        yield e
-        todo += [p for p in reversed(e.parts) if isinstance(p, Element)]
+    return found, xxhash.xxh64_intdigest("\1".join(articles)) - (1 << 63) if articles else 0
 
 
 def _regions(root: Element, template: frozenset[int]) -> list[Element]:
-    kept = list(_kept(root, template))
+    """The outermost articles that are left, else main elements, else the whole page."""
     for tag in ("article", "main"):
-        if own := [e for e in kept if e.tag == tag]:
-            inner = {id(x) for e in own for x in _kept(e, template) if x is not e}
-            return [e for e in own if id(e) not in inner]
+        own, todo = [], [root]
+        while todo:
+            e = todo.pop()
+            if e.dropped or (e.digest and e.digest in template):
+                continue
+            if e.tag == tag:
+                own.append(e)
+            else:
+                todo += e.elements()[::-1]
+        if own:
+            return own
     return [root]
 
 
@@ -274,40 +296,47 @@ _FOUND = pa.schema([("host", pa.string()), ("page", pa.int64()), ("subtree", pa.
 
 
 def _subtrees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A row per host, page text and subtree; a page gives one with subtree 0 besides."""
+    """A row per host, page and subtree; a page gives one with subtree 0 besides. Pages with the same
+    articles count as one, and those without any where all of them is equal."""
     for whole in batches:
         for at in range(0, len(whole), 500):
             batch = whole.slice(at, 500)
             hosts, pages, subtrees = [], [], []
             for host, page in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist()):
-                own = {0, *(e.digest for e in hash_subtrees(parse(page)))}
+                elements, articles = hash_subtrees(parse(page))
+                own = {0, *(e.digest for e in elements)}
                 hosts += [host] * len(own)
-                pages += [xxhash.xxh64_intdigest(page) - (1 << 63)] * len(own)
+                pages += [articles or xxhash.xxh64_intdigest(page) - (1 << 63)] * len(own)
                 subtrees += own
             yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(pages, pa.int64()), pa.array(subtrees, pa.int64())], schema=_FOUND)
 
 
-def site_templates(pages: DataFrame, *, least_pages: int = 3, least_share: float = 0.3) -> DataFrame:
+def site_templates(
+    pages: DataFrame, *, least_pages: int = 3, least_share: float = 0.3, least_share_inside: float = 0.5
+) -> DataFrame:
     """host and its template as a list of subtree hashes: those on ``least_pages`` different pages of
-    it and on ``least_share`` of them, so the list is bounded by the subtrees of a few pages. Equal
-    pages count once. Hosts with many pages are counted in the tasks before the shuffle."""
+    it and on ``least_share`` of them (``least_share_inside`` for what is in articles), so the list is
+    bounded by the subtrees of a few pages. Pages with equal articles count once. Hosts with many pages
+    are counted in the tasks before the shuffle."""
     rows = pages.select(host_of(F.col("url")).alias("host"), F.coalesce("html", F.lit("")).alias("html"))
     found = rows.mapInArrow(_subtrees, "host string, page bigint, subtree bigint").distinct()
     counts = written(found.groupBy("host", "subtree").agg(F.count("*").alias("n")), "html-subtrees")
     whole = counts.filter("subtree = 0").select("host", F.col("n").alias("pages"))
     often = counts.filter(f"subtree <> 0 and n >= {least_pages}").join(whole, "host")
-    often = often.filter(F.col("n") >= F.col("pages") * least_share)
+    inside = F.col("subtree").bitwiseAND(F.lit(1)) == 1
+    often = often.filter(F.col("n") >= F.col("pages") * F.when(inside, least_share_inside).otherwise(least_share))
     return often.groupBy("host").agg(F.collect_list("subtree").alias("template"))
 
 
-def extract_pages(pages: DataFrame, *, broadcast_hosts: int = 100_000, **options) -> DataFrame:
+def extract_pages(pages: DataFrame, *, broadcast_subtrees: int = 1_000_000, **options) -> DataFrame:
     """Per page: page_id, url, text, n_chars.
 
     Null html is empty, and a page without main text gives an empty one. Pages without a host share
-    one. Columns besides page_id, url and html are not read; repeated rows are kept.
+    one. Columns besides page_id, url and html are not read; repeated rows are kept; an empty table
+    gives no rows. Templates are broadcast up to ``broadcast_subtrees`` hashes and hosts together.
     """
     templates = written(site_templates(pages, **options), "html-templates")
-    few = templates.count() <= broadcast_hosts
+    few = (templates.agg(F.sum(F.size("template") + 1).alias("n")).first()["n"] or 0) <= broadcast_subtrees
     rows = pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("html"), host_of(F.col("url")).alias("host"))
     rows = rows.join(F.broadcast(templates) if few else templates, "host", "left")
     id_type = dict(pages.dtypes)["page_id"]

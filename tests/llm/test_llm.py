@@ -364,3 +364,47 @@ def test_components_of_paths_and_stars(spark):
         **{k: 4 for k in range(4, 10)}, 1: 1, 20: 1, 21: 1, 30: 30, 31: 30, 32: 30, 40: 30,
     }
     assert len(found) == 13
+
+
+def test_pages_without_article_keep_the_element_that_holds_their_text():
+    pages = {
+        "<form id='aspnetForm'><p>one two three four</p></form>": "one two three four",
+        "<nav>a b c d e f g</nav><div class='content search'><p>one two</p></div>": "one two",
+        "<div role='search main'><p>one two</p></div>": "one two",
+        "<div class='social'><p>one</p></div>": "one",
+        "<div><p>the main text</p></div><form><p>mail</p></form>": "the main text",
+        "<p>one</p><div class='comments'>many words of readers, more than the page</div>": "one",
+        "<article><p>a</p><div class='dialog'>b</div></article>": "a\n\nb",
+        "<p class=x'>one</p>": "one",
+        "<p title=\"a>b\">one</p><p a='x\">two</p>": "one\n\ntwo",
+    }
+    for page, text in pages.items():
+        assert html_text.main_text(page) == text, page
+
+
+@pytest.mark.parametrize("nested", ["<article>", "<div>", "<nav>", "<div><td>", "<li><p>", "<aside><article>x"])
+def test_deep_pages_take_time_in_proportion(nested):
+    def seconds(n):
+        best = []
+        for _ in range(3):
+            started = time.perf_counter()
+            page = nested * n + "x" + "</b>" * n
+            html_text.hash_subtrees(html_text.parse(page))
+            html_text.main_text(page)
+            best.append(time.perf_counter() - started)
+        return min(best)
+
+    assert seconds(16_000) < 12 * seconds(4_000)
+
+
+def test_boxes_that_recur_in_articles_go_and_shared_sentences_stay(spark):
+    box = "<div><b>Share</b> this on all</div>"
+    texts = [f"<p>Text number {i}</p>" + ("<p>Known saying</p>" if i < 3 else "") for i in range(8)]
+    rows = [(i, "http://h.example/", f"<body><article>{t}{box}</article></body>") for i, t in enumerate(texts)]
+    # Copies of one article among other things are one page: its text is no template.
+    rows += [(100 + i, "http://copies.example/", f"<i>{i}</i><article><p>same</p>{box}</article>") for i in range(9)]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    found = {r["page_id"]: r["text"] for r in html_text.extract_pages(pages).collect()}
+    assert all(found[i] == f"Text number {i}" + ("\n\nKnown saying" if i < 3 else "") for i in range(8))
+    assert all(found[100 + i] == "same\n\nShare this on all" for i in range(9))
+    assert html_text.extract_pages(pages.limit(0)).count() == 0
