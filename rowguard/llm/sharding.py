@@ -4,10 +4,12 @@ Rows fall into cells by a hash of their key. How many rows each cell sends to ea
 is drawn exactly as a uniform permutation of all rows would have it (a multivariate hypergeometric
 draw per cell, the slice sizes being fixed). Each cell then permutes its rows and deals them out by
 those counts; each slice permutes what it received. Every arrangement is equally likely up to the
-quality of the hash. Cells and slices are small, so no task orders a whole shard.
+quality of the hash. The hash includes the place of the row in its table, so rows that are equal in
+everything spread over the cells as well; the numbered rows are written before they are counted, so a
+task that runs again sees the same places. No task orders a whole shard.
 
-The matrix holds counts only. It has at most ``max_cells`` squared entries, whatever the input; more
-rows make larger cells, not more of them.
+The matrix holds counts only. It has at most ``max_cells`` squared entries, whatever the input; beyond
+some 8 million rows cells grow with the rows (a 2048th of them each), which a task sorts and may spill.
 """
 
 from __future__ import annotations
@@ -87,20 +89,19 @@ def uniform_shards(
 ) -> DataFrame:
     """``rows`` with ``shard`` (int) and ``slot`` (long, gapless from 0 in each shard).
 
-    ``keys`` tell rows apart; rows equal in all of them are interchangeable and may be null, and a
-    number of repeats within the row spreads them over the cells. Shard sizes differ by one at most.
-    An empty table gives no rows. Columns called ``shard`` or ``slot`` are replaced.
+    ``keys`` and the place of a row in the table tell rows apart, so keys may repeat or be null; the
+    same seed gives the same arrangement as long as the table's files are read in the same parts.
+    Shard sizes differ by one at most. An empty table gives no rows. Columns called ``shard`` or
+    ``slot`` are replaced, any others are carried along.
     """
     spark = rows.sparkSession
     rows = rows.drop("shard", "slot")
-    total = rows.count()
+    # Nothing can clash: whatever the table calls its columns is kept in one struct.
+    keyed = F.xxhash64(F.lit(seed), *[F.col(f"`{k}`") for k in keys], F.monotonically_increasing_id())
+    held = written(rows.select(F.struct("*").alias("_row"), keyed.alias("_h")), "sharding-rows")
+    total = held.count()
     per_shard = min(max(1, max_cells // shards), parts_for(parts_for(total, shards), rows_per_slice))
     n_cells = min(max_cells, per_shard * shards)
-    # _n and the others cannot clash: whatever the table calls its columns is kept in one struct.
-    held = rows.select(
-        F.struct("*").alias("_row"),
-        F.xxhash64(F.lit(seed), *[F.col(f"`{k}`") for k in keys]).alias("_h"),
-    )
     placed = held.select("_row", "_h", F.pmod(F.col("_h"), F.lit(n_cells)).cast("int").alias("_cell"))
     found = {r["_cell"]: r["count"] for r in placed.groupBy("_cell").count().collect()}
     shard_sizes = even_sizes(total, shards)
@@ -137,7 +138,8 @@ def shard_documents(docs: DataFrame, shards: int = 16, *, seed: int = 17) -> Dat
 
     Per document: ``doc_id``, ``size`` (bytes of the text plus 1), ``text_crc32``, ``law``,
     ``shard``, ``slot``, ``grown_shard`` (null, as rows are dealt anew for another shard count).
-    Null text counts as none. Equal texts are rows of their own; repeated rows each get a place.
+    Null text counts as none. Equal texts are rows of their own; repeated rows each get a place. An
+    empty table gives no rows; other columns are not read.
     """
     text = text_or_empty().cast("binary")
     narrow = docs.select(
@@ -145,7 +147,6 @@ def shard_documents(docs: DataFrame, shards: int = 16, *, seed: int = 17) -> Dat
         (F.octet_length(text) + 1).cast("long").alias("size"),
         F.crc32(text).alias("text_crc32"),
     )
-    narrow = written(narrow, "sharding-rows")
     return uniform_shards(narrow, ["doc_id", "text_crc32", "size"], shards, seed=seed).select(
         "doc_id",
         "size",
