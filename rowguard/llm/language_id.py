@@ -27,6 +27,8 @@ from rowguard.llm.common import written
 HASHES = 3
 LEAST_SLOTS_LOG2 = 20
 _BLOCK = 1 << 19
+#: Odd, so that code points times its powers tell n-grams of all scripts apart.
+_FACTOR = np.uint64(0x9E3779B97F4A7C15)
 
 
 @lru_cache(maxsize=1)
@@ -76,7 +78,7 @@ def _grams(points: np.ndarray, of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         for j in range(n):
             if 0 < j < n - 1:
                 ok &= points[j : j + m] != 0
-            code = (code << np.uint64(15)) ^ (code >> np.uint64(49)) ^ points[j : j + m]
+            code = code * _FACTOR + points[j : j + m]
         # A part of a long text begins with what the one before it ended with.
         found.append((mixed(code[ok]), of[:m][ok]))
     if not found:
