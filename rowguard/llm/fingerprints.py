@@ -1,7 +1,7 @@
 """Order MinHash fingerprints of documents, with built-in functions only.
 
-The k-mers of a text are runs of ``k`` neighbouring words, each numbered by how often it has occurred
-before. A hash of k-mer and number puts each into one of ``slots`` slots; the ``tuple_size`` least of
+The k-mers of a text are runs of ``k`` neighbouring words (in scripts written without spaces: letters),
+each numbered by how often it has occurred before. A hash of k-mer and number puts each into one of ``slots`` slots; the ``tuple_size`` least of
 a slot are kept, in their order in the text, and hashed together. Texts with the same k-mers in
 another order therefore differ, as they do in edit distance. Everything happens within the row: the
 hash of a k-mer and its place share one 64-bit number, so that sorting an array groups them.
@@ -19,6 +19,17 @@ from rowguard.llm.common import parts_for, text_bytes, text_or_empty
 _PLACE_BITS = 24
 _PLACE = (1 << _PLACE_BITS) - 1
 _LEVELS = 24
+#: Scripts written without spaces, as ranges of code points: each letter is a word.
+_LONE = (
+    r"[\x{0E00}-\x{0FFF}\x{1000}-\x{109F}\x{1780}-\x{17FF}\x{19E0}-\x{19FF}\x{2E80}-\x{A4CF}"
+    r"\x{AA60}-\x{AA7F}\x{F900}-\x{FAFF}\x{FF66}-\x{FF9F}\x{1B000}-\x{1B16F}\x{20000}-\x{3FFFF}]"
+)
+
+
+def words_of(text: Column) -> Column:
+    """Words between white space; letters of scripts without spaces are words of their own."""
+    apart = F.when(text.rlike(_LONE), F.regexp_replace(text, f"({_LONE})", " $1 ")).otherwise(text)
+    return F.array_remove(F.split(apart, r"\s+"), "")
 
 
 def _key(x: Column) -> Column:
@@ -30,10 +41,10 @@ def with_fingerprint(
 ) -> DataFrame:
     """``df`` with ``name``: the fingerprint as a sorted array, one number of 32 bits per slot in use
     (slot in the upper bits). A text shorter than ``k`` words has one k-mer, one without words an
-    empty fingerprint. Pairs are kept per slot."""
+    empty fingerprint. Pairs are kept per slot. Of texts of more than 2^24 words (some 100 MB) the order
+    is told apart less well; equal texts still have equal fingerprints."""
     a, b, c, levels = (f"_{name}_{x}" for x in ("a", "b", "c", "levels"))
-    words = F.array_remove(F.split(F.col(text), r"\s+"), "")
-    df = df.withColumn(b, F.transform(words, lambda w: F.xxhash64(w)))
+    df = df.withColumn(b, F.transform(words_of(F.col(text)), lambda w: F.xxhash64(w)))
     n = F.size(b)
     mers = (
         F.when(n == 0, F.array().cast("array<bigint>"))
@@ -152,7 +163,8 @@ def fingerprint_documents(docs: DataFrame, *, bytes_per_part: int = 8 << 20) ->
 
     The edited text has its last half (floor of the number of code points) replaced by the beginning
     of the next document in descending order of the id; after the last comes the first. Equal ids
-    are ordered by a hash of the text; a null id comes last; null text is empty. Columns: doc_id,
+    are ordered by a hash of the text; a null id comes last; null text is empty; an empty table gives
+    no rows; other columns are not read. Columns: doc_id,
     n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next. Texts are
     shuffled once, to ranges of ids; each range also gets the first document of the next one.
     """
