@@ -408,3 +408,83 @@ def test_boxes_that_recur_in_articles_go_and_shared_sentences_stay(spark):
     assert all(found[i] == f"Text number {i}" + ("\n\nKnown saying" if i < 3 else "") for i in range(8))
     assert all(found[100 + i] == "same\n\nShare this on all" for i in range(9))
     assert html_text.extract_pages(pages.limit(0)).count() == 0
+
+
+def test_equal_rows_spread_over_shards_and_arrangements_are_uniform(spark):
+    """100,000 equal rows and null keys: no cell holds them all, sizes stay exact."""
+    rows = spark.range(100_000, numPartitions=8).select(
+        F.lit(None).cast("bigint").alias("doc_id"), F.lit("same").alias("text"), F.col("id").alias("_h"), F.col("id").alias("_row")
+    )
+    placed = sharding.uniform_shards(rows, ["doc_id", "text"], 16)
+    sizes = placed.groupBy("shard").agg(F.count("*").alias("n"), F.countDistinct("slot").alias("d"), F.max("slot").alias("m")).collect()
+    assert sorted(r["shard"] for r in sizes) == list(range(16))
+    assert all(r["n"] == r["d"] == r["m"] + 1 == 6250 for r in sizes)
+    # Chi-square of where each eighth of the table went: 7 * 15 degrees of freedom.
+    counts = placed.groupBy(F.floor(F.col("_row") / 12_500).alias("eighth"), "shard").count().collect()
+    expected = 100_000 / 8 / 16
+    assert sum((r["count"] - expected) ** 2 / expected for r in counts) < 105 + 5 * (2 * 105) ** 0.5
+
+
+def test_ngrams_of_other_scripts_have_other_numbers():
+    """Han and Hangul letters, letters beyond 16 bits: equal n-grams only from equal letters."""
+    words = ["丂七丄", "츂츃츄", "丂츃丄", "\U0001d400\U0001d401\U0001d402", "\U00010400bc"]
+    grams = []
+    for word in words:
+        [(points, of)] = language_id._units([word])
+        grams.append(set(language_id._grams(points, of)[0].tolist()))
+    assert all(len(g) == 5 for g in grams)
+    for a, b in itertools.combinations(grams, 2):
+        assert not a & b
+
+
+def order_min_hash(text, k=3, slots_log2=6):
+    """The fingerprint by its definition, a k-mer at a time."""
+    import re
+
+    import xxhash
+
+    def chained(*values, seed=42):
+        for v in values:
+            seed = xxhash.xxh64_intdigest(v.encode() if isinstance(v, str) else (v % 2**64).to_bytes(8, "little"), seed)
+        return seed
+
+    def signed(x):
+        return x - (1 << 64) if x >> 63 else x
+
+    words = [chained(w) for w in re.findall(r"[一-鿿]|[^\s一-鿿]+", text, re.A)]
+    if len(words) < k:
+        mers = [chained(*words)] if words else []
+    else:
+        mers = [chained(*words[i : i + k]) for i in range(len(words) - k + 1)]
+    seen, slots = {}, {}
+    for place, mer in enumerate(mers):
+        key = signed(mer) >> 24
+        number = seen.get(key, 0)
+        seen[key] = number + 1
+        if len(set(mers)) < len(mers) and number:
+            mer = xxhash.xxh64_intdigest(number.to_bytes(4, "little"), chained(key))
+        elif len(set(mers)) < len(mers):
+            mer = (signed(mer) >> 24 << 24 | place) % 2**64
+        hashed = (mer >> 1) >> 24
+        slots.setdefault(hashed >> (39 - slots_log2), []).append((hashed, place))
+    out = []
+    for slot in sorted(slots):
+        pair = sorted(sorted(slots[slot])[:2], key=lambda x: x[1])
+        out.append(slot << (32 - slots_log2) | chained(*[h for h, _ in pair]) & (1 << (32 - slots_log2)) - 1)
+    return "".join(f"{x:08X}" for x in out)
+
+
+def test_fingerprints_equal_a_plain_order_min_hash(spark):
+    rng = random.Random(4)
+    texts = [None, "", " \n", "one", "one two", "a b c", " ".join(rng.choices([f"w{i}" for i in range(300)], k=2000))]
+    texts += [" ".join(rng.choices("abc", k=400)), "x " * 500, "字漢語文" * 300 + " end", "".join(chr(0x4E00 + rng.randrange(3000)) for _ in range(2000))]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    found = by_id(fingerprints.fingerprint_documents(rows))
+    for i, text in enumerate(texts):
+        own, following = text or "", texts[i - 1] or ""
+        half = len(own) // 2
+        assert found[i]["fingerprint"] == order_min_hash(own), i
+        edited = own[: len(own) - half] + following[:half]
+        assert found[i]["edited_fingerprint"] == order_min_hash(edited), i
+    # Half of 2000 letters without a space is the same text: both least of a slot, a third each.
+    assert 0.05 < found[10]["near_edited"] < 0.25
