@@ -1,17 +1,19 @@
 """Near-duplicates by MinHash with odd sketches, links confirmed on the full shingle sets.
 
-* Documents with equal shingle sets form a class, which its least id stands for from then on.
+* Documents with equal shingle sets form a class with a number of its own, which the text of its least
+  id stands for from then on. Classes that have an id in common are one component from the start.
 * 128 MinHash samples of a class make 32 bands of four; classes that agree in a band are candidates.
   At a similarity of 0.8 a pair has no band in common once in 20 million.
 * The samples are folded into an odd sketch, a bitmap of 512 parities. The population count of two
   sketches' XOR tells how many samples differ, most precisely for high similarities. Pairs further
   apart than any pair at the threshold would be (seven standard deviations) are dropped.
-* In each band bucket the least id is the hub. A class is first held against its best hub, then
+* In each band bucket the least class is the hub. A class is first held against its best hub, then
   against every other candidate of its buckets in another component that a finer sketch (1024
   samples) leaves possible. Members that are connected already need no pair of their own, so groups
   of near copies never give all their pairs; no link between components is lost.
-* A bucket is dealt out in blocks of bounded size, and each two blocks meet in a group of their own,
-  so a bucket of any size is shared by many tasks.
+* A bucket is dealt out in blocks of bounded size, and two blocks meet in a group of their own, so a
+  bucket of any size is shared by many tasks. Blocks of the bucket's largest component do not meet each
+  other: its members are copied once for every block of members outside it.
 """
 
 from __future__ import annotations
@@ -42,7 +44,7 @@ _OFFSETS = _rng.integers(0, 1 << 32, FINE_SAMPLES, dtype=np.uint32)
 del _rng
 
 _SIGNED = (
-    "doc_id bigint, n_shingles bigint, set_a bigint, set_b bigint, sketch array<bigint>, bands array<bigint>"
+    "doc_id bigint, key bigint, n_shingles bigint, set_a bigint, set_b bigint, sketch array<bigint>, bands array<bigint>"
 )
 
 
@@ -96,8 +98,9 @@ def _sign(width: int):
                     bands.append(band_keys(samples) if len(own) else None)
                 kinds = [pa.int64()] * 3 + [pa.list_(pa.int64())] * 2
                 columns = [pa.array(x, type=t) for x, t in zip((n, a, b, sketches, bands), kinds)]
-                names = ["doc_id", "n_shingles", "set_a", "set_b", "sketch", "bands"]
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns], names=names)
+                names = ["doc_id", "key", "n_shingles", "set_a", "set_b", "sketch", "bands"]
+                own = [batch.column("doc_id"), batch.column("key")]
+                yield pa.RecordBatch.from_arrays([*own, *columns], names=names)
 
     return sign
 
@@ -232,18 +235,23 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
 
     Documents are linked if their sets of distinct ``width``-word shingles have a Jaccard similarity
     of ``percent`` or more; ``component_id`` is the least id that links reach. Null, empty and blank
-    texts have no shingles and no links. Repeated rows are one document. Different texts under one
-    id are not told apart: the longest stands for the id when links are confirmed, so links of the
-    others can be lost. A row without an id is linked with nothing: its component is null and it is kept. Other
-    columns are not read, and an empty table gives no rows.
+    texts have no shingles and no links. Rows with one id are one document with several texts: its
+    links are those of all of them, and each row has the ``n_shingles`` of its own text. A row without
+    an id is linked with nothing: its component is null and it is kept. Other columns are not read, and
+    an empty table gives no rows.
     """
     narrow = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    narrow = narrow.withColumn("key", F.xxhash64("text"))
     signed = written(narrow.mapInArrow(_sign(width), _SIGNED), "near-signed")
     usable = signed.filter("doc_id is not null and n_shingles > 0")
-    # A class's signature comes from its least id; rows of one id with equal sets are equal.
-    own = F.struct(F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), "sketch", "bands")
-    reps = usable.groupBy("set_a", "set_b").agg(F.min_by(own, "doc_id").alias("own"))
-    reps = written(reps.select("set_a", "set_b", "own.*"), "near-classes")
+    # A class's text and signature come from its least id; key tells the texts of one id apart.
+    own = F.struct("doc_id", "key", F.col("n_shingles").alias("n"), "sketch", "bands")
+    classes = usable.groupBy("set_a", "set_b").agg(F.min_by(own, "doc_id").alias("own"))
+    classes = written(classes.select("set_a", "set_b", "own.*"), "near-classes")
+    # Numbered in the order of their least ids, so that the earliest of near copies tends to be the hub.
+    order = ("doc_id", "set_a", "set_b")
+    numbered = classes.repartitionByRange(*order).sortWithinPartitions(*order)
+    reps = written(numbered.withColumn("id", F.monotonically_increasing_id()), "near-reps")
     buckets = reps.select("id", F.explode("bands").alias("band"))
     hubs = buckets.groupBy("band").agg(F.min("id").alias("hub"), F.count("*").alias("m")).filter("m > 1")
     ends = lambda x: reps.select(F.col("id").alias(x), F.col("n").alias(f"n_{x}"), F.col("sketch").alias(f"sketch_{x}"))
@@ -256,26 +264,36 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     best = Window.partitionBy("u").orderBy("distance", "v")
     first = tried.withColumn("rank", F.row_number().over(best)).filter("rank = 1").select("u", "v")
     first = written(first, "near-first")
-    ids = first.select(F.col("u").alias("doc_id")).unionByName(first.select(F.col("v").alias("doc_id")))
-    links = written(_links(first, _texts(narrow, ids.distinct()), width, percent), "near-links")
+    ids = first.select(F.col("u").alias("id")).unionByName(first.select(F.col("v").alias("id")))
+    links = _links(first, _texts(narrow, reps, ids.distinct()), width, percent)
+    links = written(links.unionByName(_of_one_id(usable, reps)), "near-links")
     labels = components(links)
 
     # Buckets that still hold several components: their other pairs.
     held = buckets.join(labels.withColumnRenamed("node", "id"), "id", "left").withColumn(
         "label", F.coalesce("label", "id")
     )
-    mixed_buckets = (
-        held.groupBy("band").agg(F.count("*").alias("m"), F.min("label").alias("a"), F.max("label").alias("b")).filter("a < b")
-    )
-    held = written(held.join(mixed_buckets.select("band", "m"), "band"), "near-mixed")
-    texts = _texts(narrow, held.select(F.col("id").alias("doc_id")).distinct())
+    sizes = held.groupBy("band", "label").agg(F.count("*").alias("size"))
+    largest = F.max(F.struct("size", "label"))
+    mixed_buckets = sizes.groupBy("band").agg(F.sum("size").alias("m"), largest.alias("largest")).filter("m > largest.size")
+    held = written(held.join(mixed_buckets, "band"), "near-mixed")
+    texts = _texts(narrow, reps, held.select("id").distinct())
     fine = texts.mapInArrow(_refine(width), "id bigint, fine array<bigint>").join(
         reps.select("id", "n", "sketch", "bands"), "id"
     )
-    blocks = F.ceil(F.col("m") / BLOCK)
+    # Blocks of the largest component are numbered first, those of all others behind them; a bucket of
+    # one block's size is a single block.
+    small, inside = F.col("m") <= BLOCK, F.col("label") == F.col("largest.label")
+    of_largest, of_all = F.ceil(F.col("largest.size") / BLOCK), F.ceil((F.col("m") - F.col("largest.size")) / BLOCK)
+    of_all = of_all + of_largest
+    number = F.xxhash64("id")
+    outside = of_largest + F.pmod(number, of_all - of_largest)
+    block = F.when(small, 0).when(inside, F.pmod(number, of_largest)).otherwise(outside)
+    from_block = F.when(~small & inside, of_largest).otherwise(0)
+    to_block = F.when(small, 0).otherwise(of_all - 1)
     dealt = (
-        held.withColumn("block", F.pmod(F.xxhash64("id"), blocks))
-        .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
+        held.withColumn("block", block.cast("long"))
+        .withColumn("other", F.explode(F.sequence(from_block.cast("long"), to_block.cast("long"))))
         .select("band", "id", "label", "block", F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two"))
         .join(fine, "id")
         .select(*_HELD)
@@ -287,8 +305,12 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
         links = written(links.unionByName(_links(others, texts, width, percent)), "near-links")
         labels = components(links)
 
-    named = reps.join(labels.withColumnRenamed("node", "id"), "id", "left").select(
-        "set_a", "set_b", F.coalesce("label", "id").alias("component_id")
+    # A component is called by its least id; classes without a link by their own.
+    linked_ids = labels.join(reps.select(F.col("id").alias("node"), "doc_id"), "node")
+    least = linked_ids.groupBy("label").agg(F.min("doc_id").alias("component_id"))
+    called = labels.join(least, "label").select(F.col("node").alias("id"), "component_id")
+    named = reps.join(called, "id", "left").select(
+        "set_a", "set_b", F.coalesce("component_id", "doc_id").alias("component_id")
     )
     # The class of a document may be the largest by far; it is the other side that has one row of it.
     out = signed.select("doc_id", "n_shingles", "set_a", "set_b").join(named, ["set_a", "set_b"], "left")
@@ -299,12 +321,24 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     )
 
 
-def _texts(narrow: DataFrame, ids: DataFrame) -> DataFrame:
-    """id and text of the classes named by ``ids``. Of rows with one id, the longest text counts."""
-    ids = written(ids, "near-ids")
-    side = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
-    found = narrow.join(side, "doc_id", "left_semi").groupBy(F.col("doc_id").alias("id"))
-    return written(found.agg(F.max_by("text", F.length("text")).alias("text")), "near-texts")
+def _of_one_id(usable: DataFrame, reps: DataFrame) -> DataFrame:
+    """Links (u, v) between the classes that one id's texts lie in: each to the least of them."""
+    spans = [f(c).alias(f"{n}_{c}") for c in ("set_a", "set_b") for f, n in ((F.min, "min"), (F.max, "max"))]
+    several = usable.groupBy("doc_id").agg(*spans).filter("min_set_a < max_set_a or min_set_b < max_set_b")
+    sets = usable.join(several.select("doc_id"), "doc_id").select("doc_id", "set_a", "set_b").distinct()
+    sets = written(sets.join(reps.select("set_a", "set_b", "id"), ["set_a", "set_b"]).select("doc_id", "id"), "near-ids")
+    least = sets.groupBy("doc_id").agg(F.min("id").alias("v"))
+    return sets.join(least, "doc_id").filter("id > v").select(F.col("id").alias("u"), "v")
+
+
+def _texts(narrow: DataFrame, reps: DataFrame, ids: DataFrame) -> DataFrame:
+    """id and text of the classes named by ``ids``. Texts of one id are told apart by ``key``, a hash of
+    64 bits; rows equal in both are taken as equal."""
+    named = written(ids.join(reps.select("id", "doc_id", "key"), "id"), "near-ids")
+    doc_ids = named.select("doc_id").distinct()
+    side = F.broadcast(doc_ids) if named.count() <= BROADCAST_IDS else doc_ids
+    found = narrow.join(side, "doc_id", "left_semi").groupBy("doc_id", "key").agg(F.first("text").alias("text"))
+    return written(found.join(named, ["doc_id", "key"]).select("id", "text"), "near-texts")
 
 
 def without_near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:

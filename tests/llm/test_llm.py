@@ -321,6 +321,20 @@ def test_near_duplicates_around_the_threshold_equal_brute_force(spark, monkeypat
     assert len(set(expected.values())) > 2
 
 
+@pytest.mark.parametrize("block", [2, 512])
+def test_texts_of_one_id_keep_the_links_of_all_of_them(spark, monkeypatch, block):
+    """An id with several texts is one document; which text is longest does not matter."""
+    monkeypatch.setattr(near_duplicates, "BLOCK", block)
+    a, b, c = (" ".join(f"{x}{k}" for k in range(n)) for x, n in (("a", 40), ("b", 60), ("c", 50)))
+    rows = [(1, a), (1, b), (2, a + " z"), (3, b + " z"), (4, c), (4, c), (7, c + " y"), (9, "else"), (9, None)]
+    rows += [(20 + k // 2, " ".join(f"own{k}x{j}" for j in range(30))) for k in range(12)]
+    found = near_duplicates.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string"), 4, 80)
+    expected = {1: 1, 2: 1, 3: 1, 4: 4, 7: 4, 9: 9} | {20 + k: 20 + k for k in range(6)}
+    assert {(r["doc_id"], r["component_id"]) for r in found.collect()} == set(expected.items())
+    assert found.count() == len(rows)
+    assert {(r["n_shingles"], r["kept"]) for r in found.filter("doc_id = 1").collect()} == {(37, True), (57, True)}
+
+
 def test_pairs_of_blocks_find_every_near_pair_once():
     """Every pair within the distance and of other components, whatever the batches are."""
     rng = np.random.default_rng(3)
