@@ -56,7 +56,43 @@ NOTICES = (
     ("this source code form is subject to the terms of the mozilla public license v 2 0", "mpl-2", "license v 2"),
     ("this source code form is subject to the terms of the mozilla public license version 2 0", "mpl-2",
      "license version 2"),
+    ("licensed under cc by 4 0", "cc-by", "by 4"),
+    ("licensed under cc by nc sa 4 0", "cc-by-nc-sa", "nc sa"),
+    ("licensed under cc by nc nd 4 0", "cc-by-nc-nd", "nc nd"),
+    ("licensed under cc by nd 4 0", "cc-by-nd", "by nd"),
+    ("this work is licensed under a creative commons attribution noncommercial sharealike 4 0 international license",
+     "cc-by-nc-sa", "noncommercial sharealike"),
+    ("this work is licensed under a creative commons attribution noncommercial noderivatives 4 0 international license",
+     "cc-by-nc-nd", "noncommercial noderivatives"),
+    ("has waived all copyright and related or neighboring rights to", "cc0"),
+    ("cc0 1 0 universal", "cc0"),
+    ("under the terms of the gnu general public license as published by the free software foundation either "
+     "version 2 of the license or at your option any later version", "gpl-2", "version 2 of"),
+    ("under the terms of the gnu lesser general public license as published by the free software foundation either "
+     "version 2 1 of the license or at your option any later version", "lgpl-2.1", "lesser general public", "version 2 1"),
+    ("under the terms of the gnu lesser general public license as published by the free software foundation either "
+     "version 3 of the license or at your option any later version", "lgpl-3", "lesser general public", "version 3"),
+    ("under the terms of the gnu affero general public license as published by the free software foundation either "
+     "version 3 of the license or at your option any later version", "agpl-3", "affero general public", "version 3"),
+    ("permission to use copy modify and or distribute this software for any purpose with or without fee is hereby "
+     "granted provided that the above copyright notice and this permission notice appear in all copies", "isc"),
+    ("this is free and unencumbered software released into the public domain", "unlicense"),
+    ("this software is provided as is without any express or implied warranty in no event will the authors be held "
+     "liable for any damages arising from the use of this software", "zlib"),
+    ("boost software license version 1 0", "bsl-1", "software license version"),
+    ("this program and the accompanying materials are made available under the terms of the eclipse public license 2 0",
+     "epl-2", "eclipse public license 2"),
+)
+# Short identifiers as they stand behind "SPDX-License-Identifier:", in words, with their labels.
+SPDX = (
+    ("mit", "mit"), ("apache 2 0", "apache-2"), ("gpl 2 0", "gpl-2"), ("gpl 3 0", "gpl-3"), ("lgpl 2 1", "lgpl-2.1"),
+    ("lgpl 3 0", "lgpl-3"), ("agpl 3 0", "agpl-3"), ("bsd 2 clause", "bsd"), ("bsd 3 clause", "bsd"), ("isc", "isc"),
+    ("mpl 2 0", "mpl-2"), ("epl 2 0", "epl-2"), ("bsl 1 0", "bsl-1"), ("cc0 1 0", "cc0"), ("unlicense", "unlicense"),
+    ("zlib", "zlib"), ("cc by 4 0", "cc-by"), ("cc by sa 4 0", "cc-by-sa"), ("cc by nc 4 0", "cc-by-nc"),
+    ("cc by nd 4 0", "cc-by-nd"), ("cc by nc sa 4 0", "cc-by-nc-sa"), ("cc by nc nd 4 0", "cc-by-nc-nd"),
 )
+# An identifier must stand there whole.
+NOTICES += tuple((f"spdx license identifier {name}", label, f"identifier {name}") for name, label in SPDX)
 _WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 # One entry without a template per document keeps those without hits.
 _EMPTY, _MARKER = -1, 0
@@ -118,8 +154,9 @@ def _holds(run: list[tuple[int, int]], begin: int, end: int, k: int) -> bool:
     return any(t == begin and all((at + n - begin, n) in hits for n in needed) for at, t in run)
 
 
-def _judge(notices: dict[int, tuple[str, int, list[tuple[int, int]]]], k: int, near: int, least_share: float):
-    """Labels and best share of a document's hits: (notice, diagonal, places in the notice)."""
+def _judge(notices: dict[int, tuple[str, int, list[list[tuple[int, int]]]]], k: int, near: int, least_share: float):
+    """Labels and best share of a document's hits: (notice, diagonal, places in the notice). A notice
+    comes with its label, its number of k-grams and the places of each of its required runs of words."""
 
     def judge(found: list[dict]) -> tuple[set[str], float]:
         spans, score = [], 0.0
@@ -133,7 +170,7 @@ def _judge(notices: dict[int, tuple[str, int, list[tuple[int, int]]]], k: int, n
             for a, b in zip(cuts, cuts[1:]):
                 run, n = _chain({d: diagonals[d] for d in order[a:b]}, near)
                 score = max(score, n / grams)
-                if n / grams >= least_share and (not required or any(_holds(run, *r, k) for r in required)):
+                if n / grams >= least_share and all(any(_holds(run, *r, k) for r in places) for places in required):
                     spans.append((n / grams, run[0][0], run[-1][0] + k, label))
         labels = set()
         for share, begin, end, label in spans:
@@ -161,7 +198,7 @@ def license_scan(
 
     ``n_base`` counts the places of the base phrases, ``first_word`` and ``last_word`` are the
     smallest and largest start among them. A notice counts if a span of it holds ``least_share`` of its
-    k-grams, each once and in order, and its required words (a notice's third value, if it has one),
+    k-grams, each once and in order, and each of its required runs of words (a notice's values from the third on),
     and no other label has a larger share of the same words; ``score`` is the best share of any
     phrase or notice. Null and empty texts have no
     words. Every row is a document of its own, whatever its id. One pass and one shuffle, of the hits
@@ -209,12 +246,12 @@ def license_scan(
     )
     known = {}
     for i, (words, label, *required) in enumerate(notices, len(phrases)):
-        words, places = words.split(), []
+        words, runs = words.split(), []
         for own in (r.split() for r in required):
-            places += [(p, p + len(own)) for p in range(len(words)) if words[p : p + len(own)] == own]
-            if not places:
+            runs.append([(p, p + len(own)) for p in range(len(words)) if words[p : p + len(own)] == own])
+            if not runs[-1]:
                 raise ValueError(f"a notice does not hold its required words {' '.join(own)!r}")
-        known[i] = (label, len(words) - k + 1, places)
+        known[i] = (label, len(words) - k + 1, runs)
     judge = _judge(known, k, near, least_share)
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import itertools
 import random
+import re
 import time
 
 import numpy as np
@@ -113,6 +114,65 @@ def test_license_notices_are_told_apart(spark):
     assert found[0]["score"] == 1.0
 
 
+def test_usual_licenses_have_their_notices(spark):
+    gnu = "under the terms of the GNU{} General Public License as published by the Free Software Foundation, either version"
+    later = "of the License, or (at your option) any later version."
+    work = "This work is licensed under a Creative Commons Attribution"
+    texts = {
+        f"{gnu.format('')} 2 {later}": "gpl-2",
+        f"{gnu.format('')} 3 {later}": "gpl-3",
+        f"{gnu.format(' Lesser')} 2.1 {later}": "lgpl-2.1",
+        f"{gnu.format(' Lesser')} 3 {later}": "lgpl-3",
+        f"{gnu.format(' Affero')} 3 {later}": "agpl-3",
+        f"{work}-NonCommercial-ShareAlike 4.0 International License.": "cc-by-nc-sa",
+        f"{work}-NonCommercial-NoDerivatives 4.0 International License.": "cc-by-nc-nd",
+        "Text licensed under CC BY 4.0 by its author": "cc-by",
+        "Text licensed under CC BY-SA 4.0 by its author": "cc-by-sa",
+        "Someone has waived all copyright and related or neighboring rights to this text.": "cc0",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
+        "granted, provided that the above copyright notice and this permission notice appear in all copies.": "isc",
+        "This is free and unencumbered software released into the public domain.": "unlicense",
+        "# SPDX-License-Identifier: MIT": "mit",
+        "# SPDX-License-Identifier: GPL-2.0-or-later": "gpl-2",
+        "# SPDX-License-Identifier: BSD-3-Clause": "bsd",
+        "# SPDX-License-Identifier: LicenseRef-own": "",
+        "The SPDX license identifier is a short text; the software is provided as is.": "",
+    }
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    found = by_id(licenses.license_scan(docs))
+    assert {t: found[i]["labels"] for i, t in enumerate(texts)} == texts
+
+
+def test_every_notice_is_found_in_its_own_words_alone(spark):
+    notices = licenses.NOTICES
+    docs = spark.createDataFrame([(i, n[0]) for i, n in enumerate(notices)], "doc_id int, text string")
+    found = by_id(licenses.license_scan(docs, phrases=()))
+    assert [(found[i]["labels"], found[i]["score"]) for i in range(len(notices))] == [(n[1], 1.0) for n in notices]
+
+
+def test_base_phrases_of_the_given_documents_equal_a_plain_count(spark):
+    """The contract's places, of whole texts, against a loop over all words."""
+    rows = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text").collect()
+    more = ["cc by nc cc by nc", "Apache License, Version 2", "under the mit\u00e9 license", "mit license", None, ""]
+    rows = [(r.doc_id, r.text) for r in rows] + list(enumerate(more, 1 + max(r.doc_id for r in rows)))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = by_id(licenses.license_scan(docs))
+    for i, text in rows:
+        lower = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+        words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lower)
+        places = [
+            (p, label)
+            for phrase, label in licenses.BASE_PHRASES
+            for p in range(len(words))
+            if words[p : p + len(phrase.split())] == phrase.split()
+        ]
+        at = [p for p, _ in places]
+        expected = (len(words), len(at), min(at, default=None), max(at, default=None), ",".join(sorted({x for _, x in places})))
+        assert tuple(found[i][c] for c in ("n_words", "n_base", "first_word", "last_word", "base_labels")) == expected
+        assert set(found[i]["labels"].split(",")) - {""} >= {x for _, x in places}
+    assert sum(r["n_base"] > 0 for r in found.values()) > 3
+
+
 def test_added_tokens_are_those_of_the_json_form(spark):
     import public_tokenizers
     from tokenizers import Tokenizer
