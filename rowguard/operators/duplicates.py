@@ -7,8 +7,10 @@ Two ways give the same rows, as far as SQL tells values apart:
   else crosses the shuffle at full width.
 * :func:`drop_rare_duplicates` first shuffles only an 8-byte fingerprint per row. Rows whose
   fingerprint occurs once cannot have a copy and skip the aggregation; only the others go through it,
-  so a chance collision of fingerprints changes nothing. How rows meet the repeated fingerprints is
-  left to Spark, which broadcasts them where their measured size allows it.
+  so a chance collision of fingerprints changes nothing. Rows meet the repeated fingerprints where
+  they are read, in a table of ``FILTER_BITS`` bits that every task gets: no row is shuffled to find
+  out, whatever the number of repeated fingerprints. A bit may stand for several of them; that sends
+  some rows without a copy through the aggregation as well, all rows if nearly all bits are set.
 """
 
 from __future__ import annotations
@@ -25,6 +27,11 @@ from rowguard.functions.values import named
 _FINGERPRINT = "__rowguard_fingerprint"
 _COPIES = "__rowguard_copies"
 _FIRST = "__rowguard_first"
+_LINE = "__rowguard_line"
+_WORDS = "__rowguard_words"
+
+#: Bits of the table of repeated fingerprints (16 MB), and its 64-bit words in a line: powers of two.
+FILTER_BITS, LINE_WORDS = 1 << 27, 32
 
 
 def drop_duplicates(df: DataFrame) -> DataFrame:
@@ -144,6 +151,26 @@ def repeated_fingerprints(df: DataFrame) -> DataFrame:
     )
 
 
+def _place(fingerprint: Column) -> tuple[Column, Column, Column]:
+    """Where the bit of a fingerprint is: the line, the word in it, the word with this bit alone."""
+    # Shifts and masks are null for no fingerprint, as divisions might be: a test for null would move
+    # down to the scan, with the fingerprint's expression in it.
+    bit = fingerprint.bitwiseAND(F.lit(FILTER_BITS - 1))
+    word = F.shiftright(bit, 6)
+    line = F.shiftright(word, LINE_WORDS.bit_length() - 1)
+    alone = F.call_function("shiftleft", F.lit(1).cast("bigint"), bit.bitwiseAND(F.lit(63)).cast("int"))
+    return line, word.bitwiseAND(F.lit(LINE_WORDS - 1)).cast("int"), alone
+
+
+def repeated_bits(keys: DataFrame) -> DataFrame:
+    """The table of bits in which those of ``keys`` are set, by lines; lines without any are absent."""
+    line, word, alone = _place(named(_FINGERPRINT))
+    words = [F.bit_or(F.when(word == i, alone).otherwise(F.lit(0).cast("bigint"))) for i in range(LINE_WORDS)]
+    # Lines hardly merge within a task: a number per key is less to shuffle than a line.
+    gathered = keys.withColumn(_LINE, line).repartition(named(_LINE))
+    return gathered.groupBy(named(_LINE)).agg(F.array(*words).alias(_WORDS))
+
+
 class SplitRows(NamedTuple):
     """Rows without a copy for certain, and rows that may have one. Both have the input columns."""
 
@@ -152,12 +179,14 @@ class SplitRows(NamedTuple):
 
 
 def split_rare_duplicates(df: DataFrame) -> SplitRows:
-    """Split by whether the row's fingerprint is repeated."""
-    keys = repeated_fingerprints(df)
+    """Split by whether the bit of the row's fingerprint is that of a repeated one."""
+    bits = F.broadcast(repeated_bits(repeated_fingerprints(df)))
     marked = df.withColumn(_FINGERPRINT, row_fingerprint(df))
+    line, word, alone = _place(named(_FINGERPRINT))
+    repeated = (named(_LINE) == line) & (F.get(named(_WORDS), word).bitwiseAND(alone) != 0)
     return SplitRows(
-        single=marked.join(keys, _FINGERPRINT, "left_anti").drop(_FINGERPRINT),
-        suspect=marked.join(keys, _FINGERPRINT, "left_semi").drop(_FINGERPRINT),
+        single=marked.join(bits, repeated, "left_anti").drop(_FINGERPRINT),
+        suspect=marked.join(bits, repeated, "left_semi").drop(_FINGERPRINT),
     )
 
 

@@ -14,6 +14,7 @@ from rowguard.operators.duplicates import (
     split_rare_duplicates,
     timed_duplicate_counts,
 )
+from rowguard.session import private_session
 
 
 def mixed(spark):
@@ -131,3 +132,33 @@ def test_distinct_rows_with_a_helper_column(spark):
     )
     assert totals.first().asDict() == {"rows": 5, "distinct": 2, "x": 3}
     assert listed.count() == 4
+
+
+def test_rows_meet_repeated_fingerprints_where_they_are_read(spark):
+    """No wide row is shuffled, or sorted, to find out whether it may have a copy, however many
+    repeated fingerprints there are; only suspects are, for the comparison itself."""
+    session = private_session(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1"})
+    df = session.range(0, 4000, 1, 4).selectExpr("id % 3900 AS k", "uuid() IS NULL AS u", "repeat('x', 50) AS t")
+    split = split_rare_duplicates(df)
+    for rows in split:
+        plan = plan_of(rows)
+        assert "SortMergeJoin" not in plan and "Sort " not in plan
+        assert plan.count("Exchange hashpartitioning(__rowguard_fingerprint") == 1
+        rows_side = plan[plan.index("BroadcastHashJoin") : plan.index("BroadcastExchange")]
+        assert "Exchange" not in rows_side
+    assert split.suspect.count() == 200 and split.single.count() == 3800
+    assert drop_rare_duplicates(df).count() == 3900
+
+
+@pytest.mark.parametrize("bits", [64, 1 << 12])
+def test_fingerprints_that_share_bits_do_no_harm(spark, monkeypatch, bits):
+    monkeypatch.setattr(duplicates, "FILTER_BITS", bits)
+    df = spark.range(0, 3000, 1, 4).selectExpr("id % 2700 AS k", "if(id % 2 = 0, 'a', 'b') AS t")
+    split = split_rare_duplicates(df)
+    assert split.single.count() + split.suspect.count() == 3000
+    assert split.suspect.count() >= 600
+    assert plain(drop_rare_duplicates(df)) == plain(drop_duplicates(df))
+    want = {"input_rows": 3000, "output_rows": 2700, "removed": 300}
+    assert rare_duplicate_counts(df).first().asDict() == want
+    mixed_rows = mixed(spark)
+    assert plain(drop_rare_duplicates(mixed_rows)) == plain(drop_duplicates(mixed_rows))
