@@ -5,6 +5,8 @@ to the blocks of the lists whose centroids have the largest inner products with
 are rotated at random and scanned in blocks of columns: after each block of columns the partial inner
 product estimates the whole one, and a candidate is abandoned once the hypothesis that it reaches the
 query's threshold is rejected. What is left after the last column is scored on the original vectors.
+A block of columns is scanned for ``BATCH`` queries at once, by one matrix product while many candidates
+are left, then pair by pair.
 
 For a candidate of inner product s, the first d of D rotated coordinates have the partial inner product
 s d / D on average, with a variance of (|q|^2 |x|^2 + s^2) d (D - d) / (D (D - 1) (D + 2));
@@ -44,6 +46,8 @@ SLICE = 1024
 DEVIATIONS = 2.5
 #: Columns are scanned in so many blocks.
 STEPS = 4
+#: Queries that are scanned for together, and the share of pairs up to which they are taken one by one.
+BATCH, SPARSE = 256, 0.125
 
 
 def usable(vectors: DataFrame, vec: str) -> DataFrame:
@@ -86,11 +90,12 @@ def _rotation(width: int) -> np.ndarray:
     return q * np.sign(np.diag(r))
 
 
-def _scores(queries: np.ndarray, vectors: np.ndarray) -> np.ndarray:
-    """Inner products row by row, added in the order of the columns, so equal vectors score equal."""
-    total = np.zeros(len(queries))
-    for column in range(queries.shape[1]):
-        total += queries[:, column] * vectors[:, column]
+def _scores(queries: np.ndarray, vectors: np.ndarray, who: np.ndarray, whom: np.ndarray) -> np.ndarray:
+    """Inner products of pairs, added in the order of the columns, so equal vectors score equal. The
+    arrays hold a column of all queries or vectors in each row."""
+    total = np.zeros(len(who))
+    for asked, held in zip(queries, vectors, strict=True):
+        total += asked[who] * held[whom]
     return total
 
 
@@ -134,22 +139,43 @@ def scan(
     rotated: np.ndarray, norms: np.ndarray, query: np.ndarray, threshold: float, steps: int = STEPS
 ) -> np.ndarray:
     """Numbers of the rows of ``rotated`` whose inner product with ``query`` is not found to be
-    under ``threshold``; rows are given up as soon as a test on their first columns rejects them."""
-    width = len(query)
-    length = float(np.linalg.norm(query))
+    under ``threshold``."""
+    return scan_pairs(rotated, norms, query[None, :], np.array([threshold]), steps)[1]
+
+
+def scan_pairs(
+    rotated: np.ndarray, norms: np.ndarray, queries: np.ndarray, thresholds: np.ndarray, steps: int = STEPS
+) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs, as numbers of ``queries`` and of rows of ``rotated``, whose inner product is not found to
+    be under the query's threshold; they are given up as soon as a test on their first columns rejects
+    them."""
+    width = queries.shape[1]
+    own = np.linalg.norm(queries, axis=1)[:, None] * norms[None, :]
+    aims = np.where(np.isfinite(thresholds), thresholds, 0.0)
+    spread = np.sqrt(own * own + (aims * aims)[:, None])
+    own *= 1e-9
+    aims = thresholds[:, None]
     bounds = sorted({round(width * s / steps) for s in range(1, steps + 1)} - {0})
-    left, partial, begin = None, np.zeros(len(rotated)), 0
+    left, who, whom, partial, begin = None, None, None, np.zeros(own.shape), 0
     for end in bounds:
-        columns = rotated[:, begin:end] if left is None else rotated[left, begin:end]
-        partial = partial + columns @ query[begin:end]
-        own = length * (norms if left is None else norms[left])
         share = end * (width - end) / (width * max(width - 1, 1) * (width + 2.0))
-        aim = threshold if np.isfinite(threshold) else 0.0
-        slack = DEVIATIONS * np.sqrt(share * (own * own + aim * aim)) + 1e-9 * own
-        reached = np.flatnonzero(partial >= threshold * (end / width) - slack)
-        left, partial = reached if left is None else left[reached], partial[reached]
+        if who is None:
+            partial += queries[:, begin:end] @ rotated[:, begin:end].T
+        else:
+            partial += np.einsum("ij,ij->i", queries[who, begin:end], rotated[whom, begin:end])
+        reached = partial >= aims * (end / width) - DEVIATIONS * np.sqrt(share) * spread - own
+        if who is None:
+            left = reached if left is None else left & reached
+            if end < width and np.count_nonzero(left) > SPARSE * left.size:
+                begin = end
+                continue
+            who, whom = np.nonzero(left)
+            partial, spread, own, aims = partial[left], spread[left], own[left], thresholds[who]
+        else:
+            who, whom, partial = who[reached], whom[reached], partial[reached]
+            spread, own, aims = spread[reached], own[reached], aims[reached]
         begin = end
-    return left
+    return who, whom
 
 
 _FOUND = pa.schema([("query_row", pa.int64()), ("query_id", pa.int64()), ("row", pa.int64()),
@@ -168,24 +194,32 @@ def _cell(table_v: pa.Table, table_q: pa.Table, seeds: np.ndarray, k: int) -> pa
     rows, asking = table_v.column("row").to_numpy(), table_q.column("row").to_numpy()
     ids = table_v.column("vec_id").to_pandas().astype("float64").fillna(np.inf).to_numpy()
     seeded = np.isin(rows, seeds)
-    who, whom, score = [], [], []
-    for number, threshold in enumerate(table_q.column("threshold").to_numpy()):
-        best, best_score = np.zeros(0, dtype=np.int64), np.zeros(0)
+    by_column, asked_by_column = np.ascontiguousarray(vectors.T), np.ascontiguousarray(queries.T)
+    limits = table_q.column("threshold").to_numpy().copy()
+    found = []
+    for first in range(0, len(asking), BATCH):
+        batch = slice(first, first + BATCH)
+        who, whom, score = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64), np.zeros(0)
         for begin in range(0, len(rows), SLICE):
             part = slice(begin, begin + SLICE)
-            left = begin + scan(rotated[part], norms[part], turned[number], threshold)
-            left = left[(rows[left] != asking[number]) & ~seeded[left]]
-            if len(left):
-                exact = _scores(np.broadcast_to(queries[number], (len(left), len(turn))), vectors[left])
-                best, best_score = np.concatenate([best, left]), np.concatenate([best_score, exact])
-                order = np.lexsort((rows[best], ids[best], -best_score))[:k]
-                best, best_score = best[order], best_score[order]
-                if len(best) == k:
-                    threshold = max(threshold, best_score[-1])
-        near = best_score >= threshold
-        who.append(np.full(int(near.sum()), number))
-        whom.append(best[near])
-        score.append(best_score[near])
+            asker, left = scan_pairs(rotated[part], norms[part], turned[batch], limits[batch])
+            asker, left = first + asker, begin + left
+            others = (rows[left] != asking[asker]) & ~seeded[left]
+            asker, left = asker[others], left[others]
+            if not len(left):
+                continue
+            who, whom = np.concatenate([who, asker]), np.concatenate([whom, left])
+            score = np.concatenate([score, _scores(asked_by_column, by_column, asker, left)])
+            order = np.lexsort((rows[whom], ids[whom], -score, who))
+            who, whom, score = who[order], whom[order], score[order]
+            place = np.arange(len(who)) - np.searchsorted(who, who)
+            best = place < k
+            who, whom, score, place = who[best], whom[best], score[best], place[best]
+            last = place == k - 1
+            limits[who[last]] = np.maximum(limits[who[last]], score[last])
+        near = score >= limits[who]
+        found.append((who[near], whom[near], score[near]))
+    who, whom, score = ([x[i] for x in found] for i in range(3))
     q, v = pa.array(np.concatenate(who)), pa.array(np.concatenate(whom))
     columns = [table_q.column("row").take(q), table_q.column("vec_id").take(q),
                table_v.column("row").take(v), table_v.column("vec_id").take(v),

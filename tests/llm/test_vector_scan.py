@@ -1,6 +1,7 @@
 """Approximate neighbours against all inner products."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -124,3 +125,54 @@ def test_scan_gives_up_early_but_keeps_what_counts():
         kept += len(true)
         assert len(set(left) - true) <= 1e-9 * len(x)
     assert lost <= 0.03 * kept
+
+
+@pytest.mark.parametrize("sparse", [0.0, 0.125, 1.0])
+def test_scanning_for_many_queries_at_once(monkeypatch, sparse):
+    """Pairs are those of a plain loop over queries and blocks of columns, taken together or singly."""
+    monkeypatch.setattr(V, "SPARSE", sparse)
+    rng = np.random.default_rng(5)
+    x, q = rng.standard_normal((700, 24)), rng.standard_normal((40, 24))
+    x[:100] = x[0]
+    thresholds = np.sort(q @ x.T, axis=1)[:, -30]
+    thresholds[3], thresholds[4] = -np.inf, 1e9
+    norms, want = np.linalg.norm(x, axis=1), set()
+    for i, (query, threshold) in enumerate(zip(q, thresholds)):
+        left = np.arange(len(x))
+        for end in (6, 12, 18, 24):
+            share = end * (24 - end) / (24 * 23 * 26.0)
+            own = np.linalg.norm(query) * norms[left]
+            aim = threshold if np.isfinite(threshold) else 0.0
+            slack = V.DEVIATIONS * np.sqrt(share * (own**2 + aim**2)) + 1e-9 * own
+            left = left[x[left, :end] @ query[:end] >= threshold * (end / 24) - slack]
+        want |= {(i, j) for j in left}
+    who, whom = V.scan_pairs(x, norms, q, thresholds)
+    assert set(zip(who, whom)) == want and len(who) == len(want)
+    assert sum(i == 3 for i, _ in want) == len(x) and not any(i == 4 for i, _ in want)
+
+
+def test_a_cell_scans_for_its_queries_together(monkeypatch):
+    """Passes over a block of columns do not grow with the single queries of a cell; ties, rows of the
+    queries themselves and seeds are treated as if each query went alone."""
+    monkeypatch.setattr(V, "SLICE", 50)
+    monkeypatch.setattr(V, "BATCH", 32)
+    rng = np.random.default_rng(6)
+    x = rng.integers(-2, 3, (180, 8)).astype(float)
+    x[(x == 0).all(axis=1)] = 1.0
+    ids = pa.array([None if i == 7 else i // 2 for i in range(180)], pa.int64())
+    rows = pa.array(np.arange(180))
+    vec = pa.array(x.tolist(), pa.list_(pa.float64()))
+    block = pa.table({"row": rows, "vec_id": ids, "vec": vec})
+    asking = np.arange(0, 180, 2)
+    queries = block.take(pa.array(asking)).append_column("threshold", pa.array(np.full(90, -np.inf)))
+    passes, plain = [], V.scan_pairs
+    monkeypatch.setattr(V, "scan_pairs", lambda *a: passes.append(1) or plain(*a))
+    seeds = np.array([5, 6])
+    found = {}
+    for r in V._cell(block, queries, seeds, 4).to_pylist():
+        found.setdefault(r["query_row"], []).append((-r["score"], r["row"]))
+    assert len(passes) == 3 * 4
+    order = [np.inf if i is None else i for i in ids.to_pylist()]
+    for row in asking:
+        others = [(-float(x[row] @ x[j]), order[j], j) for j in range(180) if j != row and j not in (5, 6)]
+        assert sorted(found[row]) == sorted((s, j) for s, _, j in sorted(others)[:4])
