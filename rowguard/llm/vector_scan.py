@@ -148,32 +148,32 @@ def scan_pairs(
 ) -> tuple[np.ndarray, np.ndarray]:
     """Pairs, as numbers of ``queries`` and of rows of ``rotated``, whose inner product is not found to
     be under the query's threshold; they are given up as soon as a test on their first columns rejects
-    them."""
+    them. While pairs are scanned together, the test is that for the longest row: it gives up no more."""
     width = queries.shape[1]
-    own = np.linalg.norm(queries, axis=1)[:, None] * norms[None, :]
-    aims = np.where(np.isfinite(thresholds), thresholds, 0.0)
-    spread = np.sqrt(own * own + (aims * aims)[:, None])
-    own *= 1e-9
-    aims = thresholds[:, None]
+    lengths = np.linalg.norm(queries, axis=1)
+    own, aims = lengths * norms.max(initial=0.0), thresholds
     bounds = sorted({round(width * s / steps) for s in range(1, steps + 1)} - {0})
-    left, who, whom, partial, begin = None, None, None, np.zeros(own.shape), 0
-    for end in bounds:
+
+    def limits(end: int) -> np.ndarray:
         share = end * (width - end) / (width * max(width - 1, 1) * (width + 2.0))
+        slack = DEVIATIONS * np.sqrt(share * (own * own + np.where(np.isfinite(aims), aims, 0.0) ** 2))
+        return aims * (end / width) - slack - 1e-9 * own
+
+    left = who = whom = None
+    partial, begin = np.zeros((len(queries), len(rotated))), 0
+    for end in bounds:
         if who is None:
             partial += queries[:, begin:end] @ rotated[:, begin:end].T
-        else:
-            partial += np.einsum("ij,ij->i", queries[who, begin:end], rotated[whom, begin:end])
-        reached = partial >= aims * (end / width) - DEVIATIONS * np.sqrt(share) * spread - own
-        if who is None:
+            reached = partial >= limits(end)[:, None]
             left = reached if left is None else left & reached
-            if end < width and np.count_nonzero(left) > SPARSE * left.size:
-                begin = end
-                continue
-            who, whom = np.nonzero(left)
-            partial, spread, own, aims = partial[left], spread[left], own[left], thresholds[who]
+            if end == width or np.count_nonzero(left) <= SPARSE * left.size:
+                who, whom = np.nonzero(left)
+                partial, own, aims = partial[left], lengths[who] * norms[whom], thresholds[who]
         else:
-            who, whom, partial = who[reached], whom[reached], partial[reached]
-            spread, own, aims = spread[reached], own[reached], aims[reached]
+            partial += np.einsum("ij,ij->i", queries[who, begin:end], rotated[whom, begin:end])
+        if who is not None:
+            reached = partial >= limits(end)
+            who, whom, partial, own, aims = (x[reached] for x in (who, whom, partial, own, aims))
         begin = end
     return who, whom
 
